@@ -2,13 +2,52 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
 from .exact_dedup import exact_dedup, normalised
 from .mixing import mix_sources
+from .near_dedup import near_duplicates
+from .packing import pack_tokens
 from .sharding import shard_rows
+from .token_counts import count_tokens
+
+
+#: The tokenizer of the counting and packing queries.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END)) AS sh
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+sets AS (SELECT doc_id, sha256(string_agg(sh, chr(10) ORDER BY sh)) AS name FROM s GROUP BY 1),
+rep AS (SELECT name, min(doc_id) AS rep FROM sets GROUP BY 1),
+r AS (SELECT s.doc_id, hash(s.sh) AS h FROM s JOIN rep ON rep.rep = s.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM r a JOIN r b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(x, y) AS (SELECT rep, rep FROM rep UNION SELECT reach.x, edges.b FROM reach JOIN edges ON edges.a = reach.y),
+comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id, w.doc_id = coalesce(c.component_id, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT JOIN rep USING (name) LEFT JOIN comp c ON c.x = rep.rep
+"""
+
+
+def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_tokens(docs, TOKENIZER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,5 +75,9 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op6_mix_sources, op9_shard_documents)}
-ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
+def op10_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(table(spark, sf_dir, "documents"), TOKENIZER, pad_id=50256)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op4_exact_dedup, op6_mix_sources, op9_shard_documents, op10_pack_tokens)}
+ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op4_exact_dedup": OP4_SQL}
