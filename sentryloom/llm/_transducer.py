@@ -21,7 +21,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from ._words import mix
+from ._words import HashIndex, mix
 
 CHUNK = 64
 BATCH_CHARS = 1 << 20
@@ -87,48 +87,6 @@ def compile_tokenizer(path: str) -> bytes:
     return zlib.compress(table.tobytes())
 
 
-class _Pieces:
-    """Open-addressing table from piece hash to compiled transition, probed with whole arrays."""
-
-    def __init__(self) -> None:
-        self.keys, self.slots = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64)
-        self.n = 0
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        mask = np.uint64(len(self.keys) - 1)
-        at = keys & mask
-        found = self.keys[at]
-        out = np.where(found == keys, self.slots[at], -1)
-        todo = np.flatnonzero((found != keys) & (found != 0))
-        while len(todo):
-            at[todo] = (at[todo] + np.uint64(1)) & mask
-            found = self.keys[at[todo]]
-            hit = found == keys[todo]
-            out[todo[hit]] = self.slots[at[todo[hit]]]
-            todo = todo[~hit & (found != 0)]
-        return out
-
-    def add(self, keys: np.ndarray, slots: np.ndarray) -> None:
-        """Distinct new keys."""
-        if (self.n + len(keys)) * 3 > len(self.keys):
-            old = self.keys != 0
-            keys, slots = np.concatenate([self.keys[old], keys]), np.concatenate([self.slots[old], slots])
-            size = 1 << (int(len(keys)) * 4).bit_length()
-            self.keys, self.slots, self.n = np.zeros(size, np.uint64), np.zeros(size, np.int64), 0
-        mask = np.uint64(len(self.keys) - 1)
-        at, todo = keys & mask, np.arange(len(keys))
-        self.n += len(keys)
-        while len(todo):
-            free = todo[self.keys[at[todo]] == 0]
-            self.keys[at[free]] = keys[free]
-            won = free[self.keys[at[free]] == keys[free]]
-            self.slots[at[won]] = slots[won]
-            done = np.zeros(len(keys), bool)
-            done[won] = True
-            todo = todo[~done[todo]]
-            at[todo] = (at[todo] + np.uint64(1)) & mask
-
-
 class Transducer:
     def __init__(self, path: str, classes: bytes) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -147,7 +105,7 @@ class Transducer:
 
     def _reset(self) -> None:
         """Transition 0 ends a text and emits nothing; transition 1 is the special token."""
-        self.pieces = _Pieces()
+        self.pieces = HashIndex()
         self.counts, self.starts = np.array([0, 1], np.int64), np.array([0, 0], np.int64)
         self.ids = np.array([self.special_id], np.int64)
 

@@ -74,10 +74,11 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
-def word_hashes(texts: Sequence[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Groups of consecutive texts as ``(first, count, hashes, bounds)``.
+def word_slices(texts: Sequence[str | None]) -> Iterator[tuple[int, int, list[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]], np.ndarray]]:
+    """Groups of consecutive texts as ``(first, count, slices, bounds)``.
 
-    ``hashes[bounds[i]:bounds[i+1]]`` are the words of text ``first + i``, in order.
+    A slice is its bytes with starts, ends and hashes of its words; ``bounds`` cuts the
+    words of all slices in a row into the texts of the group.
     """
     at = 0
     while at < len(texts):
@@ -87,13 +88,19 @@ def word_hashes(texts: Sequence[str | None]) -> Iterator[tuple[int, int, np.ndar
             size += len(pack[-1]) + 1
             at += 1
         if len(pack) == 1:
-            parts = [_hash_slice(x)[2] for x in _cut(pack[0])]
-            hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield first, 1, hashes, np.array([0, len(hashes)])
-            continue
-        starts, _, hashes = _hash_slice(b" ".join(pack) + b" ")
-        offsets = np.cumsum([0] + [len(x) + 1 for x in pack])
-        yield first, len(pack), hashes, np.searchsorted(starts, offsets)
+            slices = [(x, *_hash_slice(x)) for x in _cut(pack[0])]
+            yield first, 1, slices, np.array([0, sum(len(x[1]) for x in slices)])
+        else:
+            data = b" ".join(pack) + b" "
+            starts, ends, hashes = _hash_slice(data)
+            offsets = np.cumsum([0] + [len(x) + 1 for x in pack])
+            yield first, len(pack), [(data, starts, ends, hashes)], np.searchsorted(starts, offsets)
+
+
+def word_hashes(texts: Sequence[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """As ``word_slices``, with the word hashes of a group in one array."""
+    for first, count, slices, bounds in word_slices(texts):
+        yield first, count, np.concatenate([x[3] for x in slices]) if slices else np.zeros(0, np.uint64), bounds
 
 
 def shingles(words: np.ndarray, n: int = SHINGLE) -> np.ndarray:
@@ -115,3 +122,91 @@ def shingle_sets(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
     for _, count, hashes, bounds in word_hashes(texts):
         for i in range(count):
             yield shingles(hashes[bounds[i] : bounds[i + 1]])
+
+
+class HashIndex:
+    """Open-addressing table from 64-bit hashes to slots, probed with whole arrays; 0 is no key."""
+
+    def __init__(self) -> None:
+        self.keys, self.slots = np.zeros(1 << 16, np.uint64), np.zeros(1 << 16, np.int64)
+        self.n = 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, or -1."""
+        mask = _U(len(self.keys) - 1)
+        at = keys & mask
+        found = self.keys[at]
+        out = np.where(found == keys, self.slots[at], -1)
+        todo = np.flatnonzero((found != keys) & (found != 0))
+        while len(todo):
+            at[todo] = (at[todo] + _U(1)) & mask
+            found = self.keys[at[todo]]
+            hit = found == keys[todo]
+            out[todo[hit]] = self.slots[at[todo[hit]]]
+            todo = todo[~hit & (found != 0)]
+        return out
+
+    def add(self, keys: np.ndarray, slots: np.ndarray) -> None:
+        """Distinct new keys."""
+        if (self.n + len(keys)) * 3 > len(self.keys):
+            old = self.keys != 0
+            keys, slots = np.concatenate([self.keys[old], keys]), np.concatenate([self.slots[old], slots])
+            size = 1 << (len(keys) * 4).bit_length()
+            self.keys, self.slots, self.n = np.zeros(size, np.uint64), np.zeros(size, np.int64), 0
+        mask = _U(len(self.keys) - 1)
+        at, todo = keys & mask, np.arange(len(keys))
+        self.n += len(keys)
+        while len(todo):
+            free = todo[self.keys[at[todo]] == 0]
+            self.keys[at[free]] = keys[free]
+            won = free[self.keys[at[free]] == keys[free]]
+            self.slots[at[won]] = slots[won]
+            done = np.zeros(len(keys), bool)
+            done[won] = True
+            todo = todo[~done[todo]]
+            at[todo] = (at[todo] + _U(1)) & mask
+
+
+class WordTable:
+    """Numbers distinct words and keeps one described row for each, so a word is described once per worker.
+
+    ``describe`` gets the new words (lower-cased text) and returns one row each.  From
+    ``held`` words on the table starts afresh, which bounds its memory.
+    """
+
+    def __init__(self, describe, held: int = 1 << 20) -> None:
+        self.describe, self.held = describe, held
+        self._reset()
+
+    def _reset(self) -> None:
+        self.index, self.n, self.rows = HashIndex(), 0, None
+
+    def _append(self, new: np.ndarray) -> None:
+        if self.rows is None:
+            self.rows = np.zeros((1 << 14, *new.shape[1:]), new.dtype)
+        if self.n + len(new) > len(self.rows):
+            grown = np.zeros((max(2 * len(self.rows), self.n + len(new)), *new.shape[1:]), new.dtype)
+            grown[: self.n] = self.rows[: self.n]
+            self.rows = grown
+        self.rows[self.n : self.n + len(new)] = new
+        self.n += len(new)
+
+    def described(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Groups of consecutive texts as ``(first, count, rows, bounds)``, a row for each word."""
+        for first, count, slices, bounds in word_slices(texts):
+            parts = []
+            for data, starts, ends, hashes in slices:
+                if self.n > self.held:
+                    self._reset()
+                keys = hashes | _U(1)
+                got = self.index.find(keys)
+                missing = np.flatnonzero(got < 0)
+                if len(missing):
+                    new, where = np.unique(keys[missing], return_index=True)
+                    words = [data[starts[i] : ends[i]].decode("utf-8", "replace") for i in missing[where]]
+                    self.index.add(new, self.n + np.arange(len(new)))
+                    self._append(self.describe(words))
+                    got = self.index.find(keys)
+                if len(got):
+                    parts.append(self.rows[got])
+            yield first, count, np.concatenate(parts) if parts else self.describe([]), bounds

@@ -7,12 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
+from .decontamination import contained_items
 from .exact_dedup import exact_dedup, normalised
+from .katz import score_texts
+from .language_id import fold, identify_language
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .packing import pack_tokens
 from .sharding import shard_rows
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
 
 
 #: The tokenizer of the counting and packing queries.
@@ -50,6 +54,25 @@ def op2_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(docs, TOKENIZER).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op3_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP3_SQL = r"""
+WITH t AS (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+w AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM t),
+s AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
+  FROM w),
+n AS (SELECT id AS item_id, count(*) AS n_item FROM s WHERE kind = 'i' GROUP BY 1),
+p AS (SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM s d JOIN s i ON d.sh = i.sh AND d.kind = 'd' AND i.kind = 'i' GROUP BY 1, 2)
+SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment FROM p JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
+"""
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("text_sha256", F.sha2(normalised(F.col("text")), 256))
@@ -63,11 +86,31 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d
 """
 
 
+def op5_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 3) == 1)
+    out = identify_language(docs.drop("lang"), docs.filter("NOT held_out"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 4) == 2)
+    learn = docs.filter("NOT held_out").drop("held_out")
+    labelled = learn.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
+    out = score_toxicity(docs, labelled, learn)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 7) == 2)
+    out = score_texts(docs.withColumn("_train", ~F.col("held_out")))
+    return out.select("doc_id", (~F.col("_train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
@@ -79,5 +122,5 @@ def op10_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_tokens(table(spark, sf_dir, "documents"), TOKENIZER, pad_id=50256)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op4_exact_dedup, op6_mix_sources, op9_shard_documents, op10_pack_tokens)}
-ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op4_exact_dedup": OP4_SQL}
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op3_contained_items, op4_exact_dedup, op5_identify_language, op6_mix_sources, op7_score_toxicity, op8_katz_scores, op9_shard_documents, op10_pack_tokens)}
+ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op3_contained_items": OP3_SQL, "op4_exact_dedup": OP4_SQL}
