@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_scalar, q_windows
+from . import q_reports, q_scalar, q_windows
 
-MODULES = (q_scalar, q_windows)
+MODULES = (q_scalar, q_windows, q_reports)
 QUERIES: dict = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 ORACLE_SQL: dict[str, str] = {k: v for m in MODULES for k, v in m.ORACLE_SQL.items()}
