@@ -77,7 +77,11 @@ def _overlap(size: Column, sampled: bool) -> Column:
 
 
 def _prefix_lists(values: DataFrame, nodes: DataFrame, sampled: bool, k: int | None) -> DataFrame:
-    """``_v, _node, _central, _m``: the rarest values of each set that another set holds too, with the list's length.
+    """``_v, _node, _n, _central, _left, _m``: the rarest values of each set that another set holds too, with the list's length.
+
+    ``_left`` counts the values of the set from this one on, in the order from rare to
+    frequent.  For full sets, where a linked pair's first common value leaves at least the
+    overlap that their sizes ask for, rows that leave too few for any partner are let go.
 
     ``values`` has one row per (node, retained value), ``nodes`` the set sizes.  ``_central`` is high for a set
     whose values many others hold.
@@ -93,12 +97,21 @@ def _prefix_lists(values: DataFrame, nodes: DataFrame, sampled: bool, k: int | N
     size = F.least("_n", F.lit(k)) if k else F.col("_n")
     free = size - F.size("_l")  # values that no other set holds come first and need no list
     length = F.greatest(F.lit(0), size - _overlap(size, sampled) + 1 - free).cast("int")
-    rows = grouped.select("_node", "_central", F.explode(F.slice("_l", F.lit(1), length)).alias("_x")).select("_node", "_central", F.col("_x._v").alias("_v"))
-    rows = written(rows)
+    rows = grouped.select("_node", "_n", "_central", free.alias("_free"), F.posexplode(F.slice("_l", F.lit(1), length)).alias("_at", "_x"))
+    rows = written(rows.select("_node", "_n", "_central", (F.col("_n") - F.col("_free") - F.col("_at")).alias("_left"), F.col("_x._v").alias("_v")))
+    if not sampled:
+        smallest = rows.groupBy("_v").agg(F.min("_n").alias("_least"))
+        rows = rows.join(smallest, "_v").filter(F.col("_left") >= _shared_at_least(F.col("_n"), F.greatest("_least", _overlap(F.col("_n"), False)))).drop("_least")
     lengths = rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     return rows.join(lengths, "_v")
 
 
+def _shared_at_least(a: Column, b: Column) -> Column:
+    """Shingles that sets of sizes a and b share if they are linked."""
+    both = LEAST[0] + LEAST[1]
+    return F.floor(((a + b) * LEAST[0] + both - 1) / both)
+
+
 def _short_pairs(lists: DataFrame) -> DataFrame:
     """All pairs of the short lists."""
     short = lists.filter(F.col("_m") <= SHORT_LIST).groupBy("_v").agg(F.sort_array(F.collect_list("_node")).alias("_l"))
@@ -177,14 +190,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
     for turn in range(PIVOT_ROUNDS):
         last = turn == PIVOT_ROUNDS - 1
-        tagged = written(long.join(labels, "_node", "left").withColumn("_label", F.coalesce("_label", "_node")).select("_v", "_node", "_central", "_label"))
+        tagged = written(long.join(labels, "_node", "left").withColumn("_label", F.coalesce("_label", "_node")).select("_v", "_node", "_n", "_left", "_central", "_label"))
         core = tagged.groupBy("_v", "_label").agg(F.count(F.lit(1)).alias("_size")).groupBy("_v").agg(F.max_by("_label", F.struct("_size", "_label")).alias("_core"), F.count(F.lit(1)).alias("_parts")).filter("_parts > 1")
+        core = written(core)
+        if not core.limit(1).count():
+            break
         rest = tagged.join(core, "_v").filter("_label <> _core")
         if not last:
-            one = rest.groupBy("_v").agg(F.max_by(F.struct("_node", "_label"), F.struct("_central", "_node")).alias("_one"))
-            rest = one.select("_v", "_one._node", "_one._label")
-        other = rest.select("_v", F.col("_node").alias("_y"), F.col("_label").alias("_ly"))
-        open_pairs = _ordered(tagged.select("_v", F.col("_node").alias("_x"), "_label").join(other, "_v").filter("_label <> _ly").select("_x", "_y"))
+            one = rest.groupBy("_v").agg(F.max_by(F.struct("_node", "_label", "_n", "_left"), F.struct("_central", "_node")).alias("_one"))
+            rest = one.select("_v", "_one.*")
+        other = rest.select("_v", F.col("_node").alias("_y"), F.col("_label").alias("_ly"), F.col("_n").alias("_ny"), F.col("_left").alias("_lefty"))
+        near = (F.col("_label") != F.col("_ly")) & (F.least("_left", "_lefty") >= _shared_at_least(F.col("_n"), F.col("_ny")))
+        open_pairs = _ordered(tagged.withColumnRenamed("_node", "_x").join(other, "_v").filter(near).select("_x", "_y"))
         more = written(_links(open_pairs, sketches, sets, k))
         found = more.limit(1).count() > 0
         if found:
