@@ -98,9 +98,9 @@ def plateau(spark, d):
     return W.plateau(frame(spark, d, "events"), "user_id", "event_id", "value", 3, 40.0).select("event_id", "flat")
 
 
-@query("SELECT event_id, round(avg(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING), 3) AS running_mean FROM events")
+@query("SELECT event_id, floor(avg(value) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) * 1000 + 0.0001)::BIGINT AS mean_thousandths FROM events")
 def running_mean(spark, d):
-    return W.running_mean(frame(spark, d, "events"), "event_type", "event_id", "value").select("event_id", F.round("running_mean", 3).alias("running_mean"))
+    return W.running_mean(frame(spark, d, "events"), "event_type", "event_id", "value").select("event_id", F.floor(F.col("running_mean") * 1000 + 0.0001).alias("mean_thousandths"))
 
 
 @query("SELECT event_id, round(greatest(0, least(1, (value - 100) / 300.0))::DOUBLE, 6) AS scaled FROM events")
