@@ -37,8 +37,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     level = {"_n": F.octet_length(norm), "_p": F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))}
     keys = written(docs.select(level["_n"].alias("_n"), level["_p"].alias("_p")))
     total = keys.count()
-    lengths = keys.groupBy("_n").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_n")
-    prefixes = written(keys.join(lengths, "_n", "left_semi").groupBy("_n", "_p").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_n", "_p"))
+    pairs = keys.groupBy("_n", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    lengths = pairs.groupBy("_n").agg(F.sum("_c").alias("_all")).filter("_all > 1").select("_n")
+    prefixes = written(pairs.filter("_c > 1").join(lengths, "_n", "left_semi").select("_n", "_p"))
     few = prefixes.count() <= BROADCAST_GROUPS
     rows = docs.withColumns(level)
     full = F.sha2(norm, 256)
