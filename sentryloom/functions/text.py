@@ -18,7 +18,20 @@ INDICATOR_TYPES = {
 PAYWALL = ("subscribe to read", "premium content", "members only", "paid subscribers", "unlock full article", "paywall")
 VENDORS = ("Microsoft", "Google", "Amazon", "Apple", "Cisco", "Palo Alto", "FireEye", "CrowdStrike", "Symantec")
 CTI_KEYWORDS = ("security", "threat", "vulnerability", "malware", "cyber", "attack", "breach", "incident", "advisory", "alert", "intelligence", "ioc", "indicator", "stix", "taxii", "apt", "campaign", "phishing")
-TIME_PATTERNS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSX", "yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd HH:mm:ssxx", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "dd MMM yyyy HH:mm:ss z", "dd MMM yyyy HH:mm:ss xx", "yyyy-MM-dd")
+# Time patterns with the shape of the text that each one reads.
+_DAY, _CLOCK = r"[0-9]{4}-[0-9]{2}-[0-9]{2}", r"[0-9]{2}:[0-9]{2}:[0-9]{2}"
+TIME_PATTERNS = {
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX": rf"^{_DAY}T{_CLOCK}\.[0-9]{{6}}(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSX": rf"^{_DAY}T{_CLOCK}\.[0-9]{{3}}(Z|[+-][0-9]{{2}}(:?[0-9]{{2}})?)$",
+    "yyyy-MM-dd'T'HH:mm:ssX": rf"^{_DAY}T{_CLOCK}(Z|[+-][0-9]{{2}})$",
+    "yyyy-MM-dd HH:mm:ssxx": rf"^{_DAY} {_CLOCK}[+-][0-9]{{4}}$",
+    "yyyy-MM-dd HH:mm:ss": rf"^{_DAY} {_CLOCK}$",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSS": rf"^{_DAY}T{_CLOCK}\.[0-9]{{6}}$",
+    "yyyy-MM-dd'T'HH:mm:ss": rf"^{_DAY}T{_CLOCK}$",
+    "dd MMM yyyy HH:mm:ss z": rf"^[0-9]{{2}} [A-Z][a-z]{{2}} [0-9]{{4}} {_CLOCK} [A-Z]+$",
+    "dd MMM yyyy HH:mm:ss xx": rf"^[0-9]{{2}} [A-Z][a-z]{{2}} [0-9]{{4}} {_CLOCK} [+-][0-9]{{4}}$",
+    "yyyy-MM-dd": rf"^{_DAY}$",
+}
 HASH_LENGTHS = {"md5": 32, "sha1": 40, "sha256": 64, "sha512": 128}
 
 _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
@@ -80,7 +93,7 @@ def normalize_timestamp(value: Column, now: Column) -> Column:
     number = value.try_cast("double")
     seconds = F.when(number > 1e12, number / 1000).otherwise(number)
     text = F.regexp_replace(value, r"^[A-Za-z]{3}, ", "")
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in TIME_PATTERNS])
+    parsed = F.coalesce(*[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(p))) for p, shape in TIME_PATTERNS.items()])
     time = F.when(number.isNotNull(), F.timestamp_seconds(F.floor(seconds))).otherwise(parsed)
     iso = F.concat(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))
     return F.when(F.coalesce(F.length(value), F.lit(0)) == 0, now).otherwise(F.coalesce(iso, value))

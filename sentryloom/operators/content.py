@@ -52,50 +52,65 @@ TAXII_PATHS = ("/taxii2/", "/taxii/", "/stix/taxii2/", "/api/taxii2/", "/feeds/t
 _ASCII = "(?<![A-Za-z0-9_])(?:{})(?![A-Za-z0-9_])"
 
 
-def _groups(words: tuple[str, ...]) -> list[str]:
-    """Alternations in which no keyword overlaps another, so that one scan a group counts every keyword on its own."""
-    groups: list[list[str]] = []
-    for word in sorted(words, key=lambda w: (-len(w), w)):
-        parts = set(re.split(r"\W+", word))
-        home = next((g for g in groups if not any(parts & set(re.split(r"\W+", o)) for o in g)), None)
-        if home is None:
-            groups.append(home := [])
-        home.append(word)
-    return ["|".join(re.escape(w) for w in g) for g in groups]
+#: What a text must hold for the clue pattern of the same place to be worth a scan.
+CLUE_GATES = ("attributed to", "linked to", "associated with", "believed to be", "targeted", "victim", "affected", "exploit", "deliver", "download", "execute", "researcher", "analysis", "investigation", ":", "[0-9a-f]{32}", r"[0-9]\.[0-9]", r"[a-z0-9]\.[a-z]")
+SUBJECTS = {**{c: words for c, (_, words) in SECURITY.items()}, **OTHER_SUBJECTS}
 
 
-def keyword_count(text: Column, words: tuple[str, ...]) -> Column:
-    """Whole-word occurrences of each keyword, added up, without regard to case."""
-    counts = [F.size(F.regexp_extract_all(text, F.lit("(?i)" + _ASCII.format(g)), F.lit(0))) for g in _groups(words)]
-    return sum(counts[1:], counts[0])
+def _alternation(words: set[str]) -> str:
+    """All keywords as one pattern, branching on the first letter, longer keywords first."""
+    by_letter: dict[str, list[str]] = {}
+    for w in sorted(words, key=lambda w: (-len(w), w)):
+        by_letter.setdefault(w[0], []).append(re.escape(w[1:]))
+    return "|".join(f"{re.escape(c)}(?:{'|'.join(rest)})" for c, rest in sorted(by_letter.items()))
+
+
+def keyword_matches(text: Column) -> Column:
+    """Keywords of all subjects in a text, in lower case, from a single scan.
+
+    Keywords inside a longer one (``phishing`` in ``spear phishing``) are not matched apart;
+    ``subject_count`` counts them with it.  No keyword ends as another one begins.
+    """
+    pattern = "(?i)" + _ASCII.format(_alternation({w for words in SUBJECTS.values() for w in words}))
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda w: F.lower(w))
+
+
+def subject_count(matches: Column, subjects: tuple[str, ...]) -> Column:
+    """Occurrences of each keyword of the subjects, added up, from the matches of a text."""
+    words = [w for s in subjects for w in SUBJECTS[s]]
+    counts = {m: sum(len(re.findall(rf"(?<!\w){re.escape(w)}(?!\w)", m)) for w in words) for m in {w for ws in SUBJECTS.values() for w in ws}}
+    table = F.create_map(*[x for m, n in sorted(counts.items()) if n for x in (F.lit(m), F.lit(n))])
+    return F.aggregate(matches, F.lit(0), lambda a, m: a + F.coalesce(F.element_at(table, m), F.lit(0)))
 
 
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\S+"))
 
 
-def security_scores(df: DataFrame, text: str) -> DataFrame:
+def security_scores(df: DataFrame, text: str, keep_matches: bool = False) -> DataFrame:
     """Adds a score in [0, 1] for each category of keywords, and ``security``, their mean."""
-    df = df.withColumn("_words", F.greatest(F.lit(1.0), word_count(F.col(text)) / 100))
-    df = df.withColumns({c: F.least(F.lit(1.0), keyword_count(F.col(text), words) / F.col("_words") * w) for c, (w, words) in SECURITY.items()})
+    df = df.withColumns({"_words": F.greatest(F.lit(1.0), word_count(F.col(text)) / 100), "_kw": keyword_matches(F.col(text))})
+    df = df.withColumns({c: F.least(F.lit(1.0), subject_count(F.col("_kw"), (c,)) / F.col("_words") * w) for c, (w, _) in SECURITY.items()})
     total = sum((F.col(c) for c in list(SECURITY)[1:]), F.col(next(iter(SECURITY))))
-    return df.withColumn("security", total / len(SECURITY)).drop("_words")
+    return df.withColumn("security", total / len(SECURITY)).drop("_words", *([] if keep_matches else ["_kw"]))
 
 
 def context_clues(text: Column) -> Column:
     """Distinct phrases of more than 5 characters (cut at 100) that speak for security content, the first 10."""
-    found = F.flatten(F.array(*[F.regexp_extract_all(F.lower(text), F.lit(f"(?i){p}"), F.lit(0)) for p in CLUES]))
+    low = F.lower(text)
+    gate = lambda g: low.rlike(g) if re.search(r"[\[\\]", g) else F.contains(low, F.lit(g))
+    found = F.flatten(F.array(*[F.when(gate(g), F.regexp_extract_all(low, F.lit(f"(?i){p}"), F.lit(0))).otherwise(F.array().cast("array<string>")) for p, g in zip(CLUES, CLUE_GATES, strict=True)]))
     return F.slice(F.array_distinct(F.filter(F.transform(found, lambda x: F.left(F.trim(x), F.lit(100))), lambda x: F.length(x) > 5)), 1, 10)
 
 
 def analyze_content(df: DataFrame, text: str) -> DataFrame:
     """Adds scores, clues, ``confidence``, ``content_type``, ``depth`` and the enrichment ``route``."""
-    df = security_scores(df, text).withColumn("clues", context_clues(F.col(text)))
+    df = security_scores(df, text, True).withColumn("clues", context_clues(F.col(text)))
     t = F.col(text)
     low = F.lower(t)
     phrases = sum((F.contains(low, F.lit(p)).cast("int") for p in PHRASES[1:]), F.contains(low, F.lit(PHRASES[0])).cast("int"))
     words = F.greatest(F.lit(1.0), word_count(t) / 50)
-    df = df.withColumns({"_other": F.least(F.lit(1.0), keyword_count(t, tuple(w for g in OTHER_SUBJECTS.values() for w in g)) / words), "_api": keyword_count(t, OTHER_SUBJECTS["api_docs"]), "_phrases": phrases})
+    df = df.withColumns({"_other": F.least(F.lit(1.0), subject_count(F.col("_kw"), tuple(OTHER_SUBJECTS)) / words), "_api": subject_count(F.col("_kw"), ("api_docs",)), "_phrases": phrases})
     df = df.withColumns({"_cve": t.rlike(r"(?i)CVE-[0-9]{4}-[0-9]{4,7}"), "_actor": t.rlike(ACTOR), "_mark": t.rlike(ENTITIES["ipv4"][0]) | t.rlike(r"\b(?:[a-fA-F0-9]{32}|[a-fA-F0-9]{40}|[a-fA-F0-9]{64})\b")})
     entity = F.least(F.lit(0.3), F.when(F.col("_cve"), 0.15).otherwise(0.0) + F.when(F.col("_actor"), 0.15).otherwise(0.0) + F.when(F.col("_mark"), 0.1).otherwise(0.0))
     confidence = 0.3 * F.col("security") + F.least(F.lit(0.25), 0.05 * F.size("clues")) + F.least(F.lit(0.15), 0.03 * F.col("_phrases")) + entity - 0.5 * F.col("_other")
@@ -111,7 +126,7 @@ def analyze_content(df: DataFrame, text: str) -> DataFrame:
     depth = F.when((c >= 0.7) & ((F.size("clues") >= 5) | named | F.col("_mark")), "comprehensive").when((c >= 0.4) | (F.size("clues") >= 3), "detailed").otherwise("basic")
     k = F.col("content_type")
     route = F.when(k.isin("security_threat", "security_advisory", "potential_security"), "advanced").when(k.isin("api_documentation", "security_tools"), "technical").when(k.isin("mixed_content", "unclear"), "hybrid").otherwise("basic")
-    return df.withColumn("content_type", kind).withColumns({"depth": depth, "route": route}).drop("_other", "_api", "_phrases", "_cve", "_actor", "_mark")
+    return df.withColumn("content_type", kind).withColumns({"depth": depth, "route": route}).drop("_kw", "_other", "_api", "_phrases", "_cve", "_actor", "_mark")
 
 
 def top_indicators(df: DataFrame, key: str, k: int = 3) -> DataFrame:
