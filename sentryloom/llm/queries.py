@@ -99,9 +99,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 4) == 2)
-    learn = docs.filter("NOT held_out").drop("held_out")
-    labelled = learn.join(table(spark, sf_dir, "labels").select("doc_id", "toxic"), "doc_id")
-    out = score_toxicity(docs, labelled, learn)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold("doc_id", 4) != 2)
+    out = score_toxicity(docs, docs.filter("NOT held_out"), labels)
     return out.select("doc_id", "held_out", "score", "predicted")
 
 

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,27 +128,29 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[np.
     return weights, float(b)
 
 
-def _smallest(df: DataFrame, id_col: str, n: int) -> DataFrame:
-    return df.withColumn("_h", F.xxhash64(F.lit(7), id_col)).orderBy("_h", id_col).limit(n).drop("_h")
+def _smallest(ids: DataFrame, id_col: str, n: int) -> DataFrame:
+    """Ids alone, so that no text moves: the n with the smallest hash."""
+    return ids.select(id_col).distinct().withColumn("_h", F.xxhash64(F.lit(7), id_col)).orderBy("_h", id_col).limit(n).select(id_col)
 
 
-def score_toxicity(docs: DataFrame, labelled: DataFrame, unlabelled: DataFrame, threshold: float = 0.3, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score_toxicity(docs: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float = 0.3, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """All rows and columns of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold``).
 
-    ``labelled`` has ids, texts and labels; its rows of label 1 are the confirmed toxic ones
-    and, unless ``prior`` is given, the share of label 1 among its rows is the class prior.
-    Other labels are not learned from.  ``unlabelled`` has ids and texts.  At most
-    ``POSITIVES`` and ``UNLABELLED`` rows of them are used.  Null and empty texts have no
-    features and get the bias alone; a text of any length is scored whole; repeated rows
-    score alike; an empty table gives an empty result; input columns named like the outputs
-    are replaced.  Without confirmed examples every score is low.
+    ``texts`` has the ids and texts to learn from, ``labels`` ids and labels: rows of label 1
+    are the confirmed toxic ones and, unless ``prior`` is given, the share of label 1 is the
+    class prior.  Other labels are not learned from; all of ``texts`` count as unlabelled.
+    At most ``POSITIVES`` and ``UNLABELLED`` texts are used, and only those are moved.  Null
+    and empty texts have no features and get the bias alone; a text of any length is scored
+    whole; repeated rows score alike; an empty table gives an empty result; input columns
+    named like the outputs are replaced.  Without confirmed examples every score is low.
     """
     docs = renamed_apart(docs, ["score", "predicted"])
-    known = labelled.filter(F.col(label_col).isNotNull())
+    known = labels.filter(F.col(label_col).isNotNull())
     if prior is None:
         prior = known.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
-    positive = _smallest(known.filter(F.col(label_col) == 1).select(id_col, text_col), id_col, POSITIVES).withColumn("_y", F.lit(1))
-    free = _smallest(unlabelled.select(id_col, text_col), id_col, UNLABELLED).withColumn("_y", F.lit(0))
+    positive = _smallest(known.filter(F.col(label_col) == 1), id_col, POSITIVES).withColumn("_y", F.lit(1))
+    free = _smallest(texts, id_col, UNLABELLED).withColumn("_y", F.lit(0))
+    picked = texts.select(id_col, text_col).join(F.broadcast(positive.unionByName(free)), id_col)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = WordTable(_hashed)
@@ -156,7 +158,7 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame, unlabelled: DataFrame,
             rows = [x.astype("<i4").tobytes() for x in text_features(table, batch[text_col].tolist())]
             yield pd.DataFrame({"_y": batch["_y"], "_h": batch["_h"], "_f": rows})
 
-    both = positive.unionByName(free).withColumn("_h", F.xxhash64(F.lit(7), id_col)).select("_y", "_h", text_col)
+    both = picked.withColumn("_h", F.xxhash64(F.lit(7), id_col)).select("_y", "_h", text_col)
     sample = sorted((r["_y"], r["_h"], bytes(r["_f"])) for r in both.mapInPandas(extract, "_y int, _h long, _f binary").toLocalIterator())
     weights, bias = fit([np.frombuffer(x[2], "<i4") for x in sample], np.array([x[0] == 1 for x in sample], bool), prior)
     model = docs.sparkSession.sparkContext.broadcast((np.flatnonzero(weights), weights[weights != 0], bias))
@@ -178,7 +180,3 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame, unlabelled: DataFrame,
             yield batch.assign(score=1 / (1 + np.exp(-np.clip(out, -30, 30))))
 
     return docs.mapInPandas(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
-
-
-def not_in_fold(id_col: str, folds: int, fold: int) -> Column:
-    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(0)) % folds != fold

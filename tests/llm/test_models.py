@@ -61,16 +61,16 @@ def test_code_switched_text_is_shared_between_its_languages(spark):
 
 def test_toxicity_held_out(spark, empty):
     sf = "/root/testdata/sf0.1"
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
-    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
-    train, test = docs.filter(~held), docs.filter(held)
-    rows = score_toxicity(test, train, train).collect()
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), spark.read.parquet(f"{sf}/labels.parquet")
+    held = fold("doc_id", 4) == 2
+    train, known = docs.filter(~held), labels.filter(~held)
+    rows = score_toxicity(docs.filter(held).join(labels, "doc_id"), train, known).collect()
     hit = sum(r.toxic and r.predicted for r in rows)
     assert hit / sum(r.predicted for r in rows) > 0.8 and hit / sum(r.toxic for r in rows) > 0.8
     odd = spark.createDataFrame([(1, None), (2, ""), (None, "idiot")], "doc_id long, text string").withColumn("predicted", F.lit("x"))
-    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in score_toxicity(odd, train, train).collect())
-    assert score_toxicity(empty, train, train).collect() == []
-    assert all(r.predicted == 0 for r in score_toxicity(odd, train.limit(0), train.limit(5)).collect())
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in score_toxicity(odd, train, known).collect())
+    assert score_toxicity(empty, train, known).collect() == []
+    assert all(r.predicted == 0 for r in score_toxicity(odd, train.limit(5), known.limit(0)).collect())
 
 
 def test_risk_slope():
