@@ -173,7 +173,7 @@ def attention_normalize(spark, d):
     return r(C.attention_normalize(rows, "user_id", "event_id", "weight"), "attention")
 
 
-LANG = """WITH t AS (SELECT doc_id, lang, lower(text) AS x FROM documents WHERE length(text) >= 3), g AS (SELECT doc_id, lang, substr(x, i, 3) AS gram FROM t, unnest(range(1, length(x) - 1)) AS u(i)),
+LANG = """WITH t AS (SELECT doc_id, lang, string_split(lower(text), '') AS x FROM documents WHERE length(text) >= 3), g AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(x) - 1), lambda i: x[i] || x[i + 1] || x[i + 2])) AS gram FROM t),
 m AS (SELECT lang, gram, count(*) AS n FROM g WHERE doc_id % 2 = 0 GROUP BY 1, 2), tot AS (SELECT lang, sum(n) AS total FROM m GROUP BY 1), q AS (SELECT doc_id, gram, count(*) AS n FROM g WHERE doc_id % 2 = 1 GROUP BY 1, 2), qs AS (SELECT doc_id, sum(n) AS n FROM q GROUP BY 1),
 s AS (SELECT q.doc_id, m.lang, sum(q.n * (ln((m.n + 1) / (total + 100000)) - ln(1 / (total + 100000)))) AS gain FROM q JOIN m USING (gram) JOIN tot ON tot.lang = m.lang GROUP BY 1, 2),
 b AS (SELECT doc_id, arg_max(s.lang, gain + qs.n * ln(1 / (total + 100000))) AS detected FROM s JOIN qs USING (doc_id) JOIN tot ON tot.lang = s.lang GROUP BY 1)
