@@ -5,6 +5,7 @@
    the retained values give candidates.  A pair at the threshold shares at least ``o`` of
    its retained values, but for a chance below 1e-6, so of each sketch only the
    ``k - o + 1`` values that the fewest sketches hold need a list: common passages drop out.
+   A set that its sketch holds whole counts what a partner's cut sketch may leave out.
 3. Short lists give all their pairs.  Members of long lists get lists again from their
    full sets, where ``o`` is exact: a prefix of the rarest shingles of each set.  Lists
    that stay long (large groups of near copies) are not expanded: their most central
@@ -67,13 +68,33 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     return wanted.join(sets, "_fp").groupBy("_node").agg(F.first("_n").alias("_n"), F.first("_set").alias("_set"))
 
 
-def _overlap(size: Column, sampled: bool) -> Column:
-    """How many retained values a pair at the threshold shares at least: exactly, or up to chance."""
+def _cut_partner_overlap(n: int, k: int) -> int:
+    """How many values a whole sketch of n at most k shingles shares at least, up to chance, with the sketch of a linked set of more than k.
+
+    The k values that the larger set keeps are a random sample of its m, of which at least
+    the overlap that the sizes ask for lie in the smaller set.
+    """
+    chance = math.erfc(SIGMAS / math.sqrt(2)) / 2
+    both, least = LEAST[0] + LEAST[1], n
+    for m in range(k + 1, n * LEAST[1] // LEAST[0] + 1):
+        shared = -(-(n + m) * LEAST[0] // both)
+        below, got = 0.0, max(0, k - (m - shared))
+        while got < least and (below := below + math.comb(shared, got) * math.comb(m - shared, k - got) / math.comb(m, k)) <= chance:
+            got += 1
+        least = got
+    return least
+
+
+def _overlap(size: Column, k: int | None) -> Column:
+    """How many retained values a pair at the threshold shares at least: exactly, or, where a sketch of the pair may be cut, up to chance."""
     share = LEAST[0] / LEAST[1]
     exact = F.floor((size * LEAST[0] + LEAST[1] - 1) / LEAST[1])
-    if not sampled:
+    if k is None:
         return exact
-    return F.when(F.col("_n") <= size, exact).otherwise(F.floor(size * share - F.sqrt(size * (share * (1 - share))) * SIGMAS))
+    out = F.when(F.col("_n") * LEAST[1] < (k + 1) * LEAST[0], exact)
+    for n in range(-(-(k + 1) * LEAST[0] // LEAST[1]), k + 1):
+        out = out.when(F.col("_n") == n, F.least(exact, F.lit(_cut_partner_overlap(n, k))))
+    return out.otherwise(F.floor(size * share - F.sqrt(size * (share * (1 - share))) * SIGMAS))
 
 
 def _prefix_lists(values: DataFrame, nodes: DataFrame, sampled: bool, k: int | None) -> DataFrame:
@@ -96,12 +117,12 @@ def _prefix_lists(values: DataFrame, nodes: DataFrame, sampled: bool, k: int | N
     grouped = shared.groupBy("_node").agg(F.sort_array(F.collect_list(F.struct("_c", "_v"))).alias("_l"), F.sum("_c").alias("_central")).join(nodes.select("_node", "_n"), "_node")
     size = F.least("_n", F.lit(k)) if k else F.col("_n")
     free = size - F.size("_l")  # values that no other set holds come first and need no list
-    length = F.greatest(F.lit(0), size - _overlap(size, sampled) + 1 - free).cast("int")
+    length = F.greatest(F.lit(0), size - _overlap(size, k) + 1 - free).cast("int")
     rows = grouped.select("_node", "_n", "_central", free.alias("_free"), F.posexplode(F.slice("_l", F.lit(1), length)).alias("_at", "_x"))
     rows = written(rows.select("_node", "_n", "_central", (F.col("_n") - F.col("_free") - F.col("_at")).alias("_left"), F.col("_x._v").alias("_v")))
     if not sampled:
         smallest = rows.groupBy("_v").agg(F.min("_n").alias("_least"))
-        rows = rows.join(smallest, "_v").filter(F.col("_left") >= _shared_at_least(F.col("_n"), F.greatest("_least", _overlap(F.col("_n"), False)))).drop("_least")
+        rows = rows.join(smallest, "_v").filter(F.col("_left") >= _shared_at_least(F.col("_n"), F.greatest("_least", _overlap(F.col("_n"), None)))).drop("_least")
     lengths = rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     return rows.join(lengths, "_v")
 

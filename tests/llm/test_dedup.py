@@ -67,6 +67,18 @@ def test_near_duplicates_large_groups_and_chains(spark):
     assert kept == {i for i, _, c in brute(rows) if i == c}
 
 
+def test_near_duplicates_of_whole_and_cut_sketches(spark):
+    """Linked pairs of a set that its sketch holds whole (at most 64 shingles) and one that is cut, no other text sharing."""
+    rng = random.Random(64)
+    rows = []
+    for n, m in [(64, 85), (64, 84), (63, 83), (62, 82), (64, 80), (60, 80), (56, 74), (52, 69), (49, 65)] * 12:
+        text = words(rng, m + 4).split()
+        at = len(rows)
+        rows += [(at, " ".join(text[: n + 4])), (at + 1, " ".join(text))]
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], DOC)
+    assert got(near_duplicates(df)) == brute(rows)
+
+
 def test_near_duplicates_on_documents(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert got(near_duplicates(docs)) == brute(rows)
