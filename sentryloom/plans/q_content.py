@@ -229,17 +229,30 @@ def exact_jaccard_pairs(spark, d):
     return r(S.exact_jaccard_pairs(frame(spark, d, "documents"), "doc_id", "text", 0.75), "jaccard")
 
 
+def _bloom(rows):
+    """A filter of the rows' URLs, sized for as many as are distinct, with its bits and hash functions."""
+    m, k = S.bloom_size(max(1, rows.agg(F.count_distinct("url")).first()[0]), 0.01)
+    return S.bloom_build(rows, "url", m, k), m, k
+
+
 @query("SELECT page_id, true AS maybe FROM pages WHERE page_id % 2 = 0")
 def bloom_contains(spark, d):
     p = frame(spark, d, "pages").filter("page_id % 2 = 0")
-    m, k = S.bloom_size(100_000, 0.01)
-    return S.bloom_contains(p, S.bloom_build(p, "url", m, k), "url", "page_id", m, k).select("page_id", "maybe")
+    bloom, m, k = _bloom(p)
+    return S.bloom_contains(p, bloom, "url", "page_id", m, k).select("page_id", "maybe")
+
+
+@query()
+def bloom_probe(spark, d):
+    """All pages asked of a filter of the even ones."""
+    p = frame(spark, d, "pages")
+    bloom, m, k = _bloom(p.filter("page_id % 2 = 0"))
+    return S.bloom_contains(p, bloom, "url", "page_id", m, k).select("page_id", "maybe")
 
 
 @query()
 def bloom_stats(spark, d):
-    m, k = S.bloom_size(100_000, 0.01)
-    return S.bloom_stats(S.bloom_build(frame(spark, d, "pages"), "url", m, k), m, k)
+    return S.bloom_stats(*_bloom(frame(spark, d, "pages")))
 
 
 # Graph ----------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from sentryloom.operators import content as C
 from sentryloom.operators import records
 from sentryloom.operators import similarity as S
+from sentryloom.plans.catalog import QUERIES
 
 
 def grams(t):
@@ -40,6 +41,17 @@ def test_bloom_has_no_false_negatives_and_few_false_positives(spark):
     assert 0.4 < stats.fill < 0.6 and stats.fpp < 0.05
 
 
+def test_bloom_queries_are_sized_for_the_table(spark, tmp_path):
+    pages = spark.range(300_000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://a.example/"), "id").alias("url"))
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    stats = QUERIES["bloom_stats"](spark, str(tmp_path)).first()
+    assert 0.4 < stats.fill < 0.6 and stats.fpp < 0.02
+    wrong = F.sum((F.col("maybe") != (F.col("page_id") % 2 == 0)).cast("int"))
+    missed = F.sum((~F.col("maybe") & (F.col("page_id") % 2 == 0)).cast("int"))
+    probe = QUERIES["bloom_probe"](spark, str(tmp_path)).agg(F.count(F.lit(1)).alias("n"), missed.alias("missed"), wrong.alias("wrong")).first()
+    assert probe.n == 300_000 and probe.missed == 0 and probe.wrong < 0.02 * 150_000
+
+
 def test_pages_become_sections_in_order(spark):
     html = "<html><title>A &amp; B</title><script>var p='<p>no</p>'</script><nav><li>menu</li></nav><article><h1>Head</h1><p>One <b>two</b></p><ul><li>x</li></ul><blockquote>q</blockquote></article></html>"
     rows = C.parse_pages(spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")).collect()
