@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import _filled, normalize_tags, normalize_url
 from .relations import validate_messages
-from .similarity import candidate_pairs, hamming, lsh_buckets, minhash_similarity, simhash_buckets
+from .similarity import candidate_pairs, hamming, lsh_buckets, minhash, minhash_similarity, similar_pairs, simhash, simhash_buckets, text_name
 
 # Classes that count as near, and the weights of an analysis score.
 CLASS_GROUPS = {"malware": "malware", "ransomware": "malware", "trojan": "malware", "phishing": "phishing", "spear_phishing": "phishing", "apt": "apt", "targeted_attack": "apt"}
@@ -92,3 +92,21 @@ def duplicate_flag(new: DataFrame, known: DataFrame, key: str, threshold: float
     scored = scored.withColumn("score", 0.7 * minhash_similarity(F.col("ma"), F.col("mb")) + 0.3 * (1 - hamming(F.col("sa"), F.col("sb")) / 64)).filter(F.col("score") >= threshold)
     best = scored.groupBy(F.when(F.col("na"), F.col("a")).otherwise(F.col("b")).alias(key)).agg(F.max("score").alias("best"), F.count(F.lit(1)).alias("matches"))
     return new.select(key).join(best, key, "left").withColumn("duplicate", F.col("best").isNotNull()).fillna({"best": 0.0, "matches": 0})
+
+
+def duplicate_documents(new: DataFrame, known: DataFrame, key: str, text: str, threshold: float = 0.8) -> DataFrame:
+    """``duplicate_flag`` for every row of ``new``, from texts: ``best``, ``matches`` (known rows, each copy counted) and ``duplicate``.
+
+    Equal texts share one fingerprint and match each other at 1, with or without words.
+    """
+    both = new.select(key, text, F.lit(1).alias("_new")).unionByName(known.select(key, text, F.lit(0).alias("_new"))).withColumn("_m", text_name(text))
+    classes = both.groupBy("_m").agg(F.min(F.struct(key, text)).alias("_r"), F.sum(1 - F.col("_new")).alias("_known"))
+    reps = classes.select("_r.*")
+    pairs = similar_pairs(minhash(reps, key, text).join(simhash(reps, key, text), key), key, threshold)
+    own = reps.select(F.col(key).alias("a"), F.col(key).alias("b"), F.lit(1.0).alias("score"))
+    either = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "score")).unionByName(own)
+    held = classes.filter("_known > 0").select(F.col(f"_r.{key}").alias("b"), "_known")
+    best = either.join(held, "b").groupBy("a").agg(F.max("score").alias("best"), F.sum("_known").alias("matches"))
+    named = classes.select("_m", F.col(f"_r.{key}").alias("a")).join(best, "a", "left").drop("a")
+    out = new.select(key, text_name(text).alias("_m")).join(named, "_m", "left").drop("_m")
+    return out.withColumn("duplicate", F.col("best").isNotNull()).fillna({"best": 0.0, "matches": 0})

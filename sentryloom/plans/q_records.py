@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import records as C
 from ..operators import relations as R
 from ..sources.stand_ins import frame
-from .q_content import _fingerprints
 from .q_reports import SCORE, now
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -87,5 +86,5 @@ def cache_warm(spark, d):
 
 @query()
 def duplicate_flag(spark, d):
-    fp = _fingerprints(spark, d)
-    return C.duplicate_flag(fp.filter("doc_id % 5 = 0"), fp.filter("doc_id % 5 <> 0"), "doc_id")
+    docs = frame(spark, d, "documents")
+    return C.duplicate_documents(docs.filter("doc_id % 5 = 0"), docs.filter("doc_id % 5 <> 0"), "doc_id", "text")

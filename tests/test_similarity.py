@@ -52,6 +52,16 @@ def test_bloom_queries_are_sized_for_the_table(spark, tmp_path):
     assert probe.n == 300_000 and probe.missed == 0 and probe.wrong < 0.02 * 150_000
 
 
+def test_exact_copies_keep_their_links(spark, tmp_path):
+    text = "the quick brown fox jumps over the lazy dog"
+    texts = {1: text, 2: "nothing like it at all, really", 5: text, 6: text, 7: text.replace("quick ", "quick  "), 10: "a b", 11: "a b", 15: None, 20: "alone with these words"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    flags = {r.doc_id: (r.duplicate, r.matches, r.best) for r in QUERIES["duplicate_flag"](spark, str(tmp_path)).collect()}
+    assert flags == {5: (True, 3, 1.0), 10: (True, 1, 1.0), 15: (False, 0, 0.0), 20: (False, 0, 0.0)}
+    pairs = {(r.a, r.b) for r in QUERIES["similar_pairs"](spark, str(tmp_path)).collect()}
+    assert pairs == {(1, 5), (1, 6), (1, 7), (10, 11)}
+
+
 def test_pages_become_sections_in_order(spark):
     html = "<html><title>A &amp; B</title><script>var p='<p>no</p>'</script><nav><li>menu</li></nav><article><h1>Head</h1><p>One <b>two</b></p><ul><li>x</li></ul><blockquote>q</blockquote></article></html>"
     rows = C.parse_pages(spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")).collect()
