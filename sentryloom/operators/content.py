@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import small
+
 # Keywords and weights by category, clue patterns, phrases and negative words.
 SECURITY = {
     "threat_actors": (0.9, ("apt", "apt28", "apt29", "lazarus", "fin7", "carbanak", "turla", "cozy bear", "fancy bear", "equation group", "darkhydrus", "threat actor", "threat group", "campaign", "operation")),
@@ -114,7 +116,8 @@ def analyze_content(df: DataFrame, text: str) -> DataFrame:
     df = df.withColumns({"_cve": t.rlike(r"(?i)CVE-[0-9]{4}-[0-9]{4,7}"), "_actor": t.rlike(ACTOR), "_mark": t.rlike(ENTITIES["ipv4"][0]) | t.rlike(r"\b(?:[a-fA-F0-9]{32}|[a-fA-F0-9]{40}|[a-fA-F0-9]{64})\b")})
     entity = F.least(F.lit(0.3), F.when(F.col("_cve"), 0.15).otherwise(0.0) + F.when(F.col("_actor"), 0.15).otherwise(0.0) + F.when(F.col("_mark"), 0.1).otherwise(0.0))
     confidence = 0.3 * F.col("security") + F.least(F.lit(0.25), 0.05 * F.size("clues")) + F.least(F.lit(0.15), 0.03 * F.col("_phrases")) + entity - 0.5 * F.col("_other")
-    df = df.withColumn("confidence", F.greatest(F.lit(0.0), F.least(F.lit(1.0), confidence)))
+    # In whole millionths: what lies on a threshold but for the noise of doubles reaches it.
+    df = df.withColumn("confidence", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), confidence)) + 1e-9, 6))
     c, named = F.col("confidence"), F.col("_cve") | F.col("_actor")
     kind = (
         F.when(c >= 0.7, "security_threat")
@@ -271,25 +274,28 @@ def attention_normalize(df: DataFrame, key: str, phrase: str, weight: str, most:
 
 def trigrams(df: DataFrame, key: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Counts of lower-case character trigrams of each row."""
-    low = F.lower(F.col(text))
-    grams = F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substr(low, i, F.lit(3)))
-    return df.filter(F.length(text) >= 3).select(key, *extra, F.explode(grams).alias("gram")).groupBy(key, *extra, "gram").agg(F.count(F.lit(1)).alias("n"))
+    split = F.array(F.split(F.lower(F.col(text)), ""))  # bound to a variable, so that a text is split once
+    grams = F.flatten(F.transform(split, lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))))
+    return df.filter((F.length(text) >= 3) & (F.length(F.lower(text)) >= 3)).select(key, *extra, F.explode(grams).alias("gram")).groupBy(key, *extra, "gram").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fit_language(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """Smoothed log-probabilities of trigrams by language, as a table."""
-    counts = trigrams(df, key, text, (lang,)).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
+    counts = trigrams(df.filter(F.col(lang).isNotNull()), key, text, (lang,)).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), lang).select(lang, "gram", F.log((F.col("n") + 1) / (F.col("total") + 100_000)).alias("logp"), F.log(1 / (F.col("total") + 100_000)).alias("floor"))
+    return counts.join(totals, lang).select(lang, "gram", F.log((F.col("n") + 1) / (F.col("total") + 100_000)).alias("logp"), F.log(1 / (F.col("total") + 100_000)).alias("floor"))
 
 
 def detect_language(df: DataFrame, model: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """The likeliest language of each row; ``unknown`` where no trigram is known."""
+    """The likeliest language of each row; ``unknown`` where no trigram is known.
+
+    ``model`` should be a written table: its size is checked before it is broadcast.
+    """
     # logp - floor of known trigrams plus the floor for all of them: absent (language, trigram) rows need no join.
     grams = trigrams(df, key, text)
     floors = model.groupBy(lang).agg(F.first("floor").alias("_floor"))
-    scores = grams.join(model, "gram").groupBy(key, lang).agg(F.sum(F.col("n") * (F.col("logp") - F.col("floor"))).alias("gain"))
+    scores = grams.join(small(model), "gram").groupBy(key, lang).agg(F.sum(F.col("n") * (F.col("logp") - F.col("floor"))).alias("gain"))
     totals = grams.groupBy(key).agg(F.sum("n").alias("_n"))
-    full = scores.join(totals, key).join(F.broadcast(floors), lang).withColumn("score", F.col("gain") + F.col("_n") * F.col("_floor"))
+    full = scores.join(totals, key).join(small(floors), lang).withColumn("score", F.col("gain") + F.col("_n") * F.col("_floor"))
     best = full.groupBy(key).agg(F.max_by(lang, F.struct("score", lang)).alias("detected"))
     return df.select(key).join(best, key, "left").withColumn("detected", F.coalesce("detected", F.lit("unknown")))

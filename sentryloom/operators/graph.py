@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import pairs_by_key, written
+
 # Labels by STIX type and by entity kind.
 STIX_LABELS = {"attack-pattern": "AttackPattern", "campaign": "Campaign", "intrusion-set": "ThreatActor", "threat-actor": "ThreatActor", "malware": "Malware", "vulnerability": "Vulnerability", "tool": "Tool", "identity": "Identity"}
 ENTITY_LABELS = {"ip": "Indicator", "domain": "Indicator", "url": "Indicator", "hash": "Indicator", "email": "Indicator", "cve": "Vulnerability", "threat_actor": "ThreatActor", "malware": "Malware", "attack_pattern": "AttackPattern", "campaign": "Campaign", "vulnerability": "Vulnerability"}
@@ -100,20 +102,23 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def neighbors(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
-    """``origin, id, hops``: everything within so many hops of the start nodes, with the least number of hops."""
-    link = _both_ways(edges)
+    """``origin, id, hops``: everything within so many hops of the start nodes, with the least number of hops.
+
+    What each hop finds is written, so the plan does not grow with the depth.
+    """
+    link = written(_both_ways(edges))
     seen = start.select(F.col("id").alias("origin"), "id", F.lit(0).alias("hops"))
     front = seen
     for hop in range(1, depth + 1):
         found = front.join(link, front["id"] == link["a"]).select("origin", F.col("b").alias("id"), F.lit(hop).alias("hops")).distinct()
-        front = found.join(seen.select("origin", "id"), ["origin", "id"], "left_anti")
+        front = written(found.join(seen.select("origin", "id"), ["origin", "id"], "left_anti"))
         seen = seen.unionByName(front)
     return seen
 
 
 def shortest_path(edges: DataFrame, a: str, b: str, most: int = 6) -> DataFrame:
     """``path``: one shortest path between two nodes (of several the smallest in order), no row if there is none within ``most`` hops."""
-    link = _both_ways(edges)
+    link = written(_both_ways(edges))
     front = edges.sparkSession.createDataFrame([(a, [a])], "id string, path array<string>")
     seen = front.select("id")
     for _ in range(most):
@@ -121,7 +126,7 @@ def shortest_path(edges: DataFrame, a: str, b: str, most: int = 6) -> DataFrame:
         if a == b or hit.limit(1).count():
             return hit
         found = front.join(link, front["id"] == link["a"]).select(F.col("b").alias("id"), F.concat("path", F.array("b")).alias("path"))
-        front = found.join(seen, "id", "left_anti").groupBy("id").agg(F.min("path").alias("path"))
+        front = written(found.join(seen, "id", "left_anti").groupBy("id").agg(F.min("path").alias("path")))
         seen = seen.unionByName(front.select("id"))
     return front.filter(F.col("id") == b).select("path")
 
@@ -149,5 +154,4 @@ def graph_priority(known: Column, reputation: Column, unseen: Column, gap: Colum
 
 def indicator_cooccurrence(mentions: DataFrame, article: str, indicator: str) -> DataFrame:
     """Pairs of articles a < b with the number of indicators that they share."""
-    a, b = mentions.select(F.col(article).alias("a"), indicator), mentions.select(F.col(article).alias("b"), indicator)
-    return a.join(b, indicator).filter("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    return pairs_by_key(mentions.select(article, indicator), [indicator], article).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))

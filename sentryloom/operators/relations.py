@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import pairs_by_key, small
+
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
     """The first row of each key by an order that leaves no ties."""
@@ -47,10 +49,10 @@ def crawl_priority(url: Column, recent: Column, mentions: Column, graph_priority
 
 
 def enrich_geo(df: DataFrame, ip: str, geo: DataFrame) -> DataFrame:
-    """Rows whose IPv4 lies in a network of ``geo`` (``low, high`` as numbers): an equi-join on the first octet, then the range."""
+    """Rows whose IPv4 lies in a network of ``geo`` (``low, high`` as numbers): an equi-join on the first two octets, then the range."""
     number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"), lambda a, x: a * 256 + x.try_cast("long"))
-    nets = geo.withColumn("_o", F.explode(F.sequence(F.shiftright("low", 24), F.shiftright("high", 24))))
-    rows = df.withColumn("_ip", number).withColumn("_o", F.shiftright("_ip", 24))
+    nets = geo.withColumn("_o", F.explode(F.sequence(F.shiftright("low", 16), F.shiftright("high", 16))))
+    rows = df.withColumn("_ip", number).withColumn("_o", F.shiftright("_ip", 16))
     return rows.join(nets, "_o").filter(F.col("_ip").between(F.col("low"), F.col("high"))).drop("_o", "_ip", "low", "high")
 
 
@@ -63,8 +65,8 @@ def enrich_entities(rows: DataFrame, ids: str, dim: DataFrame, key: str, out: st
 
 def related_content(mentions: DataFrame, article: str, indicator: str, k: int) -> DataFrame:
     """For each article the k others that share most indicators (ties: the smaller id)."""
-    a, b = mentions.select(F.col(article).alias("a"), indicator), mentions.select(F.col(article).alias("b"), indicator)
-    shared = a.join(b, indicator).filter("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    pairs = pairs_by_key(mentions.select(article, indicator), [indicator], article).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    shared = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
     nth = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("shared"), "b"))
     return shared.withColumn("rank", nth).filter(F.col("rank") <= k)
 
@@ -166,7 +168,7 @@ def frontier_add(frontier: DataFrame, new: DataFrame, capacity: int) -> DataFram
 def frontier_take(frontier: DataFrame, n: int) -> DataFrame:
     """The frontier after its n best pending tasks (ties: the larger id) went in progress."""
     taken = frontier.filter("status = 'pending'").orderBy(F.desc("priority"), F.desc("task_id")).limit(n).select("task_id").withColumn("_t", F.lit(True))
-    return frontier.join(F.broadcast(taken), "task_id", "left").withColumn("status", F.when(F.col("_t"), "in_progress").otherwise(F.col("status"))).drop("_t")
+    return frontier.join(small(taken), "task_id", "left").withColumn("status", F.when(F.col("_t"), "in_progress").otherwise(F.col("status"))).drop("_t")
 
 
 def frontier_complete(frontier: DataFrame, results: DataFrame) -> DataFrame:

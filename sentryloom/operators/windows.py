@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What counts as permanent, and the thresholds and check intervals (hours) of a link.
 PERMANENT_TYPES = ("http_404", "http_410", "dns_error")
@@ -49,16 +54,12 @@ def health_score(probes: DataFrame, key: str = "url", ts: str = "ts", order: str
     The clamp makes this a fold in time order over the key's probes, in whole hundredths.
     """
     rows = recent_failures(probes, 24, key, ts).withColumn("_d", F.when(F.col("successes") > 0, 10).otherwise(0) - 50 * F.col("permanent") - 20 * (F.col("failures") - F.col("permanent")))
-    start = F.struct(F.lit(100).cast("long").alias("x"), F.array().cast("array<bigint>").alias("scores"))
 
-    def step(acc: Column, r: Column) -> Column:
-        x = F.greatest(F.lit(0), F.least(F.lit(100), acc["x"] + r["d"])).cast("long")
-        return F.struct(x.alias("x"), F.array_append(acc["scores"], x).alias("scores"))
+    def step(x: int, _, d: int) -> tuple[float, int]:
+        x = max(0, min(100, x + d))
+        return x / 100, x
 
-    lists = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(micros(ts).alias("t"), F.col(order).alias("i"), F.col("_d").cast("long").alias("d")))).alias("_r"))
-    scores = lists.select(key, F.explode(F.arrays_zip(F.col("_r.i").alias("i"), F.aggregate("_r", start, step)["scores"].alias("s"))).alias("_z"))
-    scores = scores.select(key, F.col("_z.i").alias(order), (F.col("_z.s") / 100.0).alias("health"))
-    return rows.drop("_d").join(scores, [key, order])
+    return fold_in_order(rows, key, ts, order, lambda: 100, step, "health", "double", "_d").drop("_d")
 
 
 def link_status(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id") -> DataFrame:
@@ -71,11 +72,29 @@ def link_status(probes: DataFrame, key: str = "url", ts: str = "ts", order: str
     return rows.withColumn("next_check_hours", hours)
 
 
-def _fold(df: DataFrame, key: str, ts: str, order: str, start: Column, step, passes: str) -> DataFrame:
-    """Rows of each key in time order through an accumulator that marks those that pass."""
-    lists = df.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(micros(ts).alias("t"), F.col(order).alias("i")))).alias("_rows"))
-    state = F.aggregate("_rows", start, step)
-    return lists.select(key, F.explode(state["kept"]).alias(order)).withColumn(passes, F.lit(True))
+def fold_in_order(df: DataFrame, key: str, ts: str, order: str, start: Callable[[], object], step: Callable, out: str, kind: str, value: str | None = None) -> DataFrame:
+    """Adds ``out``: what ``step(state, time, value)`` gives for each row of a key in time order, beside the next state.
+
+    Rows are sorted by key and time within their partition and stream through in Arrow
+    batches; a task holds one batch and the state of one key, however many rows the key has.
+    """
+    types = {"boolean": (T.BooleanType(), pa.bool_()), "double": (T.DoubleType(), pa.float64())}[kind]
+    rows = df.withColumn("_us", micros(ts)).repartition(key).sortWithinPartitions(key, "_us", order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state, fresh = None, None, True
+        for batch in batches:
+            keys, times = batch.column(key).to_pylist(), batch.column("_us").to_pylist()
+            values = batch.column(value).to_pylist() if value else [None] * len(keys)
+            found = []
+            for k, t, v in zip(keys, times, values, strict=True):
+                if fresh or k != at:
+                    at, state, fresh = k, start(), False
+                said, state = step(state, t, v)
+                found.append(said)
+            yield batch.append_column(out, pa.array(found, types[1]))
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, types[0])])).drop("_us")
 
 
 def dedupe_ttl(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 86_400) -> DataFrame:
@@ -83,26 +102,26 @@ def dedupe_ttl(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int =
 
     The age counts from the last row that passed, so this is a fold and not a gap between rows.
     """
-    start = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("kept"))
 
-    def step(acc: Column, x: Column) -> Column:
-        ok = acc["last"].isNull() | (x["t"] - acc["last"] >= ttl_seconds * 1_000_000)
-        return F.struct(F.when(ok, x["t"]).otherwise(acc["last"]).alias("last"), F.when(ok, F.array_append(acc["kept"], x["i"])).otherwise(acc["kept"]).alias("kept"))
+    def step(last: int | None, t: int, _) -> tuple[bool, int]:
+        ok = last is None or t - last >= ttl_seconds * 1_000_000
+        return ok, t if ok else last
 
-    return df.join(_fold(df, key, ts, order, start, step, "_ok").select(key, order), [key, order], "left_semi")
+    return fold_in_order(df, key, ts, order, lambda: None, step, "_ok", "boolean").filter("_ok").drop("_ok")
 
 
 def rate_limit_sliding(df: DataFrame, key: str, ts: str, order: str, limit: int, window_seconds: int) -> DataFrame:
     """Adds ``allowed``: fewer than ``limit`` allowed requests of the key in the last seconds; denied ones do not count."""
-    start = F.struct(F.array().cast("array<bigint>").alias("times"), F.array().cast("array<bigint>").alias("kept"))
 
-    def step(acc: Column, x: Column) -> Column:
-        live = F.filter(acc["times"], lambda t: t > x["t"] - window_seconds * 1_000_000)
-        ok = F.size(live) < limit
-        return F.struct(F.when(ok, F.array_append(live, x["t"])).otherwise(live).alias("times"), F.when(ok, F.array_append(acc["kept"], x["i"])).otherwise(acc["kept"]).alias("kept"))
+    def step(times: deque, t: int, _) -> tuple[bool, deque]:
+        while times and times[0] <= t - window_seconds * 1_000_000:
+            times.popleft()
+        ok = len(times) < limit
+        if ok:
+            times.append(t)
+        return ok, times
 
-    passed = _fold(df, key, ts, order, start, step, "_ok")
-    return df.join(passed, [key, order], "left").withColumn("allowed", F.coalesce("_ok", F.lit(False))).drop("_ok")
+    return fold_in_order(df, key, ts, order, deque, step, "allowed", "boolean")
 
 
 def rate_limit_fixed(df: DataFrame, key: str, ts: str, order: str, budget: int, unit: str = "minute") -> DataFrame:
@@ -114,17 +133,16 @@ def rate_limit_fixed(df: DataFrame, key: str, ts: str, order: str, budget: int,
 
 def token_bucket(df: DataFrame, key: str, ts: str, order: str, capacity: int, per_seconds: int) -> DataFrame:
     """Adds ``allowed``: a bucket of ``capacity`` tokens refilled evenly over ``per_seconds``; in whole micro-tokens, so exact."""
-    full = capacity * per_seconds * 1_000_000  # a token is per_seconds * 1e6 units; capacity units come back each microsecond
-    one = per_seconds * 1_000_000
-    start = F.struct(F.lit(full).cast("long").alias("level"), F.lit(None).cast("long").alias("last"), F.array().cast("array<bigint>").alias("kept"))
+    one = per_seconds * 1_000_000  # units of a token; ``capacity`` units come back each microsecond
+    full = capacity * one
 
-    def step(acc: Column, x: Column) -> Column:
-        level = F.least(F.lit(full).cast("long"), acc["level"] + F.least(F.lit(one), x["t"] - F.coalesce(acc["last"], x["t"])) * capacity).cast("long")
+    def step(state: tuple[int, int | None], t: int, _) -> tuple[bool, tuple[int, int]]:
+        level, last = state
+        level = min(full, level + (t - last) * capacity) if last is not None else full
         ok = level >= one
-        return F.struct(F.when(ok, level - one).otherwise(level).cast("long").alias("level"), x["t"].alias("last"), F.when(ok, F.array_append(acc["kept"], x["i"])).otherwise(acc["kept"]).alias("kept"))
+        return ok, (level - one if ok else level, t)
 
-    passed = _fold(df, key, ts, order, start, step, "_ok")
-    return df.join(passed, [key, order], "left").withColumn("allowed", F.coalesce("_ok", F.lit(False))).drop("_ok")
+    return fold_in_order(df, key, ts, order, lambda: (full, None), step, "allowed", "boolean")
 
 
 def best_so_far(df: DataFrame, group: str, order: str, score: str, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ from ..operators import content as C
 from ..operators import graph as G
 from ..operators import similarity as S
 from ..sources.stand_ins import frame, sql_with
+from ..tables import written
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -67,16 +68,16 @@ ANALYSE = (
     + f", f AS (SELECT *, least(1.0, ({count_sql(ALL_OTHER)}) / greatest(1.0, len(regexp_extract_all(text, '\\S+')) / 50)) AS other, {count_sql(C.OTHER_SUBJECTS['api_docs'])} AS api, "
     + " + ".join(f"contains(lower(text), '{p}')::INT" for p in C.PHRASES)
     + f" AS phrases, regexp_matches(text, '(?i)CVE-[0-9]{{4}}-[0-9]{{4,7}}') AS cve, regexp_matches(text, '{C.ACTOR}') AS actor, regexp_matches(text, '\\b(?:[0-9]{{1,3}}\\.){{3}}[0-9]{{1,3}}\\b') OR regexp_matches(text, '\\b(?:[a-fA-F0-9]{{32}}|[a-fA-F0-9]{{40}}|[a-fA-F0-9]{{64}})\\b') AS mark FROM c)"
-    + f", g AS (SELECT *, greatest(0, least(1, 0.3 * {TOTAL} + least(0.25, 0.05 * len(clues)) + least(0.15, 0.03 * phrases) + least(0.3, cve::INT * 0.15 + actor::INT * 0.15 + mark::INT * 0.1) - 0.5 * other))::DOUBLE AS confidence FROM f)"
+    + f", g0 AS (SELECT *, greatest(0, least(1, 0.3 * {TOTAL} + least(0.25, 0.05 * len(clues)) + least(0.15, 0.03 * phrases) + least(0.3, cve::INT * 0.15 + actor::INT * 0.15 + mark::INT * 0.1) - 0.5 * other))::DOUBLE AS rough FROM f), g AS (SELECT *, round(rough + 1e-9, 6) AS confidence FROM g0)"
     + ", k AS (SELECT *, CASE WHEN confidence >= 0.7 THEN 'security_threat' WHEN confidence >= 0.4 THEN CASE WHEN cve OR actor THEN 'security_advisory' WHEN security_tools > 0.5 THEN 'security_tools' ELSE 'potential_security' END WHEN confidence >= 0.2 THEN CASE WHEN other > 0.5 THEN 'mixed_content' ELSE 'unclear' END WHEN other > 0.6 THEN CASE WHEN api > 0 THEN 'api_documentation' ELSE 'business_content' END ELSE 'general_content' END AS content_type FROM g)"
 )
 DEPTH = "CASE WHEN confidence >= 0.7 AND (len(clues) >= 5 OR cve OR actor OR mark) THEN 'comprehensive' WHEN confidence >= 0.4 OR len(clues) >= 3 THEN 'detailed' ELSE 'basic' END"
 ROUTE = "CASE WHEN content_type IN ('security_threat', 'security_advisory', 'potential_security') THEN 'advanced' WHEN content_type IN ('api_documentation', 'security_tools') THEN 'technical' WHEN content_type IN ('mixed_content', 'unclear') THEN 'hybrid' ELSE 'basic' END"
 
 
-@query(ANALYSE + f" SELECT doc_id, round(confidence, 5) AS confidence, content_type, {DEPTH} AS depth FROM k")
+@query(ANALYSE + f" SELECT doc_id, confidence, content_type, {DEPTH} AS depth FROM k")
 def analyze_content(spark, d):
-    return r(C.analyze_content(frame(spark, d, "articles"), "text").select("doc_id", "confidence", "content_type", "depth"), "confidence", digits=5)
+    return C.analyze_content(frame(spark, d, "articles"), "text").select("doc_id", "confidence", "content_type", "depth")
 
 
 @query(ANALYSE + f" SELECT route, content_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM (SELECT content_type, {ROUTE} AS route FROM k) GROUP BY 1, 2")
@@ -174,17 +175,17 @@ def attention_normalize(spark, d):
 
 
 LANG = """WITH t AS (SELECT doc_id, lang, string_split(lower(text), '') AS x FROM documents WHERE length(text) >= 3), g AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(x) - 1), lambda i: x[i] || x[i + 1] || x[i + 2])) AS gram FROM t),
-m AS (SELECT lang, gram, count(*) AS n FROM g WHERE doc_id % 2 = 0 GROUP BY 1, 2), tot AS (SELECT lang, sum(n) AS total FROM m GROUP BY 1), q AS (SELECT doc_id, gram, count(*) AS n FROM g WHERE doc_id % 2 = 1 GROUP BY 1, 2), qs AS (SELECT doc_id, sum(n) AS n FROM q GROUP BY 1),
+m AS (SELECT lang, gram, count(*) AS n FROM g WHERE lang IS NOT NULL GROUP BY 1, 2), tot AS (SELECT lang, sum(n) AS total FROM m GROUP BY 1), q AS (SELECT doc_id, gram, count(*) AS n FROM g GROUP BY 1, 2), qs AS (SELECT doc_id, sum(n) AS n FROM q GROUP BY 1),
 s AS (SELECT q.doc_id, m.lang, sum(q.n * (ln((m.n + 1) / (total + 100000)) - ln(1 / (total + 100000)))) AS gain FROM q JOIN m USING (gram) JOIN tot ON tot.lang = m.lang GROUP BY 1, 2),
 b AS (SELECT doc_id, arg_max(s.lang, gain + qs.n * ln(1 / (total + 100000))) AS detected FROM s JOIN qs USING (doc_id) JOIN tot ON tot.lang = s.lang GROUP BY 1)
-SELECT d.doc_id, coalesce(detected, 'unknown') AS detected FROM documents d LEFT JOIN b USING (doc_id) WHERE d.doc_id % 2 = 1"""
+SELECT d.doc_id, coalesce(detected, 'unknown') AS detected FROM documents d LEFT JOIN b USING (doc_id)"""
 
 
 @query(LANG)
 def detect_language(spark, d):
     docs = frame(spark, d, "documents")
-    model = C.fit_language(docs.filter("doc_id % 2 = 0"), "doc_id", "text", "lang")
-    return C.detect_language(docs.filter("doc_id % 2 = 1"), model, "doc_id", "text", "lang")
+    model = written(C.fit_language(docs, "doc_id", "text", "lang"))
+    return C.detect_language(docs, model, "doc_id", "text", "lang")
 
 
 # Similarity -----------------------------------------------------------------
@@ -286,9 +287,9 @@ def match_path(spark, d):
     return chains.groupBy(F.col("n2").alias("malware")).agg(F.count(F.lit(1)).alias("chains"))
 
 
-@query("WITH m AS (SELECT DISTINCT l_orderkey % 97 AS article, l_partkey % 40 AS indicator FROM lineitem) SELECT a.article AS a, b.article AS b, count(*) AS shared FROM m a JOIN m b ON a.indicator = b.indicator AND a.article < b.article GROUP BY 1, 2")
+@query("WITH m AS (SELECT DISTINCT l_orderkey AS article, l_partkey AS indicator FROM lineitem) SELECT a.article AS a, b.article AS b, count(*) AS shared FROM m a JOIN m b ON a.indicator = b.indicator AND a.article < b.article GROUP BY 1, 2")
 def indicator_cooccurrence(spark, d):
-    m = frame(spark, d, "lineitem").select((F.col("l_orderkey") % 97).alias("article"), (F.col("l_partkey") % 40).alias("indicator")).distinct()
+    m = frame(spark, d, "lineitem").select(F.col("l_orderkey").alias("article"), F.col("l_partkey").alias("indicator")).distinct()
     return G.indicator_cooccurrence(m, "article", "indicator")
 
 

@@ -171,14 +171,14 @@ def queue_stats(spark, d):
     return r6(r6(A.queue_stats(frame(spark, d, "frontier"), 100_000), "used"), "pending_priority", digits=4)
 
 
-@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, user_id % 3 AS operation, count(*) AS calls, count(*) FILTER (event_type = 'error') AS errors, round(avg(value), 4) AS mean_latency, count(*) FILTER (event_type = 'error') / count(*) > 0.2 AS breach FROM events GROUP BY 1, 2")
+@query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, user_id % 3 AS operation, count(*) AS calls, count(*) FILTER (event_type = 'error') AS errors, ((20 * sum(round(value * 1000)::BIGINT) + count(value)) // (2 * count(value)))::BIGINT / 10000.0::DOUBLE AS mean_latency, count(*) FILTER (event_type = 'error') / count(*) > 0.2 AS breach FROM events GROUP BY 1, 2")
 def trace_summary(spark, d):
-    return r6(A.trace_summary(frame(spark, d, "events").withColumn("operation", F.col("user_id") % 3), "ts", "operation", F.col("event_type") == "error", "value"), "mean_latency", digits=4)
+    return A.trace_summary(frame(spark, d, "events").withColumn("operation", F.col("user_id") % 3), "ts", "operation", F.col("event_type") == "error", "value")
 
 
-@query("SELECT user_id % 5 AS agent, event_type, count(*) AS n FROM events WHERE event_type IN ('error', 'click') GROUP BY 1, 2")
+@query("SELECT user_id % 5 AS agent, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def error_summary(spark, d):
-    return A.error_summary(frame(spark, d, "events").filter(F.col("event_type").isin("error", "click")).withColumn("agent", F.col("user_id") % 5), ["agent", "event_type"])
+    return A.error_summary(frame(spark, d, "events").withColumn("agent", F.col("user_id") % 5), ["agent", "event_type"])
 
 
 @query(sql_with("indicators") + f", k AS (SELECT *, {IND} AS kind FROM indicators) SELECT kind, round(avg(({VALID})::INT), 6) AS rate FROM k GROUP BY 1")
@@ -265,10 +265,10 @@ def enrich_entities(spark, d):
     return R.enrich_entities(rows, "ids", dim, "key", "details").select("id", F.array_join(F.transform("details", lambda x: x["n_name"]), "|").alias("names"))
 
 
-@query(sql_with("mentions") + """, a AS (SELECT DISTINCT article, indicator % 50 AS indicator FROM mentions WHERE article < 100), s AS (SELECT x.article AS a, y.article AS b, count(*) AS shared FROM a x JOIN a y ON x.indicator = y.indicator AND x.article <> y.article GROUP BY 1, 2)
+@query("""WITH a AS (SELECT DISTINCT l_orderkey AS article, l_partkey AS indicator FROM lineitem), s AS (SELECT x.article AS a, y.article AS b, count(*) AS shared FROM a x JOIN a y ON x.indicator = y.indicator AND x.article <> y.article GROUP BY 1, 2)
 SELECT a, b, shared, row_number() OVER (PARTITION BY a ORDER BY shared DESC, b)::INT AS rank FROM s QUALIFY rank <= 3""")
 def related_content(spark, d):
-    m = frame(spark, d, "mentions").filter("article < 100").select("article", (F.col("indicator") % 50).alias("indicator")).distinct()
+    m = frame(spark, d, "lineitem").select(F.col("l_orderkey").alias("article"), F.col("l_partkey").alias("indicator")).distinct()
     return R.related_content(m, "article", "indicator", 3)
 
 
@@ -394,12 +394,12 @@ def expire_rows(spark, d):
     return R.expire_rows(frame(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", now(), 14 * 86_400)[1]
 
 
-@query("""WITH a AS (SELECT DISTINCT l_suppkey AS actor, l_partkey AS indicator FROM lineitem), n AS (SELECT l_partkey AS indicator, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), c AS (SELECT actor, coalesce(n, 0) AS n FROM a LEFT JOIN n USING (indicator))
-SELECT actor, count(*) AS indicators, round(avg(n), 6) AS mean_mentions, round(1 - avg(n) / 8, 6) AS score FROM c WHERE n < 8 GROUP BY 1 ORDER BY avg(n), actor LIMIT 10""")
+@query("""WITH a AS (SELECT DISTINCT l_suppkey AS actor, l_partkey AS indicator FROM lineitem), n AS (SELECT l_partkey AS indicator, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT actor, coalesce(n, 0) AS n FROM a LEFT JOIN n USING (indicator))
+SELECT actor, count(*) AS indicators, round(avg(n), 6) AS mean_mentions, round(1 - avg(n) / 30, 6) AS score FROM c WHERE n < 30 GROUP BY 1 ORDER BY avg(n), actor LIMIT 10""")
 def content_gaps(spark, d):
     li = frame(spark, d, "lineitem")
-    mentions = li.filter("l_returnflag = 'R'").select(F.col("l_partkey").alias("indicator"))
-    return r6(R.content_gaps(mentions, li.select(F.col("l_suppkey").alias("actor"), F.col("l_partkey").alias("indicator")).distinct(), 8, 10), "mean_mentions", "score")
+    mentions = li.select(F.col("l_partkey").alias("indicator"))
+    return r6(R.content_gaps(mentions, li.select(F.col("l_suppkey").alias("actor"), F.col("l_partkey").alias("indicator")).distinct(), 30, 10), "mean_mentions", "score")
 
 
 @query("SELECT topic, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN event_type = 'error' THEN 'errors' END, CASE WHEN value > 250 THEN 'slow' END, CASE WHEN user_id % 2 = 0 THEN 'even' END], lambda x: x IS NOT NULL)) AS topic FROM events) GROUP BY 1")

@@ -61,9 +61,9 @@ def parse_ioc_json(spark, d):
     return P.parse_ioc_json(_ioc_json(spark, d), "body").select("event_id", "value", "type", "comment", "to_ids", "category")
 
 
-@query(sql_with("indicators") + "SELECT md5(type || value) AS id, CASE WHEN comment <> '' THEN comment ELSE type || ': ' || value END AS title, CASE WHEN to_ids THEN 'Actionable indicator ' ELSE 'Indicator ' END || value AS description FROM indicators WHERE event_id % 4 <> 1")
+@query(sql_with("indicators") + "SELECT md5(type || value) AS id, CASE WHEN comment <> '' THEN comment ELSE type || ': ' || value END AS title, CASE WHEN to_ids THEN 'Actionable indicator ' ELSE 'Indicator ' END || value AS description FROM (FROM indicators UNION ALL FROM indicators WHERE event_id % 4 = 1)")
 def ioc_to_records(spark, d):
-    return P.ioc_to_records(P.parse_ioc_json(_ioc_json(spark, d).filter("event_id % 4 <> 1"), "body"), "feed").select("id", "title", "description")
+    return P.ioc_to_records(P.parse_ioc_json(_ioc_json(spark, d), "body"), "feed").select("id", "title", "description")
 
 
 @query(sql_with("indicators") + "SELECT event_id, value, type, CASE WHEN event_id % 2 = 0 THEN 'note' ELSE '' END AS comment FROM indicators")

@@ -88,9 +88,9 @@ def token_bucket(spark, d):
     return W.token_bucket(frame(spark, d, "events"), "user_id", "ts", "event_id", 2, 86_400).select("event_id", "allowed")
 
 
-@query("""SELECT event_id, max(value) OVER w AS best, round((max(value) OVER w - first_value(value) OVER w) / first_value(value) OVER w * 100, 4) AS gain_pct FROM events WHERE value > 0 WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
+@query("""SELECT event_id, max(value) OVER w AS best, round((max(value) OVER w - first_value(value) OVER w) / nullif(first_value(value) OVER w, 0) * 100, 4) AS gain_pct FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)""")
 def best_so_far(spark, d):
-    return W.best_so_far(frame(spark, d, "events").filter("value > 0"), "user_id", "event_id", "value", "event_type").select("event_id", "best", F.round("gain_pct", 4).alias("gain_pct"))
+    return W.best_so_far(frame(spark, d, "events"), "user_id", "event_id", "value", "event_type").select("event_id", "best", F.round("gain_pct", 4).alias("gain_pct"))
 
 
 @query("SELECT event_id, count(*) OVER w = 3 AND max(value) OVER w - min(value) OVER w < 40 AS flat FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS 2 PRECEDING)")

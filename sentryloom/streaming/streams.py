@@ -34,11 +34,16 @@ def validate_stream(df: DataFrame, rules: Sequence[tuple[str, str, Column]], top
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         checked = validate_messages(batch, rules).persist()
+        try:
+            split(checked, batch, batch_id)
+        finally:
+            checked.unpersist()
+
+    def split(checked: DataFrame, batch: DataFrame, batch_id: int) -> None:
         checked.filter(F.size("errors") == 0).drop("errors").withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(good)
         wrong = checked.filter(F.size("errors") > 0)
         out = dead_letter(wrong, F.lit(topic), F.to_json(F.struct(*batch.columns)), F.to_json("errors"), "schema_validation", "consumer", F.current_timestamp())
         out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(bad)
-        checked.unpersist()
 
     return micro_batch(df, sink, checkpoint, once=once)
 
@@ -53,34 +58,30 @@ def stream_counters(df: DataFrame, ts: str, labels: Sequence[str], window: str =
     return df.withWatermark(ts, late).groupBy(F.window(ts, window), *labels).agg(F.count(F.lit(1)).alias("n"))
 
 
-def link_health_stream(probes: DataFrame) -> DataFrame:
+def link_health_stream(probes: DataFrame, late: str = "1 day") -> DataFrame:
     """Run of failures, health and status of each link after each batch, as state by URL.
 
-    ``probes`` has ``url, ts, event_id, success, failure_type, status_code``; rows of a batch are
-    taken in time order, and the failures and the last success of the last day stay in the state.
+    ``probes`` has ``url, ts`` (a timestamp), ``event_id, success, failure_type, status_code``.
+    Batches may come in any time order within ``late``: probes younger than the watermark are
+    kept and taken again in time order with what comes later; older ones are settled into
+    the state, with the failures and the last success of the last day.  A probe that is
+    older than what is settled comes too late and is passed over.
     """
-    from ..operators.windows import DEAD, PERMANENT_CODES, PERMANENT_TYPES, QUARANTINED, SUSPICIOUS
-
-    day = 86_400_000_000
-
-    def step(key: tuple, frames, state):
-        score, run, status, success, times, kinds, codes = state.get if state.exists else (100, 0, "healthy", -1, [], [], [])
-        times, kinds, codes = list(times), list(kinds), list(codes)
-        rows = pd.concat(list(frames)).sort_values(["us", "event_id"])
-        for r in rows.itertuples():
-            if r.success:
-                success, run = r.us, 0
+    from ..operators.windows import DAY, DEAD, PERMANENT_CODES, PERMANENT_TYPES, QUARANTINED, SUSPICIOUS
+
+    def advance(link: tuple, rows: list[tuple]) -> tuple:
+        score, run, status, success, failed = link
+        failed = list(failed)
+        for us, _, ok, kind, code in rows:
+            if ok:
+                success, run = us, 0
             else:
                 run += 1
-                times.append(r.us)
-                kinds.append(r.failure_type)
-                codes.append(int(r.status_code))
-            live = [i for i, t in enumerate(times) if t > r.us - day]
-            times, kinds, codes = ([x[i] for i in live] for x in (times, kinds, codes))
-            hard = sum(k in PERMANENT_TYPES for k in kinds)
-            score = max(0, min(100, score + (10 if success > r.us - day else 0) - 50 * hard - 20 * (len(times) - hard)))
-            any_hard = any(k in PERMANENT_TYPES or c in PERMANENT_CODES for k, c in zip(kinds, codes, strict=True))
-            if any_hard and run >= DEAD:
+                failed.append((us, kind, code))
+            failed = [x for x in failed if x[0] > us - DAY]
+            hard = sum(k in PERMANENT_TYPES for _, k, _ in failed)
+            score = max(0, min(100, score + (10 if success > us - DAY else 0) - 50 * hard - 20 * (len(failed) - hard)))
+            if run >= DEAD and any(k in PERMANENT_TYPES or c in PERMANENT_CODES for _, k, c in failed):
                 status = "dead"
             elif run >= QUARANTINED:
                 status = "quarantined"
@@ -88,11 +89,22 @@ def link_health_stream(probes: DataFrame) -> DataFrame:
                 status = "suspicious"
             elif score > 80 and run == 0:
                 status = "healthy"
-        state.update((score, run, status, int(success), times, kinds, codes))
+        return score, run, status, success, failed
+
+    def step(key: tuple, frames, state):
+        score, run, status, success, failed, waiting, settled = state.get if state.exists else (100, 0, "healthy", -DAY, [], [], -DAY)
+        link = (score, run, status, success, [tuple(x) for x in failed])
+        fresh = [(int(us), int(i), bool(ok), kind, int(code)) for f in frames for us, i, ok, kind, code in f[["us", "event_id", "success", "failure_type", "status_code"]].itertuples(index=False) if us > settled]
+        rows = sorted([tuple(x) for x in waiting] + fresh, key=lambda x: x[:2])
+        settled = max(settled, state.getCurrentWatermarkMs() * 1000)
+        link = advance(link, [x for x in rows if x[0] <= settled])
+        waiting = [x for x in rows if x[0] > settled]
+        state.update((*link, waiting, settled))
+        score, run, status, *_ = advance(link, waiting)
         yield pd.DataFrame({"url": [key[0]], "run": [run], "health": [score / 100], "status": [status]})
 
-    rows = probes.withColumn("us", F.unix_micros("ts")).select("url", "us", "event_id", "success", "failure_type", "status_code")
-    shape = "score int, run int, status string, success long, times array<long>, kinds array<string>, codes array<int>"
+    rows = probes.withWatermark("ts", late).withColumn("us", F.unix_micros("ts")).select("url", "ts", "us", "event_id", "success", "failure_type", "status_code")
+    shape = "score int, run int, status string, success long, failed array<struct<us:long,kind:string,code:int>>, waiting array<struct<us:long,id:long,ok:boolean,kind:string,code:int>>, settled long"
     return rows.groupBy("url").applyInPandasWithState(step, "url string, run int, health double, status string", shape, "update", "NoTimeout")
 
 

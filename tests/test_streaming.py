@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import glob
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from sentryloom.operators import windows as W
 from sentryloom.operators.relations import dedupe_first
@@ -14,9 +17,9 @@ from sentryloom.streaming import streams as S
 SF = "/root/testdata/sf0.001"
 
 
-def landed(df, parts=3):
+def landed(df, parts=3, ts="event_id"):
     path = tempfile.mkdtemp(prefix="stream-")
-    df.repartitionByRange(parts, "event_id").write.mode("overwrite").parquet(path)
+    df.repartitionByRange(parts, ts).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -27,16 +30,34 @@ def collected(spark, stream, mode):
     return spark.table(name)
 
 
-def test_link_health_stream_matches_batch(spark):
+@pytest.mark.parametrize("backwards", [False, True])
+def test_link_health_stream_matches_batch_in_any_order(spark, backwards):
+    """The last state of each link is the batch result, whether the files come in time order or against it."""
     probes = frame(spark, SF, "probes").withColumn("ts", F.col("ts").cast("timestamp"))
-    path = landed(probes)
+    path = landed(probes, ts="ts")
+    parts = sorted(glob.glob(f"{path}/part-*"))
+    for at, part in enumerate(reversed(parts) if backwards else parts):
+        os.utime(part, (1_700_000_000 + at * 60,) * 2)
     stream = spark.readStream.schema(probes.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    out = collected(spark, S.link_health_stream(stream), "update").collect()
+    out = {}
+    table = collected(spark, S.link_health_stream(stream, "60 days").withColumn("at", F.current_timestamp()), "update")
+    for r in table.orderBy("at").collect():
+        out[r.url] = (r.run, r.health, r.status)
     batch = dedupe_first(W.link_status(probes), ["url"], F.desc("ts"), F.desc("event_id")).collect()
-    final = {}
-    for r in out:
-        final.setdefault(r.url, []).append((r.run, r.health, r.status))
-    assert all((r.run, r.health, r.status) in final[r.url] for r in batch) and len(final) == len(batch)
+    assert len(parts) > 1 and out == {r.url: (r.run, r.health, r.status) for r in batch}
+
+
+def test_link_health_stream_settles_behind_the_watermark(spark):
+    """In time order, a short lateness gives the same last state: what is older is settled and leaves the buffer."""
+    probes = frame(spark, SF, "probes").withColumn("ts", F.col("ts").cast("timestamp"))
+    path = landed(probes, ts="ts")
+    for at, part in enumerate(sorted(glob.glob(f"{path}/part-*"))):
+        os.utime(part, (1_700_000_000 + at * 60,) * 2)
+    stream = spark.readStream.schema(probes.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    out = {}
+    for r in collected(spark, S.link_health_stream(stream, "1 hour").withColumn("at", F.current_timestamp()), "update").orderBy("at").collect():
+        out[r.url] = (r.run, r.health, r.status)
+    assert out == {r.url: (r.run, r.health, r.status) for r in dedupe_first(W.link_status(probes), ["url"], F.desc("ts"), F.desc("event_id")).collect()}
 
 
 def test_validate_stream_splits_and_counts(spark):
