@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..tables import small
+from ..tables import SMALL, small
 
 # Keywords and weights by category, clue patterns, phrases and negative words.
 SECURITY = {
@@ -272,16 +272,17 @@ def attention_normalize(df: DataFrame, key: str, phrase: str, weight: str, most:
     return rows.withColumn("attention", F.col("_w") / F.max("_w").over(Window.partitionBy(key))).drop("_w")
 
 
-def trigrams(df: DataFrame, key: str, text: str, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Counts of lower-case character trigrams of each row."""
-    split = F.array(F.split(F.lower(F.col(text)), ""))  # bound to a variable, so that a text is split once
-    grams = F.flatten(F.transform(split, lambda c: F.transform(F.sequence(F.lit(0), F.size(c) - 3), lambda i: F.concat(F.get(c, i), F.get(c, i + 1), F.get(c, i + 2)))))
-    return df.filter((F.length(text) >= 3) & (F.length(F.lower(text)) >= 3)).select(key, *extra, F.explode(grams).alias("gram")).groupBy(key, *extra, "gram").agg(F.count(F.lit(1)).alias("n"))
+def trigrams(df: DataFrame, text: str, *keep: str) -> DataFrame:
+    """One row for each lower-case character trigram of each row, repeats included."""
+    low = F.lower(F.col(text))
+    # Neighbouring trigrams overlap, so three scans that start one character apart find them all.
+    grams = F.concat(*[F.regexp_extract_all(F.substr(low, F.lit(i)), F.lit("(?s)..."), F.lit(0)) for i in (1, 2, 3)])
+    return df.filter((F.length(text) >= 3) & (F.length(F.lower(text)) >= 3)).select(*keep, F.explode(grams).alias("gram"))
 
 
-def fit_language(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """Smoothed log-probabilities of trigrams by language, as a table."""
-    counts = trigrams(df.filter(F.col(lang).isNotNull()), key, text, (lang,)).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
+def fit_language(df: DataFrame, text: str, lang: str) -> DataFrame:
+    """Smoothed log-probabilities of trigrams by language, as a table; rows without a language are not learned from."""
+    counts = trigrams(df.filter(F.col(lang).isNotNull()), text, lang).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
     return counts.join(totals, lang).select(lang, "gram", F.log((F.col("n") + 1) / (F.col("total") + 100_000)).alias("logp"), F.log(1 / (F.col("total") + 100_000)).alias("floor"))
 
@@ -289,13 +290,19 @@ def fit_language(df: DataFrame, key: str, text: str, lang: str) -> DataFrame:
 def detect_language(df: DataFrame, model: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """The likeliest language of each row; ``unknown`` where no trigram is known.
 
-    ``model`` should be a written table: its size is checked before it is broadcast.
+    ``model`` should be a written table: it is broadcast if it is small, and then sums are made
+    where the texts are read; a larger one meets the counted trigrams of each row in a shuffle.
     """
     # logp - floor of known trigrams plus the floor for all of them: absent (language, trigram) rows need no join.
-    grams = trigrams(df, key, text)
+    grams = trigrams(df, text, key)
+    side = model.select(lang, "gram", (F.col("logp") - F.col("floor")).alias("_gain"))
+    if model.limit(SMALL + 1).count() <= SMALL:
+        met = grams.withColumn("_k", F.lit(1)).join(F.broadcast(side), "gram")
+    else:
+        met = grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("_k")).join(side, "gram")
+    scores = met.groupBy(key, lang).agg(F.sum(F.col("_k") * F.col("_gain")).alias("gain"))
+    totals = df.groupBy(key).agg(F.sum(F.greatest(F.length(F.lower(F.col(text))) - 2, F.lit(0))).alias("_n"))
     floors = model.groupBy(lang).agg(F.first("floor").alias("_floor"))
-    scores = grams.join(small(model), "gram").groupBy(key, lang).agg(F.sum(F.col("n") * (F.col("logp") - F.col("floor"))).alias("gain"))
-    totals = grams.groupBy(key).agg(F.sum("n").alias("_n"))
     full = scores.join(totals, key).join(small(floors), lang).withColumn("score", F.col("gain") + F.col("_n") * F.col("_floor"))
     best = full.groupBy(key).agg(F.max_by(lang, F.struct("score", lang)).alias("detected"))
     return df.select(key).join(best, key, "left").withColumn("detected", F.coalesce("detected", F.lit("unknown")))

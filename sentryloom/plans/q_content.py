@@ -184,7 +184,7 @@ SELECT d.doc_id, coalesce(detected, 'unknown') AS detected FROM documents d LEFT
 @query(LANG)
 def detect_language(spark, d):
     docs = frame(spark, d, "documents")
-    model = written(C.fit_language(docs, "doc_id", "text", "lang"))
+    model = written(C.fit_language(docs, "text", "lang"))
     return C.detect_language(docs, model, "doc_id", "text", "lang")
 
 

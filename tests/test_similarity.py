@@ -72,3 +72,14 @@ def test_pages_become_sections_in_order(spark):
 def test_keywords_do_not_begin_as_others_end():
     words = [w.split() for ws in C.SUBJECTS.values() for w in ws]
     assert not [(a, b) for a in words for b in words for n in range(1, min(len(a), len(b))) if a[-n:] == b[:n] and a != b and len(a) > n]
+
+
+def test_shingles_and_trigrams_are_all_there(spark):
+    """Against a loop over characters, with characters beyond 16 bits, short and empty texts."""
+    texts = ["", "ab", "abc", "a😀b😀c", "Ünï  \t çödé x", "aaaa"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for r in df.select("t", S.char_shingles(F.col("t")).alias("s")).collect():
+        low = " ".join(r.t.lower().split())
+        assert set(r.s) == ({low[i : i + 3] for i in range(len(low) - 2)} if len(low) >= 3 else {low})
+    got = sorted((r.id, r.gram) for r in C.trigrams(df, "t", "id").collect())
+    assert got == sorted((i, t.lower()[j : j + 3]) for i, t in enumerate(texts) for j in range(len(t) - 2))
