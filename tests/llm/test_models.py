@@ -4,11 +4,14 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from sentryloom.llm.katz import GT_MAX, discounts, pack_keys, score_texts, unpack_keys
+from sentryloom.llm.katz import GT_MAX, RESERVE, discounts, pack_keys, score_texts, unpack_keys
+from sentryloom.llm.katz import _unzip as unzip
+from sentryloom.llm.katz import _zip as zip_
 from sentryloom.llm.language_id import fold, forward_backward, identify_language
 from sentryloom.llm.toxicity import prior_corrected_risk, score_toxicity
 
@@ -85,69 +88,97 @@ def test_risk_slope():
 
 
 class Katz:
-    """The model of the docstring, word by word with dictionaries."""
+    """The model of the docstring, word by word with dictionaries.  A start symbol is 0, the end None."""
 
-    def __init__(self, texts, least=2):
-        self.uni, self.bi = Counter(), Counter()
+    def __init__(self, texts, order, least=1):
+        self.c = [Counter() for _ in range(order + 1)]
+        self.order, self.least = order, least
         for t in texts:
-            seq = self.words(t)
-            self.uni.update(seq)
-            self.bi.update(zip([None, *seq[:-1]], seq, strict=True))
-        self.n = sum(self.uni.values())
+            for g in self.grams(t):
+                for n in range(1, order + 1):
+                    self.c[n][g[-n:]] += 1
+        self.n = sum(self.c[1].values())
         spread = lambda c: [sum(v == r for v in c.values()) for r in range(GT_MAX + 2)]
-        ones = spread(self.uni)
-        self.d1, self.d2, self.least = discounts(ones, 1), discounts(spread(self.bi), least), least
-        left = sum((1 - self.d1[r]) * r * ones[r] for r in range(1, GT_MAX + 1)) / max(1, self.n)
-        self.scale, self.unk = (1.0, left) if left > 0 else (self.n / (self.n + 1), 1 / (self.n + 1))
-        self.followers = {}
-        for (u, v), c in self.bi.items():
-            if c >= least:
-                self.followers.setdefault(u, []).append(v)
+        self.d = [None, discounts(spread(self.c[1]), 1)] + [discounts(spread(c), least) for c in self.c[2:]]
+        self.unk = (self.n - sum(self.events(1, c) for c in self.c[1].values())) / self.n if self.n else 1.0
+        self.followers = [{} for _ in range(order + 1)]
+        for n in range(2, order + 1):
+            for g, c in self.c[n].items():
+                if c >= least:
+                    self.followers[n].setdefault(g[:-1], []).append(g[-1])
 
     @staticmethod
     def words(t):
         return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), None]
 
-    def p1(self, w):
-        c = self.uni[w]
-        return (self.d1[c] if c <= GT_MAX else 1) * c / self.n * self.scale if c else self.unk
+    def grams(self, t):
+        seq = (0,) * (self.order - 1) + tuple(self.words(t))
+        return [seq[i : i + self.order] for i in range(len(seq) - self.order + 1)]
 
-    def seen(self, u, v):
-        c = self.bi[u, v]
-        return (self.d2[c] if c <= GT_MAX else 1) * c / self.uni[u]
+    def events(self, n, c):
+        return self.d[n][c] * c if c <= GT_MAX else c - RESERVE
 
-    def p(self, u, v):
-        f = self.followers.get(u, [])
-        left = 1 - sum(self.seen(u, x) for x in f)
-        full = left < 1e-9
-        if self.bi[u, v] >= self.least:
-            return self.seen(u, v) * (self.uni[u] / (self.uni[u] + 1) if full else 1)
-        return (1 / (self.uni[u] + 1) if full else left) / (1 - sum(self.p1(x) for x in f)) * self.p1(v)
+    def seen(self, g):
+        history = self.c[1][None,] if not any(x is None or x for x in g[:-1]) else self.c[len(g) - 1][g[:-1]]
+        return self.events(len(g), self.c[len(g)][g]) / history
 
+    def p(self, g):
+        c = self.c[len(g)][g]
+        if len(g) == 1:
+            return self.events(1, c) / self.n if c else self.unk
+        if c >= self.least:
+            return self.seen(g)
+        return self.alpha(g[:-1]) * self.p(g[1:])
 
-def test_katz_against_dictionaries(spark, monkeypatch):
+    @lru_cache(None)  # noqa: B019
+    def alpha(self, h):
+        f = self.followers[len(h) + 1].get(h, [])
+        return (1 - sum(self.seen((*h, x)) for x in f)) / (1 - sum(self.p((*h[1:], x)) for x in f))
+
+
+@pytest.mark.parametrize("order, least", [(2, 1), (3, 1), (3, 2)])
+def test_katz_against_dictionaries(spark, monkeypatch, order, least):
     import sentryloom.llm.katz as module
 
     monkeypatch.setattr(module, "BLOCK_BYTES", 20_000)
     monkeypatch.setattr(module, "PARTITION_KEYS", 3_000)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("_train", fold("doc_id", 7) != 2)
     rows = docs.collect()
-    model = Katz([r.text for r in rows if r._train])
-    out = {r.doc_id: r for r in score_texts(docs.withColumn("score", F.lit(1))).collect()}
+    model = Katz([r.text for r in rows if r._train], order, least)
+    out = {r.doc_id: r for r in score_texts(docs.withColumn("score", F.lit(1)), order=order, min_count=least).collect()}
     assert len(out) == len(rows)
-    for r in rows:
-        seq = Katz.words(r.text)
-        g = out[r.doc_id]
-        want = sum(math.log10(model.p(u, v)) for u, v in zip([None, *seq[:-1]], seq, strict=True))
-        base = sum(math.log10((model.uni[w] + 1) / (model.n + len(model.uni) + 1)) for w in seq)
-        assert (g.n_tokens, g.n_known, g.train_tokens) == (len(seq), sum(model.uni[w] > 0 for w in seq), model.n)
-        assert g.score == pytest.approx(want, rel=1e-9) and g.base_score == pytest.approx(base, rel=1e-9)
-    for u in [None, *random.Random(1).sample(sorted(w for w in model.uni if w), 20)]:
-        assert sum(model.p(u, v) for v in model.uni) + model.p(u, "no such word") == pytest.approx(1, abs=1e-9)
+    for r in rows if order == 2 else rows[::4]:
+        seq, g = Katz.words(r.text), out[r.doc_id]
+        base = sum(math.log10((model.c[1][w,] + 1) / (model.n + len(model.c[1]) + 1)) for w in seq)
+        assert (g.n_tokens, g.n_known, g.train_tokens) == (len(seq), sum(model.c[1][w,] > 0 for w in seq), model.n)
+        assert g.score == pytest.approx(sum(math.log10(model.p(x)) for x in model.grams(r.text)), rel=1e-9) and g.base_score == pytest.approx(base, rel=1e-9)
+    some = random.Random(1).sample(sorted((g[:-1] for g in model.c[order] if None not in g[:-1]), key=repr), 20)
+    for h in [(0,) * (order - 1), *some]:
+        assert sum(model.p((*h, *v)) for v in model.c[1]) + model.p((*h, "no such word")) == pytest.approx(1, abs=1e-9)
     held = [out[r.doc_id] for r in rows if not r._train]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_katz_tells_copies_of_training_texts_apart(spark):
+    """Held-out texts with one copy among the training texts score higher a token than those without."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumn("_train", fold("doc_id", 7) != 2)
+    known = {r.text for r in docs.filter("_train").collect()}
+    text = {r.doc_id: r.text for r in docs.filter("NOT _train").collect()}
+    copies, others = [], []
+    for r in score_texts(docs).filter("NOT _train").collect():
+        (copies if text[r.doc_id] in known else others).append(r.score / r.n_tokens)
+    cut = sorted(others)[int(0.9 * len(others))]
+    assert sum(x > cut for x in copies) / len(copies) > 0.8
+
+
+def test_katz_reads_every_id_type_and_large_ids(spark):
+    rows = score_texts(spark.createDataFrame([("x", "a b", True), (None, "a", False)], "doc_id string, text string, _train boolean")).collect()
+    assert {r.doc_id for r in rows} == {"x", None} and all(r.train_tokens == 3 for r in rows)
+    big = (1 << 62) + 1
+    assert {r.doc_id for r in score_texts(spark.createDataFrame([(big, "a", True), (None, "b", True)], "doc_id long, text string, _train boolean")).collect()} == {big, None}
+    assert unzip(zip_(np.array([1, 1 << 40]))).tolist() == [1, 1 << 40]
+
+
 def test_katz_edge_cases(edge, empty):
     rows = score_texts(edge.withColumn("_train", F.lit(True))).collect()
     assert len(rows) == len(edge_rows())
