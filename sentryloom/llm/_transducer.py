@@ -6,15 +6,18 @@ length.  Every chunk is run from all states at once, which gives its state map;
 are composed by a parallel prefix scan, so the state in which each chunk begins is known,
 and a second pass reads off the transitions.  Nothing depends on where chunks are cut.
 
-The second machine maps a piece to the tokens that its merges emit.  It is compiled
-lazily: the transition for a piece is made once, by the tokenizer itself, and annotated
-with the emitted token ids and their number; afterwards it is found by the piece's hash.
+The second machine is compiled from the merges.  It reads a piece byte by byte; its state
+stands for the bytes read, with the last token of their encoding, and a transition is
+annotated with the number of tokens that it adds.  Two neighbouring tokens stay apart if no
+merge across their border comes before the merges that made them (``Merges.apart``), and
+every prefix has exactly one last token that stays apart from what is before it, so the
+machine is deterministic.  States are made when they are reached; a whole piece seen before
+is found by its hash.
 """
 
 from __future__ import annotations
 
 import json
-import os
 import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
@@ -25,8 +28,8 @@ from ._words import HashIndex, mix
 
 CHUNK = 64
 BATCH_CHARS = 1 << 20
-#: Compiled pieces that one worker holds before it starts afresh.
-HELD_PIECES = 1 << 21
+#: Pieces, and decided neighbours of tokens, that one worker holds before it starts afresh.
+HELD_PIECES = 1 << 20
 
 #: Symbol classes: letter, number, other, apostrophe before a one- or two-letter suffix, a space or other blank before a non-blank, a blank in a longer run, end of text.
 LETTER, NUMBER, OTHER, SUFFIX1, SUFFIX2, SPACE_THEN, BLANK_THEN, BLANK_RUN, END = range(9)
@@ -87,13 +90,109 @@ def compile_tokenizer(path: str) -> bytes:
     return zlib.compress(table.tobytes())
 
 
+def _byte_symbols() -> dict[str, int]:
+    """The printable characters that stand for bytes in byte-level vocabularies: itself where printable, else the next free one from 256 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    other = [b for b in range(256) if b not in plain]
+    return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(other)}}
+
+
+class Merges:
+    """The merge rules as a machine over bytes.  Tokens are numbered by age here: bytes first, then by rank of their merge."""
+
+    def __init__(self, vocab: dict[str, int], merges: list) -> None:
+        symbols = _byte_symbols()
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+        age = {c: b for c, b in symbols.items()}
+        self.rule: dict[tuple[int, int], int] = {}
+        self.parts: list[tuple[int, int] | None] = [None] * 256
+        self.ids = np.zeros(256 + len(pairs), np.int64)
+        for c, b in symbols.items():
+            self.ids[b] = vocab[c]
+        self.bytes = [bytes([b]) for b in range(256)]
+        self.number: dict[bytes, int] = {bytes([b]): b for b in range(256)}
+        for rank, (x, y) in enumerate(pairs, 256):
+            a, b = age[x], age[y]
+            if x + y in age:
+                raise ValueError("two merges make one token")
+            age[x + y] = rank
+            self.ids[rank] = vocab[x + y]
+            self.rule[a, b] = rank
+            self.parts.append((a, b))
+            self.bytes.append(self.bytes[a] + self.bytes[b])
+            if self.bytes[a] in self.number and self.bytes[b] in self.number and self._apart(a, b, rank):
+                self.number[self.bytes[rank]] = rank  # the encoding of its bytes is the token itself
+        lengths = sorted({len(x) for x in self.number})
+        #: Lengths that tokens have, of those that fit in so many bytes (the last entry: in any more).
+        self.lengths = [[n for n in lengths if n <= i] for i in range(lengths[-1] + 1)]
+        self.sizes = [len(x) for x in self.bytes]
+        self.known: dict[int, bool] = {}
+
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The parts of a token at one edge, each with the merge that ends it (the token itself lasts)."""
+        out = [(token, len(self.parts) + 1)]
+        while (pair := self.parts[out[-1][0]]) is not None:
+            out.append((pair[side], out[-1][0]))
+        return out
+
+    def _apart(self, a: int, b: int, before: int) -> bool:
+        """No merge across the border of a and b comes before the merges of the parts that it needs; of equal merges the left one comes first."""
+        for x, end_x in self._edge(a, 1):
+            for y, end_y in self._edge(b, 0):
+                rank = self.rule.get((x, y))
+                if rank is not None and rank < before and rank < end_x and rank <= end_y:
+                    return False
+        return True
+
+    def apart(self, a: int, b: int) -> bool:
+        if len(self.known) > HELD_PIECES:
+            self.known.clear()
+        got = self.known[a << 20 | b] = self._apart(a, b, len(self.parts) + 1)
+        return got
+
+    def run(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of tokens of each piece, and the token ids of all in a row.
+
+        The pieces are read in sorted order, so the states of a common beginning are entered
+        once: ``last`` and ``count`` hold the state after each byte of the current piece, and a
+        transition's annotation is the difference of two counts.
+        """
+        number, known, sizes, lengths, longest = self.number.get, self.known.get, self.sizes, self.lengths, len(self.lengths) - 1
+        found: list[list[int]] = [[]] * len(pieces)
+        last, count, before = [-1], [0], b""
+        for at in sorted(range(len(pieces)), key=pieces.__getitem__):
+            piece, same = pieces[at], 0
+            for x, y in zip(piece, before, strict=False):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1 :], count[same + 1 :]
+            for i in range(same + 1, len(piece) + 1):
+                for n in lengths[i] if i < longest else lengths[longest]:
+                    token = number(piece[i - n : i])
+                    if token is not None:
+                        if n == i:
+                            break
+                        left = last[i - n]
+                        ok = known(left << 20 | token)
+                        if ok or (ok is None and self.apart(left, token)):
+                            break
+                last.append(token)
+                count.append(count[i - n] + 1)
+            i, tokens = len(piece), []
+            while i:
+                tokens.append(last[i])
+                i -= sizes[last[i]]
+            found[at] = tokens[::-1]
+            before = piece
+        return np.array([len(x) for x in found], np.int64), self.ids[np.array([t for x in found for t in x], np.int64)]
+
+
 class Transducer:
     def __init__(self, path: str, classes: bytes) -> None:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        special = [(k, v.content) for k, v in self.tokenizer.get_added_tokens_decoder().items() if v.special]
+        spec = json.loads(open(path, encoding="utf-8").read())
+        self.merges = Merges(spec["model"]["vocab"], spec["model"]["merges"])
+        special = [(x["id"], x["content"]) for x in spec.get("added_tokens", []) if x["special"]]
         if len(special) > 1:
             raise ValueError("one special token at most")
         self.special_id, self.special = special[0] if special else (-1, None)
@@ -180,13 +279,11 @@ class Transducer:
         missing = places[got < 0]
         if len(missing):
             new, first = np.unique(keys[missing], return_index=True)
-            texts = [joined[starts[i] : stops[i]] for i in missing[first]]
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes = np.array([len(x) for x in ids], np.int64)
+            sizes, ids = self.merges.run([joined[starts[i] : stops[i]].encode("utf-8", "replace") for i in missing[first]])
             slots = len(self.counts) + np.arange(len(new))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
             self.counts = np.concatenate([self.counts, sizes])
-            self.ids = np.concatenate([self.ids, np.array([i for x in ids for i in x], np.int64)])
+            self.ids = np.concatenate([self.ids, ids])
             self.pieces.add(new, slots)
             got = self.pieces.find(keys[places])
         out[places] = got

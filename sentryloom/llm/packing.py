@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._transducer import compile_tokenizer, transducer
 
 WIDTH = 2048
 #: Tokens that a task gathers before it packs them; a row holds segments of one such group.
 GROUP_TOKENS = 1024 * WIDTH
-SCHEMA = "pack_id long, n_tokens int, doc_ids array<long>, segment_numbers array<int>, cu_seqlens array<int>, token_ids binary, position_ids binary"
+#: Rows of the result that leave a task at a time.
+OUT_ROWS = 128
 
 
 class CapacityTree:
@@ -75,39 +78,50 @@ def pack_tokens(docs: DataFrame, tokenizer: str, width: int = WIDTH, pad_id: int
     at 0 with each segment (and with the padding); ``cu_seqlens`` are the cumulative
     segment lengths from 0 to ``n_tokens``; ``doc_ids`` and ``segment_numbers`` name the
     segments in order.  Null and empty texts have no tokens and no segment.  Repeated rows
-    are packed each; a null id is kept as null; an empty table gives no rows; other input
+    are packed each; ids may be of any type, a null id is kept as null; an empty table gives no rows; other input
     columns are not read.  Each task packs groups of bounded size from its own partition:
     there is no shuffle, and a lost task packs the same rows again.
     """
     classes = compile_tokenizer(tokenizer)
-
-    def packed(group: list[tuple[object, int, np.ndarray]], first: int) -> pd.DataFrame:
-        out: list[tuple] = []
-        for items in best_fit_decreasing(np.array([len(x[2]) for x in group]), width):
-            lengths = np.array([len(group[i][2]) for i in items])
-            total = int(lengths.sum())
-            ids, positions = np.full(width, pad_id, "<i4"), np.arange(width, dtype="<i4")
-            ids[:total] = np.concatenate([group[i][2] for i in items])
-            starts = np.cumsum(lengths) - lengths
-            positions[:total] -= np.repeat(starts, lengths).astype("<i4")
-            positions[total:] -= total
-            out.append((first + len(out), total, [group[i][0] for i in items], [group[i][1] for i in items], [*starts.tolist(), total], ids.tobytes(), positions.tobytes()))
-        return pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    kinds = {"pack_id": T.LongType(), "n_tokens": T.IntegerType(), "doc_ids": T.ArrayType(rows.schema["_id"].dataType), "segment_numbers": T.ArrayType(T.IntegerType()), "cu_seqlens": T.ArrayType(T.IntegerType()), "token_ids": T.BinaryType(), "position_ids": T.BinaryType()}
+    schema = T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
+    def filled(parts: list[np.ndarray]) -> tuple[int, list[int], bytes, bytes]:
+        """Tokens, cumulative lengths, ids and positions of a row."""
+        lengths = np.array([len(x) for x in parts])
+        total, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
+        ids, positions = np.full(width, pad_id, "<i4"), np.arange(width, dtype="<i4")
+        ids[:total] = np.concatenate(parts)
+        positions[:total] -= np.repeat(starts, lengths).astype("<i4")
+        positions[total:] -= total
+        return total, [*starts.tolist(), total], ids.tobytes(), positions.tobytes()
+
+    def packed(group: list[tuple[object, int, np.ndarray]], first: int, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+        plan = best_fit_decreasing(np.array([len(x[2]) for x in group]), width)
+        types = (pa.int64(), pa.int32(), pa.list_(id_type), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+        for low in range(0, len(plan), OUT_ROWS):
+            out = []
+            for number, items in enumerate(plan[low : low + OUT_ROWS], first + low):
+                total, ends, ids, positions = filled([group[i][2] for i in items])
+                out.append((number, total, [group[i][0] for i in items], [group[i][1] for i in items], ends, ids, positions))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(types)], names=list(kinds))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(tokenizer, classes)
         group: list[tuple[object, int, np.ndarray]] = []
-        held, at = 0, TaskContext.get().partitionId() << 33
+        held, at, id_type = 0, TaskContext.get().partitionId() << 33, pa.null()
         for batch in batches:
-            keys = [None if pd.isna(x) else int(x) for x in batch[id_col]]
-            for key, ids in zip(keys, machine.token_ids(batch[text_col].tolist()), strict=True):
+            id_type = batch.schema.field(0).type
+            for key, ids in zip(batch.column(0).to_pylist(), machine.token_ids(batch.column(1).to_pylist()), strict=True):
                 for k in range(0, len(ids), width):
                     group.append((key, k // width, ids[k : k + width].astype("<i4")))
                     held += len(group[-1][2])
                     if held >= group_tokens:
-                        yield (out := packed(group, at))
-                        group, held, at = [], 0, at + len(out)
+                        yield from packed(group, at, id_type)
+                        at += len(group)  # at least as many as the rows just written
+                        group, held = [], 0
         if group:
-            yield packed(group, at)
+            yield from packed(group, at, id_type)
 
-    return docs.select(id_col, text_col).mapInPandas(pack, SCHEMA)
+    return rows.mapInArrow(pack, schema)
