@@ -2,58 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..tables import shared_dir, small, written
+
+__all__ = ["BLANK", "WORD", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "shared_dir", "small", "table", "written"]
+
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: A group is hot from this many rows, or from a thousandth of all rows if that is more, so there are at most 1000 hot groups.
+#: A group is hot from this many rows, or from a millionth of all rows if that is more, so at most a million rows of hot groups are broadcast.
 HOT_ROWS = 10_000
 #: Rows that one task orders at a time when ranks and prefix sums are made.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where none is set, a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sentryloom-"))
-    return sc.getCheckpointDir()
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The rows, written once as Parquet in the shared folder and read from there; removed when the JVM ends."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def renamed_apart(df: DataFrame, names: list[str]) -> DataFrame:
     """Columns of the input whose names an operator gives to its own output go first out of the way."""
     return df.drop(*[c for c in df.columns if c in names])
 
 
+def named_apart(df: DataFrame, internal: Sequence[str], *columns: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame], list[str]]:
+    """The table with columns named like an operator's internal ones renamed, a function that names them back, and the names that ``columns`` have now."""
+    taken = {c.lower() for c in df.columns} | {c.lower() for c in internal}
+    new: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in {x.lower() for x in internal}:
+            name = f"{c}_of_input"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            new[c] = name
+    lower = {k.lower(): v for k, v in new.items()}
+    return df.withColumnsRenamed(new), lambda out: out.withColumnsRenamed({v: k for k, v in new.items()}), [lower.get(c.lower(), c) for c in columns]
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, spread: Column) -> DataFrame:
     """Left join of rows with one row per group, where a few groups may hold most rows.
 
-    The at most 1000 hot groups are broadcast; their rows take part in the shuffled join
-    under a spread key that matches nothing, so no task gets a hot group.
+    Hot groups are broadcast; their rows take part in the shuffled join under a spread key
+    that matches nothing, so no task gets a hot group.
     """
     values = [c for c in groups.columns if c not in keys]
     packed = groups.select(*keys, F.struct(*values).alias("_v"))
-    hot = groups.filter(F.col(size) >= max(HOT_ROWS, total // 1000)).select(*keys, F.struct(*values).alias("_hot"))
+    hot = groups.filter(F.col(size) >= max(HOT_ROWS, total // 1_000_000)).select(*keys, F.struct(*values).alias("_hot"))
     cold = packed.withColumn("_spread", F.lit(0).cast("long"))
     out = rows.join(F.broadcast(hot), keys, "left")
     out = out.withColumn("_spread", F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(spread).bitwiseOR(F.lit(1).cast("long"))))
@@ -65,20 +64,23 @@ def n_buckets(total: int, rows: int = BUCKET_ROWS) -> int:
     return max(1, -(-total // rows))
 
 
-def prefix_sums(df: DataFrame, group: list[str], key: str, ties: list[str], amount: Column, buckets: int, out: str, extra: DataFrame | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, group: list[str], key: str, ties: list[str], amount: Column, buckets: int, out: str, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """For each row the sum of ``amount`` over the rows before it in its group, by hash key.
 
-    The order is (bucket of the key, key, ties).  Sums of (group, bucket) are made with
-    map-side combining and turned into offsets; rows are ordered only inside one
-    (group, bucket), so the largest sort is bounded by the bucket size and not by the group.
-    ``extra`` has values for each group; they come along with the offsets.
+    The hash keys of a group are cut into ``buckets`` equal ranges; the order is that of the
+    unsigned keys, then ties.  Sums of (group, bucket) are made with map-side combining,
+    written, and turned into offsets; rows are ordered only inside one (group, bucket), so
+    the largest sort is bounded by the bucket size and not by the group.  ``extra`` makes
+    from those sums a table with values for each group; they come along with the offsets.
     """
-    df = df.withColumn("_b", F.pmod(F.col(key), F.lit(buckets)).cast("int")).withColumn("_x", amount.cast("long"))
-    sums = df.groupBy(*group, "_b").agg(F.sum("_x").alias("_sum"))
-    if extra is not None:
-        sums = sums.join(extra, group)
+    low = F.lit(-(1 << 63)).cast("long")
+    place = F.shiftright(F.shiftrightunsigned(F.col(key), 33) * F.lit(buckets).cast("long"), 31)
+    df = df.withColumn("_b", place.cast("int")).withColumn("_x", amount.cast("long"))
+    sums = written(df.groupBy(*group, "_b").agg(F.sum("_x").alias("_sum")))
     before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    inside = Window.partitionBy(*group, "_b").orderBy(key, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    df = df.join(sums, [*group, "_b"]).withColumn(out, F.col("_offset") + F.coalesce(F.sum("_x").over(inside), F.lit(0)))
+    offsets = sums.withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    if extra is not None:
+        offsets = offsets.join(extra(sums), group)
+    inside = Window.partitionBy(*group, "_b").orderBy(F.col(key).bitwiseXOR(low), *ties).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.join(small(written(offsets)), [*group, "_b"]).withColumn(out, F.col("_offset") + F.coalesce(F.sum("_x").over(inside), F.lit(0)))
     return df.drop("_b", "_x", "_offset")

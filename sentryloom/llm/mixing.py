@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, WORD, n_buckets, prefix_sums, renamed_apart
+from ._spark import BUCKET_ROWS, WORD, n_buckets, named_apart, prefix_sums, renamed_apart
 
 OUTPUTS = ["size", "source_size", "target", "taken"]
+INTERNAL = ["_null", "_src", "_k", "_b", "_x", "_offset", "_before"]
 
 
 def word_count(text: Column) -> Column:
@@ -24,7 +25,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, cap
     ``share`` of all words; no target exceeds ``cap`` times its source, and what is over is
     shared again by weight.  The fixed point of that resharing is ``min(cap*size, w*x)``
     for the one x at which the targets add up, which a running sum over the sources by
-    ``cap*size/w`` finds.  The table has one row per source; it is the only ordered part.
+    ``cap*size/w`` finds.  That table has one row per source and is ordered in one task, so
+    sources are taken to be far fewer than documents.
     """
     by_name = Window.orderBy("_null", "_src")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
@@ -51,18 +53,21 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     null id is hashed like any value; repeated rows count each; an empty table gives an
     empty result; input columns named like the outputs are replaced.
     """
-    docs = renamed_apart(docs, OUTPUTS)
+    docs, names_back, (id_col, text_col, source_col) = named_apart(renamed_apart(docs, OUTPUTS), INTERNAL, id_col, text_col, source_col)
     rows = docs.withColumns({"size": word_count(F.col(text_col)), "_null": F.col(source_col).isNull(), "_src": F.coalesce(F.col(source_col), F.lit("")), "_k": F.xxhash64(F.lit(seed), id_col)})
     total = docs.count()
     key = ["_null", "_src"]
-    targets = source_targets(rows.groupBy(*key).agg(F.sum("size").alias("source_size")), weights, share, cap)
+
+    def targets(sums: DataFrame) -> DataFrame:
+        return source_targets(sums.groupBy(*key).agg(F.sum("_sum").alias("source_size")), weights, share, cap)
+
     ties = [id_col, "size"]
     rows = prefix_sums(rows, key, "_k", ties, F.col("size"), n_buckets(total, bucket_rows), "_before", targets)
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)
     rest = budget - epochs * F.col("source_size")
     taken = F.col("size") * epochs + F.greatest(F.lit(0), F.least("size", rest - F.col("_before")))
-    return rows.withColumn("taken", taken.cast("long")).select(*docs.columns, *OUTPUTS)
+    return rows.withColumn("taken", taken.cast("long")).transform(lambda out: names_back(out.select(*docs.columns, *OUTPUTS)))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -72,7 +77,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     at the cut appears if at least half of it is taken, so each source's words come within
     one document of its target.  Rows without words take no part and stay out.
     """
+    docs, names_back, _ = named_apart(docs, [*OUTPUTS, "_times", "_copy"])
     mixed = mix_sources(docs, **options)
     times = F.floor(F.col("taken") / F.col("size") + F.lit(0.5)).cast("int")
     mixed = mixed.filter(F.col("size") > 0).withColumn("_times", times).filter("_times > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).transform(lambda out: names_back(out.select(*docs.columns)))

@@ -12,26 +12,41 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, n_buckets, prefix_sums, renamed_apart
+from ._spark import BUCKET_ROWS, n_buckets, named_apart, prefix_sums, renamed_apart
 
 PARTITIONS = 64
-#: numpy draws exact hypergeometric counts below this many rows.
-EXACT_ROWS = 900_000_000
+INTERNAL = ["_p", "_k1", "_k2", "_b", "_x", "_offset", "_r", "_cuts"]
+#: Standard deviations on each side of the mode within which a count is drawn; what lies beyond has no weight in double precision.
+SPREAD = 12
 
 
-def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """How many of n rows go to each shard that has ``left`` free slots.
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n rows drawn without replacement from ``good + bad`` are good, at any size.
 
-    Beyond numpy's range each marginal is drawn from the normal limit and held inside its
-    bounds; row and column sums stay exact.
+    One uniform number against the summed weights around the mode.  Weights follow from the
+    ratios of neighbours, ``(good - k)(n - k) / ((k + 1)(bad - n + k + 1))``, so no factorial
+    is approximated, and the window grows only with the standard deviation.
     """
-    if left.sum() < EXACT_ROWS:
-        return rng.multivariate_hypergeometric(left, n, method="marginals")
+    total = good + bad
+    low, high = max(0, n - bad), min(n, good)
+    if low == high:
+        return low
+    mode = (n + 1) * (good + 1) // (total + 2)
+    sd = (n * (good / total) * (bad / total) * ((total - n) / max(1, total - 1))) ** 0.5
+    reach = int(SPREAD * sd) + 64
+    low, high = max(low, mode - reach), min(high, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    weights = np.concatenate([[0.0], np.cumsum(steps)])
+    sums = np.cumsum(np.exp(weights - weights.max()))
+    return low + int(np.searchsorted(sums, rng.random() * sums[-1], "right"))
+
+
+def _draw(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
+    """How many of n rows go to each shard that has ``left`` free slots: one shard after another from what remains."""
     out, rest = np.zeros_like(left), int(left.sum())
     for s, free in enumerate(map(int, left)):
-        p = free / rest if rest else 0.0
-        sd = np.sqrt(max(0.0, n * p * (1 - p) * (rest - n) / max(1, rest - 1)))
-        out[s] = min(max(round(rng.normal(n * p, sd)), max(0, n - (rest - free))), min(n, free))
+        out[s] = hypergeometric(rng, free, rest - free, n)
         n, rest = n - int(out[s]), rest - free
     return out
 
@@ -58,7 +73,7 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_
     null, empty and long texts need no care, an empty table gives an empty result, and
     input columns named like the outputs are replaced.
     """
-    docs = renamed_apart(docs, ["shard", "slot"])
+    docs, names_back, (id_col,) = named_apart(renamed_apart(docs, ["shard", "slot"]), INTERNAL, id_col)
     ties = [c for c, kind in docs.dtypes if kind in ("bigint", "int", "string", "double", "boolean") and c != "text"]
     keyed = docs.withColumns({"_p": F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(partitions)).cast("int"), "_k1": F.xxhash64(F.lit(seed + 1), id_col), "_k2": F.xxhash64(F.lit(seed + 2), id_col)})
     sizes = dict(keyed.groupBy("_p").count().collect())  # at most `partitions` rows
@@ -67,6 +82,6 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_
     cuts = matrix.cumsum(axis=1)
     deal = docs.sparkSession.createDataFrame([(p, [int(x) for x in cuts[p]]) for p in range(partitions)], "_p int, _cuts array<long>")
     one = F.lit(1)
-    placed = prefix_sums(keyed, ["_p"], "_k1", ties, one, n_buckets(total // partitions, bucket_rows), "_r", F.broadcast(deal))
+    placed = prefix_sums(keyed, ["_p"], "_k1", ties, one, n_buckets(total // partitions, bucket_rows), "_r", lambda sums: F.broadcast(deal))
     placed = placed.withColumn("shard", F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))).cast("int")).drop("_r", "_cuts", "_p", "_k1")
-    return prefix_sums(placed, ["shard"], "_k2", ties, one, n_buckets(total // shards, bucket_rows), "slot").drop("_k2")
+    return names_back(prefix_sums(placed, ["shard"], "_k2", ties, one, n_buckets(total // shards, bucket_rows), "slot").drop("_k2"))

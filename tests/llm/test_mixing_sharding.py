@@ -1,6 +1,8 @@
+import math
+
 import numpy as np
 from sentryloom.llm.mixing import mix_sources, mixed_documents
-from sentryloom.llm.sharding import _draw, communication_matrix, shard_rows
+from sentryloom.llm.sharding import _draw, communication_matrix, hypergeometric, shard_rows
 
 from .conftest import edge_rows
 
@@ -92,3 +94,19 @@ def test_matrix_has_exact_margins_and_is_fair():
     assert np.allclose(sums / 300, np.array(sizes)[:, None] / 6, rtol=0.05, atol=0.5)
     big = _draw(np.random.default_rng(1), np.array([10**9, 2 * 10**9, 10**9]), 10**8)
     assert big.sum() == 10**8 and abs(big[1] - 5 * 10**7) < 10**5
+
+
+def test_hypergeometric_draws_follow_their_law():
+    """Frequencies against the exact law for small counts, mean and spread far beyond 1e9 rows."""
+    rng = np.random.default_rng(4)
+    for good, bad, n in ((7, 13, 9), (1, 30, 5), (40, 25, 60), (3, 0, 2), (0, 5, 3)):
+        draws = 20_000
+        got = np.bincount([hypergeometric(rng, good, bad, n) for _ in range(draws)], minlength=n + 1)
+        want = np.array([math.comb(good, k) * math.comb(bad, n - k) / math.comb(good + bad, n) for k in range(n + 1)])
+        assert got[want == 0].sum() == 0
+        used = want > 0
+        assert ((got[used] - draws * want[used]) ** 2 / (draws * want[used])).sum() < used.sum() + 6 * (2 * used.sum()) ** 0.5
+    good, bad, n = 4 * 10**10, 6 * 10**10, 10**9
+    x = np.array([hypergeometric(rng, good, bad, n) for _ in range(400)], float)
+    sd = math.sqrt(n * 0.4 * 0.6 * (1 - n / (good + bad)))
+    assert abs(x.mean() - 0.4 * n) < 5 * sd / 20 and 0.85 < x.std() / sd < 1.15
