@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import BLANK, join_groups, renamed_apart, written
+from ._spark import BLANK, join_groups, named_apart, renamed_apart, small, written
 
 #: Characters of the prefix that the second level hashes.
 PREFIX_CHARS = 64
-#: Up to so many surviving groups (16 bytes each) are broadcast to the scan; beyond, every text is hashed where it is read.
-BROADCAST_GROUPS = 200_000
+#: Up to so many surviving groups (16 bytes each) are broadcast to the scan, and then no text moves; beyond, rows meet them in a shuffle.
+BROADCAST_GROUPS = 1_000_000
+INTERNAL = ["_n", "_p", "_h", "_v", "_hot", "_spread"]
 
 
 def normalised(text: Column) -> Column:
@@ -30,25 +31,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stays if the group has another; alone it keeps itself (``keep_id`` null, kept).
     Repeated rows with one id count in ``group_size`` and all carry the same ``kept``.  An
     empty table gives an empty result; input columns named like the outputs are replaced.
-    No text is shuffled unless the caller selects it from the result.
+    Texts are hashed in full only in groups that survive, at every size.  While the surviving
+    groups can be broadcast no text is shuffled unless the caller selects it from the result.
     """
-    docs = renamed_apart(docs, ["keep_id", "group_size", "kept"])
+    docs, names_back, (id_col, text_col) = named_apart(renamed_apart(docs, ["keep_id", "group_size", "kept"]), INTERNAL, id_col, text_col)
     norm = normalised(F.col(text_col))
-    level = {"_n": F.octet_length(norm), "_p": F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))}
-    keys = written(docs.select(level["_n"].alias("_n"), level["_p"].alias("_p")))
-    total = keys.count()
-    pairs = keys.groupBy("_n", "_p").agg(F.count(F.lit(1)).alias("_c"))
+    rows = docs.withColumns({"_n": F.octet_length(norm), "_p": F.xxhash64(F.substring(norm, 1, PREFIX_CHARS))})
+    pairs = written(rows.groupBy("_n", "_p").agg(F.count(F.lit(1)).alias("_c")))
+    total = pairs.agg(F.sum("_c")).first()[0] or 0
     lengths = pairs.groupBy("_n").agg(F.sum("_c").alias("_all")).filter("_all > 1").select("_n")
-    prefixes = written(pairs.filter("_c > 1").join(lengths, "_n", "left_semi").select("_n", "_p"))
-    few = prefixes.count() <= BROADCAST_GROUPS
-    rows = docs.withColumns(level)
-    full = F.sha2(norm, 256)
-    side = F.broadcast(prefixes) if few else prefixes
-    if few:
-        alive = rows.join(side, ["_n", "_p"], "left_semi").withColumn("_h", full)
-    else:
-        alive = rows.withColumn("_h", full).join(side, ["_n", "_p"], "left_semi")
+    side = small(written(pairs.filter("_c > 1").join(lengths, "_n", "left_semi").select("_n", "_p")), BROADCAST_GROUPS)
+    alive = rows.join(side, ["_n", "_p"], "left_semi").withColumn("_h", F.sha2(norm, 256))
     single = rows.join(side, ["_n", "_p"], "left_anti").select(*docs.columns, F.col(id_col).alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     groups = written(alive.groupBy("_n", "_p", "_h").agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
     joined = join_groups(alive, groups, ["_n", "_p", "_h"], "group_size", total, F.col(id_col)).select(*docs.columns, "keep_id", "group_size")
-    return joined.unionByName(single).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id")))
+    return names_back(joined.unionByName(single).withColumn("kept", F.col(id_col).eqNullSafe(F.col("keep_id"))))
