@@ -23,9 +23,9 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ._spark import join_groups, written
 from ._words import shingle_sets
@@ -46,13 +46,14 @@ PIVOT_ROUNDS = 3
 def _sets(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """``_id, _n, _fp`` (a 128-bit name of the shingle set) and ``_sketch``, per row."""
 
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(len(s), blake2b(s.tobytes(), digest_size=16).digest(), (s[:k] >> np.uint64(1)).astype(np.int64)) for s in shingle_sets(batch["_text"].tolist())]
-            yield pd.DataFrame({"_id": batch["_id"], "_n": [r[0] for r in rows], "_fp": [r[1] for r in rows], "_sketch": [r[2] for r in rows]})
+            rows = [(len(s), blake2b(s.tobytes(), digest_size=16).digest(), (s[:k] >> np.uint64(1)).astype(np.int64)) for s in shingle_sets(batch.column(1).to_pylist())]
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int64(), pa.binary(), pa.list_(pa.int64())))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["_id", "_n", "_fp", "_sketch"])
 
     id_type = docs.select(id_col).dtypes[0][1]
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInPandas(sketch, f"_id {id_type}, _n long, _fp binary, _sketch array<long>")
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(sketch, f"_id {id_type}, _n long, _fp binary, _sketch array<long>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -123,6 +124,7 @@ def _prefix_lists(values: DataFrame, nodes: DataFrame, sampled: bool, k: int | N
     if not sampled:
         smallest = rows.groupBy("_v").agg(F.min("_n").alias("_least"))
         rows = rows.join(smallest, "_v").filter(F.col("_left") >= _shared_at_least(F.col("_n"), F.greatest("_least", _overlap(F.col("_n"), None)))).drop("_least")
+        rows = written(rows)  # so that the lengths below are counted before the shuffle: a long list is many rows of one key
     lengths = rows.groupBy("_v").agg(F.count(F.lit(1)).alias("_m")).filter("_m > 1")
     return rows.join(lengths, "_v")
 
@@ -184,18 +186,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two texts are linked if 100 times the intersection of their shingle sets is at least 75
     times the union.  ``component_id`` is the smallest id reachable over links, the row's
     own included.  A text without words (null, empty, blank) has no shingles and is linked
-    with nothing.  A text of fewer words than a shingle has one shingle.  Rows with a null
-    id take no part (``component_id`` null, kept).  Repeated rows share a class.  A text of
+    with nothing.  A text of fewer words than a shingle has one shingle.  Ids may be of any
+    ordered type.  Rows with a null id take no part (``component_id`` null, kept).  Repeated rows share a class.  A text of
     any length is hashed whole.  Other columns are not read; an empty table gives no rows.
     """
     rows = written(_sets(docs, id_col, text_col, k))
     total = rows.count()
     alive = rows.filter("_n > 0 AND _id IS NOT NULL")
     reps = alive.groupBy("_fp").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies"), F.first("_n").alias("_n"), F.first("_sketch").alias("_sketch"))
-    reps = written(reps.withColumn("_node", F.col("_rep").cast("long")))
-    if reps.groupBy("_rep").count().filter("count > 1").limit(1).count():  # one id with several texts: their nodes must differ
-        nth = F.row_number().over(Window.partitionBy("_rep").orderBy("_fp"))
-        reps = written(reps.withColumn("_node", F.when(nth == 1, F.col("_node")).otherwise(F.xxhash64("_fp"))))
+    reps = written(reps.withColumn("_node", F.monotonically_increasing_id()))  # numbers hold from here on, as the table is written
     lists = written(_prefix_lists(reps.select("_node", F.explode("_sketch").alias("_v")), reps, True, k))
     short = written(_short_pairs(lists))
     in_long = lists.filter(F.col("_m") > SHORT_LIST).select("_node").distinct()
@@ -212,14 +211,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     for turn in range(PIVOT_ROUNDS):
         last = turn == PIVOT_ROUNDS - 1
         tagged = written(long.join(labels, "_node", "left").withColumn("_label", F.coalesce("_label", "_node")).select("_v", "_node", "_n", "_left", "_central", "_label"))
-        core = tagged.groupBy("_v", "_label").agg(F.count(F.lit(1)).alias("_size")).groupBy("_v").agg(F.max_by("_label", F.struct("_size", "_label")).alias("_core"), F.count(F.lit(1)).alias("_parts")).filter("_parts > 1")
+        # Of each component in a list its size and its most central member, added up before the shuffle.
+        parts = written(tagged.groupBy("_v", "_label").agg(F.count(F.lit(1)).alias("_size"), F.max(F.struct("_central", "_node", "_n", "_left")).alias("_best")))
+        core = parts.groupBy("_v").agg(F.max_by("_label", F.struct("_size", "_label")).alias("_core"), F.count(F.lit(1)).alias("_parts")).filter("_parts > 1")
         core = written(core)
         if not core.limit(1).count():
             break
-        rest = tagged.join(core, "_v").filter("_label <> _core")
-        if not last:
-            one = rest.groupBy("_v").agg(F.max_by(F.struct("_node", "_label", "_n", "_left"), F.struct("_central", "_node")).alias("_one"))
-            rest = one.select("_v", "_one.*")
+        if last:
+            rest = tagged.join(core, "_v").filter("_label <> _core")
+        else:
+            one = written(parts.join(core, "_v").filter("_label <> _core").select("_v", F.struct("_best", "_label").alias("_one"))).groupBy("_v").agg(F.max("_one").alias("_one"))
+            rest = one.select("_v", F.col("_one._label").alias("_label"), "_one._best.*")
         other = rest.select("_v", F.col("_node").alias("_y"), F.col("_label").alias("_ly"), F.col("_n").alias("_ny"), F.col("_left").alias("_lefty"))
         near = (F.col("_label") != F.col("_ly")) & (F.least("_left", "_lefty") >= _shared_at_least(F.col("_n"), F.col("_ny")))
         open_pairs = _ordered(tagged.withColumnRenamed("_node", "_x").join(other, "_v").filter(near).select("_x", "_y"))

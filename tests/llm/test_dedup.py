@@ -102,3 +102,41 @@ def test_exact_dedup_edge_cases(edge, empty):
     assert sorted(((r.doc_id, r.keep_id, r.group_size) for r in out.collect()), key=repr) == want
     assert exact_dedup(empty).collect() == []
     assert hashlib.sha256(b"").hexdigest()
+
+
+def test_near_duplicates_recall_over_set_sizes(spark):
+    """Every set size from 1 to 200 with a partner as small in similarity as a link may be: one that holds it, and one that each side exceeds."""
+    rng = random.Random(200)
+    rows, pairs = [], 0
+    for n in range(1, 201):
+        m = n * 100 // 75  # the largest set that holds n shingles and is linked
+        tail = m - n
+        text = [f"w{rng.random()}" for _ in range(m + 4)]
+        at = 4 * n
+        rows += [(at, " ".join(text[: n + 4])), (at + 1, " ".join(text))]
+        pairs += tail > 0
+        shared = next(s for s in range(1, n + 1) if 100 * s >= 75 * (2 * n - s))  # two sets of n that share as few as they may
+        one = [f"v{rng.random()}" for _ in range(shared + 4)]
+        rows += [(at + 2, " ".join(one + [f"x{rng.random()}" for _ in range(n - shared)])), (at + 3, " ".join(one + [f"y{rng.random()}" for _ in range(n - shared)]))]
+    df = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], DOC)
+    out = {r.doc_id: r.component_id for r in near_duplicates(df).collect()}
+    missed = [i for i in out if i % 2 and out[i] != i - 1]
+    assert not missed and pairs > 190
+
+
+def test_near_duplicates_of_other_id_types(spark):
+    rng = random.Random(5)
+    base = words(rng, 40)
+    text_ids = near_duplicates(spark.createDataFrame([("b", base), ("a", base + " x"), ("c", "other words here"), (None, base)], "doc_id string, text string"))
+    assert {(r.doc_id, r.component_id, r.kept) for r in text_ids.collect()} == {("b", "a", False), ("a", "a", True), ("c", "c", True), (None, None, True)}
+    big = (1 << 62) + 1
+    large = near_duplicates(spark.createDataFrame([(big, base), (big + 1, base), (None, base)], "doc_id long, text string"))
+    assert {(r.doc_id, r.component_id) for r in large.collect()} == {(big, big), (big + 1, big), (None, None)}
+
+
+def test_exact_dedup_in_a_shuffle_gives_the_same(edge, monkeypatch):
+    import sentryloom.llm.exact_dedup as module
+
+    want = sorted((repr(r.doc_id), repr(r.text), r.keep_id, r.group_size, r.kept) for r in exact_dedup(edge).collect())
+    monkeypatch.setattr(module, "BROADCAST_GROUPS", 0)
+    assert sorted((repr(r.doc_id), repr(r.text), r.keep_id, r.group_size, r.kept) for r in exact_dedup(edge).collect()) == want
