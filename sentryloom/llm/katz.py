@@ -40,7 +40,7 @@ from ._words import mix, word_hashes
 
 BLOCK_BYTES = 8 << 20
 #: Keys that one table partition gets on average, repeats from different blocks counted.
-PARTITION_KEYS = 2_000_000
+PARTITION_KEYS = 1_000_000
 #: Longest n-grams of the model.
 ORDER = 2
 GT_MAX = 5

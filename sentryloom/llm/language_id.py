@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -132,7 +132,7 @@ def _chains(samples: list[list[list[str]]], rng: np.random.Generator) -> tuple[l
     return words, mask
 
 
-def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5) -> Model:
+def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5, words_per_row: int = WORDS_PER_ROW, lexicon_words: int = LEXICON_WORDS) -> Model:
     """Penalised maximum likelihood by Adam from texts by language; the same input gives the same model."""
     rng = np.random.Generator(np.random.PCG64(seed))
     languages = sorted(samples)
@@ -141,12 +141,12 @@ def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5) -> M
         texts.append([])
         for text in sorted(samples[name]):
             words = [w.decode("utf-8", "replace") for w in lowered(text).split()]
-            at = zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(words) - WORDS_PER_ROW + 1)
+            at = zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(words) - words_per_row + 1)
             if words:
-                texts[-1].append(words[at : at + WORDS_PER_ROW])
+                texts[-1].append(words[at : at + words_per_row])
     counts = [Counter(_core(w) for t in x for w in t) for x in texts]
     total = sum(counts, Counter())
-    lexicon = {w: k for k, c in enumerate(counts) for w, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_WORDS] if w and n >= 0.8 * total[w] and n > 2}
+    lexicon = {w: k for k, c in enumerate(counts) for w, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words] if w and n >= 0.8 * total[w] and n > 2}
     chains, labels = _chains(texts, rng)
     number: dict[str, int] = {}
     ids = np.full(labels.shape, 0)
@@ -179,11 +179,13 @@ def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5) -> M
 
 def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> dict[str, list[str]]:
     """At most ``per_language`` texts for each language, those with the smallest hash of the id."""
-    from pyspark.sql import Window
-
-    nth = F.row_number().over(Window.partitionBy(lang_col).orderBy("_h", id_col))
     ids = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(lang_col, id_col, F.xxhash64(F.lit(3), id_col).alias("_h"))
-    picked = ids.withColumn("_n", nth).filter(F.col("_n") <= per_language).select(id_col)
+    # First by a bound on the hash that leaves a few more than enough, so that no task ranks all rows of a language.
+    counts = ids.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_all"))
+    share = F.least(F.lit(1.0), F.lit(per_language + 12 * per_language**0.5 + 50.0) / F.col("_all"))
+    near = ids.join(counts, lang_col).filter(F.shiftrightunsigned("_h", 11) < share * float(1 << 53))
+    order = (F.shiftrightunsigned("_h", 1), F.col("_h"), F.col(id_col))
+    picked = near.withColumn("_n", F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))).filter(F.col("_n") <= per_language).select(id_col)
     rows = labelled.join(F.broadcast(picked.distinct()), id_col, "left_semi").select(lang_col, text_col)
     out: dict[str, list[str]] = {}
     for lang, text in rows.toLocalIterator():
@@ -192,11 +194,13 @@ def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
     return out
 
 
-def identify_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = ROWS_PER_LANGUAGE) -> DataFrame:
+def identify_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = ROWS_PER_LANGUAGE, words_per_row: int = WORDS_PER_ROW, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
     """All rows and columns of ``docs`` with ``lang_pred, score``.
 
     The model learns from at most ``per_language`` rows of ``labelled`` for each non-null
-    language and predicts from the text alone.  ``score`` is the mean marginal of the
+    language, ``words_per_row`` consecutive words of each, with a lexicon of at most
+    ``lexicon_words`` words a language (they bound the fit on the driver, nothing else), and
+    predicts from the whole text alone.  ``score`` is the mean marginal of the
     predicted label (ties: the first language in code point order).  A null text, or one
     without any letter, gets ``und`` and score 0, as does every text if there is nothing to
     learn from.  Texts of any length are labelled whole, repeated rows alike; an empty table
@@ -206,7 +210,7 @@ def identify_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_i
     samples = sample_rows(labelled, id_col, text_col, lang_col, per_language)
     if not samples:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    model = fit(samples)
+    model = fit(samples, words_per_row=words_per_row, lexicon_words=lexicon_words)
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.transition))
 

@@ -80,7 +80,7 @@ def prior_corrected_risk(scores: np.ndarray, positive: np.ndarray, prior: float)
     return float(risk_p), float(risk_n), up + down if risk_n >= -SLACK else -down
 
 
-def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float, screen: float = SCREEN, most: int = FEATURES) -> tuple[np.ndarray, float]:
     """Weights by feature hash (float32) and bias; the same rows give the same classifier."""
     size = 1 << HASH_BITS
     weights = np.zeros(size, np.float32)
@@ -96,8 +96,8 @@ def fit(rows: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[np.
     pooled = (df[0] + df[1] + 1) / (n_p + n_u + 2)
     z = (rate_p - rate_u) / np.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u))
     z[df[1] < max(LEAST_TEXTS, LEAST_SHARE * n_p)] = 0
-    picked = np.argsort(-z, kind="stable")[:FEATURES]
-    picked = picked[z[picked] >= SCREEN]
+    picked = np.argsort(-z, kind="stable")[:most]
+    picked = picked[z[picked] >= screen]
     if not len(picked):
         return weights, bias
     column = np.full(size, -1)
@@ -133,13 +133,15 @@ def _smallest(ids: DataFrame, id_col: str, n: int) -> DataFrame:
     return ids.select(id_col).distinct().withColumn("_h", F.xxhash64(F.lit(7), id_col)).orderBy("_h", id_col).limit(n).select(id_col)
 
 
-def score_toxicity(docs: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float = 0.3, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score_toxicity(docs: DataFrame, texts: DataFrame, labels: DataFrame, threshold: float = 0.3, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = POSITIVES, unlabelled: int = UNLABELLED, screen: float = SCREEN, most_features: int = FEATURES) -> DataFrame:
     """All rows and columns of ``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold``).
 
     ``texts`` has the ids and texts to learn from, ``labels`` ids and labels: rows of label 1
     are the confirmed toxic ones and, unless ``prior`` is given, the share of label 1 is the
     class prior.  Other labels are not learned from; all of ``texts`` count as unlabelled.
-    At most ``POSITIVES`` and ``UNLABELLED`` texts are used, and only those are moved.  Null
+    The fit is bounded: at most ``positives`` and ``unlabelled`` texts, and the
+    ``most_features`` features whose rate in toxic texts is ``screen`` standard errors above
+    that in unlabelled ones (0 keeps all that are more frequent); only those texts are moved.  Null
     and empty texts have no features and get the bias alone; a text of any length is scored
     whole; repeated rows score alike; an empty table gives an empty result; input columns
     named like the outputs are replaced.  Without confirmed examples every score is low.
@@ -148,8 +150,8 @@ def score_toxicity(docs: DataFrame, texts: DataFrame, labels: DataFrame, thresho
     known = labels.filter(F.col(label_col).isNotNull())
     if prior is None:
         prior = known.agg(F.avg(F.col(label_col).cast("double"))).first()[0] or 0.0
-    positive = _smallest(known.filter(F.col(label_col) == 1), id_col, POSITIVES).withColumn("_y", F.lit(1))
-    free = _smallest(texts, id_col, UNLABELLED).withColumn("_y", F.lit(0))
+    positive = _smallest(known.filter(F.col(label_col) == 1), id_col, positives).withColumn("_y", F.lit(1))
+    free = _smallest(texts, id_col, unlabelled).withColumn("_y", F.lit(0))
     picked = texts.select(id_col, text_col).join(F.broadcast(positive.unionByName(free)), id_col)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,7 +162,7 @@ def score_toxicity(docs: DataFrame, texts: DataFrame, labels: DataFrame, thresho
 
     both = picked.withColumn("_h", F.xxhash64(F.lit(7), id_col)).select("_y", "_h", text_col)
     sample = sorted((r["_y"], r["_h"], bytes(r["_f"])) for r in both.mapInPandas(extract, "_y int, _h long, _f binary").toLocalIterator())
-    weights, bias = fit([np.frombuffer(x[2], "<i4") for x in sample], np.array([x[0] == 1 for x in sample], bool), prior)
+    weights, bias = fit([np.frombuffer(x[2], "<i4") for x in sample], np.array([x[0] == 1 for x in sample], bool), prior, screen, most_features)
     model = docs.sparkSession.sparkContext.broadcast((np.flatnonzero(weights), weights[weights != 0], bias))
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
 
