@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import _filled, normalize_tags, normalize_url
+from ..tables import small
 from .relations import validate_messages
 from .similarity import candidate_pairs, hamming, lsh_buckets, minhash, minhash_similarity, similar_pairs, simhash, simhash_buckets, text_name
 
@@ -60,13 +61,22 @@ def apply_enrichment(df: DataFrame) -> DataFrame:
     return df.withColumns({"title": fill("title", 10), "description": fill("description", 20), "vendor": F.coalesce(F.nullif("enrichment.vendor", F.lit("")), "vendor")})
 
 
-def threat_score(df: DataFrame) -> DataFrame:
-    """Adds ``score``: .4 class, .3 indicators (their F1), .2 attribution and .1 confidence."""
+def threat_score(df: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Adds ``score``: .4 class, .3 indicators (their F1), .2 attribution and .1 confidence.
+
+    Attribution counts fully for the same actor, .9 for another name of it (``aliases`` has rows
+    ``name, actor``, both in lower case) and half where the name holds the true one.
+    """
     group = lambda c: F.element_at(F.create_map(*[F.lit(x) for p in CLASS_GROUPS.items() for x in p]), F.lower(c))
     same = F.when(F.lower("pred_class") == F.lower("true_class"), 1.0).when(group(F.col("pred_class")) == group(F.col("true_class")), 0.8).otherwise(0.0)
-    who = F.when(F.lower("pred_actor") == F.lower("true_actor"), 1.0).when(F.contains(F.lower("pred_actor"), F.lower("true_actor")), 0.5).otherwise(0.0)
+    alias = F.lit(False)
+    if aliases is not None:
+        known = small(aliases.select(F.col("name").alias("_pred"), F.col("actor").alias("_true")).distinct().withColumn("_alias", F.lit(True)))
+        df = df.withColumns({"_pred": F.lower("pred_actor"), "_true": F.lower("true_actor")}).join(known, ["_pred", "_true"], "left").drop("_pred", "_true")
+        alias = F.coalesce("_alias", F.lit(False))
+    who = F.when(F.lower("pred_actor") == F.lower("true_actor"), 1.0).when(alias, 0.9).when(F.contains(F.lower("pred_actor"), F.lower("true_actor")), 0.5).otherwise(0.0)
     sure = 1 - F.abs(F.col("pred_confidence") - F.col("true_confidence"))
-    return df.withColumn("score", 0.4 * same + 0.3 * F.col("f1") + 0.2 * F.coalesce(who, F.lit(0.0)) + 0.1 * sure)
+    return df.withColumn("score", 0.4 * same + 0.3 * F.col("f1") + 0.2 * F.coalesce(who, F.lit(0.0)) + 0.1 * sure).drop("_alias")
 
 
 def reasoning_quality(steps: Column, text: Column) -> Column:

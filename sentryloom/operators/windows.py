@@ -72,6 +72,19 @@ def link_status(probes: DataFrame, key: str = "url", ts: str = "ts", order: str
     return rows.withColumn("next_check_hours", hours)
 
 
+def usable_links(status: DataFrame, now: Column, override: str = "override", ts: str = "ts") -> DataFrame:
+    """Adds ``usable`` to the last status of each link: a manual override decides; dead or disabled links are not used, quarantined ones once their next check is due.
+
+    ``override`` is a nullable boolean column, ``ts`` the time of the last probe, from which
+    ``next_check_hours`` counts.  With an override the status says so.
+    """
+    manual, s = F.col(override), F.col("status")
+    due = F.unix_micros(now) >= micros(ts) + F.col("next_check_hours") * 3_600_000_000
+    named = F.when(manual, "manually_enabled").when(~manual, "manually_disabled").otherwise(s)
+    usable = F.coalesce(manual, F.when(s.isin("dead", "manually_disabled"), False).when(s == "quarantined", F.coalesce(due, F.lit(False))).otherwise(True))
+    return status.withColumns({"usable": usable, "status": named})
+
+
 def fold_in_order(df: DataFrame, key: str, ts: str, order: str, start: Callable[[], object], step: Callable, out: str, kind: str, value: str | None = None) -> DataFrame:
     """Adds ``out``: what ``step(state, time, value)`` gives for each row of a key in time order, beside the next state.
 

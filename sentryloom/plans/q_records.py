@@ -61,13 +61,14 @@ def apply_enrichment(spark, d):
     return C.apply_enrichment(rows).select("doc_id", "title", "vendor")
 
 
-@query("SELECT event_id, round(0.4 * CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 3 = 1 THEN 0.8 ELSE 0 END + 0.3 * (user_id % 5) / 4 + 0.2 * CASE WHEN event_id % 4 = 0 THEN 1 WHEN event_id % 4 = 1 THEN 0.5 ELSE 0 END + 0.1 * (1 - abs(0.9 - (user_id % 10) / 10)), 6) AS score FROM events")
+@query("SELECT event_id, round(0.4 * CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 3 = 1 THEN 0.8 ELSE 0 END + 0.3 * (user_id % 5) / 4 + 0.2 * CASE WHEN event_id % 4 = 0 THEN 1 WHEN event_id % 4 = 1 THEN 0.5 WHEN event_id % 4 = 2 THEN 0.9 ELSE 0 END + 0.1 * (1 - abs(0.9 - (user_id % 10) / 10)), 6) AS score FROM events")
 def threat_score(spark, d):
     i, u = F.col("event_id"), F.col("user_id")
     rows = frame(spark, d, "events").select(
         "event_id", F.when(i % 3 == 0, "Malware").when(i % 3 == 1, "ransomware").otherwise("phishing").alias("pred_class"), F.lit("malware").alias("true_class"), ((u % 5) / 4).alias("f1"),
-        F.when(i % 4 == 0, "apt28").when(i % 4 == 1, "group APT28").otherwise("none").alias("pred_actor"), F.lit("APT28").alias("true_actor"), F.lit(0.9).alias("pred_confidence"), ((u % 10) / 10).alias("true_confidence"))
-    return C.threat_score(rows).select("event_id", F.round("score", 6).alias("score"))
+        F.when(i % 4 == 0, "apt28").when(i % 4 == 1, "group APT28").when(i % 4 == 2, "Fancy Bear").otherwise("none").alias("pred_actor"), F.lit("APT28").alias("true_actor"), F.lit(0.9).alias("pred_confidence"), ((u % 10) / 10).alias("true_confidence"))
+    aliases = spark.createDataFrame([("fancy bear", "apt28"), ("sofacy", "apt28"), ("cozy bear", "apt29")], "name string, actor string")
+    return C.threat_score(rows, aliases).select("event_id", F.round("score", 6).alias("score"))
 
 
 @query("SELECT doc_id, round((CASE WHEN doc_id % 2 = 0 THEN 0.4 + 1.0 / 3 * 2 + 0.5 ELSE 0.2 + 0 + 0 END + 0.8) / 4, 6) AS quality FROM documents")

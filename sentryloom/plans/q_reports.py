@@ -146,6 +146,13 @@ def bulk_override(spark, d):
     return R.bulk_override(h, h.filter(F.contains("url", F.lit("u1"))), "url", False).select("url", "status")
 
 
+@query(LAST + " SELECT url, CASE WHEN contains(url, 'u1') THEN 'manually_disabled' WHEN contains(url, 'u2') THEN 'manually_enabled' ELSE status END AS status, CASE WHEN contains(url, 'u1') THEN false WHEN contains(url, 'u2') THEN true WHEN status = 'dead' THEN false WHEN status = 'quarantined' THEN TIMESTAMP '2024-01-31' >= ts + INTERVAL 168 HOUR ELSE true END AS usable FROM z")
+def usable_links(spark, d):
+    h = _health(spark, d)
+    override = F.when(F.contains("url", F.lit("u1")), False).when(F.contains("url", F.lit("u2")), True)
+    return W.usable_links(h.withColumn("override", override), F.lit("2024-01-31").cast("timestamp")).select("url", "status", "usable")
+
+
 @query(sql_with("nodes") + "SELECT label, count(*) AS n, round(least(1, sum(count(*)) OVER () / 10000)::DOUBLE, 6) AS coverage FROM nodes GROUP BY 1")
 def graph_stats(spark, d):
     return r6(A.graph_stats(frame(spark, d, "nodes")), "coverage")

@@ -34,16 +34,16 @@ def decode_json_lenient(spark, d):
 def _feeds(spark, d):
     i = F.col("doc_id")
     rss = F.concat(F.lit("<rss><channel><title>"), "source", F.lit("</title><item><guid>g"), i, F.lit("</guid><title>"), "lang", F.lit("</title><link>https://h/"), i, F.lit("</link><category>a</category><category>b</category></item><item><title>second</title><pubDate>2024</pubDate></item></channel></rss>"))
-    atom = F.concat(F.lit("<feed><title>"), "source", F.lit("</title><entry><id>a"), i, F.lit("</id><title>"), "lang", F.lit("</title><summary>s</summary></entry></feed>"))
+    atom = F.concat(F.lit("<feed><title>"), "source", F.lit("</title><entry><id>a"), i, F.lit("</id><title>"), "lang", F.lit("</title><link rel=\"self\" href=\"https://self/\"/><link href=\"https://h/"), i, F.lit("\"/><summary>s</summary></entry></feed>"))
     return frame(spark, d, "documents").select("doc_id", "source", F.when(i % 2 == 0, rss).otherwise(atom).alias("xml"))
 
 
-@query("SELECT doc_id, source AS feed_title, CASE WHEN doc_id % 2 = 0 THEN 'g' || doc_id ELSE 'a' || doc_id END AS entry_id, lang AS title FROM documents UNION ALL SELECT doc_id, source, md5('second2024'), 'second' FROM documents WHERE doc_id % 2 = 0")
+@query("SELECT doc_id, source AS feed_title, CASE WHEN doc_id % 2 = 0 THEN 'g' || doc_id ELSE 'a' || doc_id END AS entry_id, lang AS title, 'https://h/' || doc_id AS link FROM documents UNION ALL SELECT doc_id, source, md5('second2024'), 'second', NULL FROM documents WHERE doc_id % 2 = 0")
 def parse_feed_xml(spark, d):
-    return P.parse_feed_xml(_feeds(spark, d), "xml").select("doc_id", "feed_title", "entry_id", "title")
+    return P.parse_feed_xml(_feeds(spark, d), "xml").select("doc_id", "feed_title", "entry_id", "title", "link")
 
 
-@query("SELECT 'g' || doc_id AS id, 'https://h/' || doc_id AS url, 'feeds.example.org' AS source_name, 'a,b' AS tags FROM documents WHERE doc_id % 2 = 0")
+@query("SELECT CASE WHEN doc_id % 2 = 0 THEN 'g' ELSE 'a' END || doc_id AS id, 'https://h/' || doc_id AS url, 'feeds.example.org' AS source_name, CASE WHEN doc_id % 2 = 0 THEN 'a,b' ELSE '' END AS tags FROM documents")
 def feed_entry_to_records(spark, d):
     rows = P.parse_feed_xml(_feeds(spark, d), "xml").withColumn("feed", F.lit("https://feeds.example.org/rss"))
     return P.feed_entry_to_records(rows, "feed").select("id", "url", "source_name", F.array_join("tags", ",").alias("tags"))

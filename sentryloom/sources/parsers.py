@@ -22,17 +22,21 @@ def decode_json_lenient(text: Column) -> Column:
 def parse_feed_xml(df: DataFrame, xml: str) -> DataFrame:
     """One row an entry of RSS or Atom documents: ``feed_title, entry_id, title, link, published, content, categories``.
 
-    The id is the entry's id, guid, link, or the MD5 of title and time.
+    The id is the entry's id, guid, link, or the MD5 of title and time.  An Atom entry's link is
+    its first one to the page itself (``alternate`` or no relation), else its first.
     """
     rss = F.from_xml(xml, "channel STRUCT<title STRING, item ARRAY<STRUCT<guid STRING, title STRING, link STRING, pubDate STRING, description STRING, author STRING, category ARRAY<STRING>>>>", {"rowTag": "rss"})
-    atom = F.from_xml(xml, "title STRING, entry ARRAY<STRUCT<id STRING, title STRING, published STRING, updated STRING, summary STRING, content STRING>>", {"rowTag": "feed"})
+    atom = F.from_xml(xml, "title STRING, entry ARRAY<STRUCT<id STRING, title STRING, link ARRAY<STRUCT<_VALUE STRING, _href STRING, _rel STRING>>, published STRING, updated STRING, summary STRING, content STRING>>", {"rowTag": "feed"})
     is_atom = F.col(xml).rlike("(?s)^\\s*(<\\?xml[^>]*>\\s*)?<feed")
     keep = [c for c in df.columns if c != xml]
     none = F.lit(None).cast("string")
     a = df.filter(~is_atom).select(*keep, rss.alias("_f")).select(*keep, F.col("_f.channel.title").alias("feed_title"), F.explode("_f.channel.item").alias("_e"))
     a = a.select(*keep, "feed_title", none.alias("_id"), F.col("_e.guid").alias("_guid"), F.col("_e.title").alias("title"), F.col("_e.link").alias("link"), F.col("_e.pubDate").alias("published"), F.col("_e.description").alias("content"), F.coalesce("_e.category", F.array().cast("array<string>")).alias("categories"))
+    links = F.filter("_e.link", lambda x: F.length(x["_href"]) > 0)
+    page = F.filter(links, lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    link = F.coalesce(F.get(page, F.lit(0))["_href"], F.get(links, F.lit(0))["_href"])
     b = df.filter(is_atom).select(*keep, atom.alias("_f")).select(*keep, F.col("_f.title").alias("feed_title"), F.explode("_f.entry").alias("_e"))
-    b = b.select(*keep, "feed_title", F.col("_e.id").alias("_id"), none.alias("_guid"), F.col("_e.title").alias("title"), none.alias("link"), F.coalesce("_e.published", "_e.updated").alias("published"), F.coalesce("_e.content", "_e.summary").alias("content"), F.array().cast("array<string>").alias("categories"))
+    b = b.select(*keep, "feed_title", F.col("_e.id").alias("_id"), none.alias("_guid"), F.col("_e.title").alias("title"), link.alias("link"), F.coalesce("_e.published", "_e.updated").alias("published"), F.coalesce("_e.content", "_e.summary").alias("content"), F.array().cast("array<string>").alias("categories"))
     rows = a.unionByName(b)
     entry = F.coalesce("_id", "_guid", "link", F.md5(F.concat_ws("", "title", "published")))
     return rows.withColumn("entry_id", entry).drop("_id", "_guid")

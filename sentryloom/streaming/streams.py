@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.graph import merge_graph
 from ..operators.relations import validate_messages
 
 DLQ_TTL = 604_800
@@ -122,3 +123,32 @@ def latest(versions: DataFrame, key: Sequence[str] = ("id",), version: str = "ve
     """The newest version of each key."""
     rest = [c for c in versions.columns if c not in key and c != "batch_id"]
     return versions.groupBy(*key).agg(F.max_by(F.struct(*rest), version).alias("_v")).select(*key, "_v.*")
+
+
+def ingest_stream(raw: DataFrame, target: str, checkpoint: str, now: Column, late: str = "1 day", once: bool = True) -> StreamingQuery:
+    """``ingest`` on each batch of ``url, fetched_at`` (a timestamp) ``, payload``: nodes, edges and dead letters under ``target``, one folder a batch.
+
+    A payload seen within ``late`` of event time is passed over, as is one that comes later than
+    that.  A batch that runs again
+    replaces its own folders; ``graph_tables`` reads the merged graph.
+    """
+    fresh = stream_dedupe(raw.withColumn("_h", F.sha2(F.coalesce("payload", F.lit("")), 256)), ["_h"], "fetched_at", late).drop("_h")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        from ..operators.ingest import ingest
+
+        kept = batch.persist()
+        try:
+            for name, part in ingest(kept, now)._asdict().items():
+                part.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{target}/{name}")
+        finally:
+            kept.unpersist()
+
+    return micro_batch(fresh, sink, checkpoint, once=once)
+
+
+def graph_tables(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
+    """Nodes with their properties merged over batches (of a property set twice the later batch holds), and edges, each once."""
+    nodes = spark.read.parquet(f"{target}/nodes").withColumnRenamed("batch_id", "version")
+    merged = merge_graph(nodes.filter("false"), nodes)
+    return merged, spark.read.parquet(f"{target}/edges").drop("batch_id").distinct()

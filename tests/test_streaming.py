@@ -9,7 +9,9 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 from sentryloom.operators import windows as W
+from sentryloom.operators.ingest import ingest
 from sentryloom.operators.relations import dedupe_first
+from sentryloom.plans.q_ingest import _payloads
 from sentryloom.sources.parsers import export_link_health, import_link_health, read_topic
 from sentryloom.sources.stand_ins import frame
 from sentryloom.streaming import streams as S
@@ -98,3 +100,17 @@ def test_topics_and_link_health_files(spark):
     export_link_health(health, path)
     new, counts = import_link_health(spark, path, "url string, status string", health.filter("url = 'https://a'"))
     assert [r.url for r in new.collect()] == ["https://b"] and tuple(counts.first()) == (1, 1, 0)
+
+
+def test_ingest_stream_gives_the_graph_of_the_batch(spark):
+    """Three files one after another, copies of payloads among them: the merged tables equal one batch over all."""
+    raw = _payloads(spark, SF).withColumn("fetched_at", F.to_timestamp("fetched_at")).withColumn("event_id", F.col("doc_id")).drop("doc_id")
+    now = F.lit("2024-02-01T00:00:00+00:00")
+    target = tempfile.mkdtemp(prefix="ingest-")
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(landed(raw))
+    S.ingest_stream(stream, target, tempfile.mkdtemp(prefix="check-"), now, "30 days").awaitTermination(240)
+    nodes, edges = S.graph_tables(spark, target)
+    want = ingest(raw, now)
+    assert {(r.id, r.label) for r in nodes.collect()} >= {(r.id, r.label) for r in want.nodes.filter("label NOT IN ('MispEvent')").collect()}
+    assert {tuple(r) for r in edges.filter("type = 'MENTIONS'").collect()} == {tuple(r) for r in want.edges.filter("type = 'MENTIONS'").collect()}
+    assert spark.read.parquet(f"{target}/dead").select("dlq_id").distinct().count() == want.dead.count() > 0
