@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._spark import renamed_apart
+from ._spark import renamed_apart, small, written
 from ._words import WordTable, lowered
 
 CHAIN = 64
@@ -181,7 +181,7 @@ def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
     """At most ``per_language`` texts for each language, those with the smallest hash of the id."""
     ids = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(lang_col, id_col, F.xxhash64(F.lit(3), id_col).alias("_h"))
     # First by a bound on the hash that leaves a few more than enough, so that no task ranks all rows of a language.
-    counts = ids.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_all"))
+    counts = small(written(ids.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_all"))))
     share = F.least(F.lit(1.0), F.lit(per_language + 12 * per_language**0.5 + 50.0) / F.col("_all"))
     near = ids.join(counts, lang_col).filter(F.shiftrightunsigned("_h", 11) < share * float(1 << 53))
     order = (F.shiftrightunsigned("_h", 1), F.col("_h"), F.col(id_col))
