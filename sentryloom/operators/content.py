@@ -215,7 +215,7 @@ def parse_pages(df: DataFrame, key: str = "page_id", html: str = "html") -> Data
                 out += [(page, parser.title, i, *row) for i, row in enumerate(parser.rows)]
             yield pd.DataFrame(out, columns=[key, "title", "position", "kind", "level", "content", "in_article"])
 
-    return df.select(key, html).mapInPandas(parse, f"{key} long, title string, position int, kind string, level int, content string, in_article boolean")
+    return df.select(key, html).mapInPandas(parse, f"{key} {df.schema[key].dataType.simpleString()}, title string, position int, kind string, level int, content string, in_article boolean")
 
 
 def article_text(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
