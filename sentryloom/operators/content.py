@@ -51,6 +51,20 @@ FEED_LINKS = (r'<link[^>]*type="application/rss\+xml"[^>]*href="([^"]*)"', r'<li
 FEED_PATHS = ("/rss", "/rss.xml", "/feed", "/feed.xml", "/feeds", "/feeds.xml", "/atom", "/atom.xml", "/blog/feed", "/blog/rss", "/news/feed", "/news/rss", "/index.xml", "/rss2.xml", "/feed.rss", "/articles/feed")
 TAXII_PATHS = ("/taxii2/", "/taxii/", "/stix/taxii2/", "/api/taxii2/", "/feeds/taxii2/")
 
+# Columns of page metadata with the attribute and the value that name their meta tag.
+META_TAGS = {
+    "description": ("name", "description"),
+    "keywords": ("name", "keywords"),
+    "author": ("name", "author"),
+    "published_time": ("property", "article:published_time"),
+    "modified_time": ("property", "article:modified_time"),
+    "og_title": ("property", "og:title"),
+    "og_description": ("property", "og:description"),
+    "og_type": ("property", "og:type"),
+    "twitter_title": ("name", "twitter:title"),
+    "twitter_description": ("name", "twitter:description"),
+}
+
 _ASCII = "(?<![A-Za-z0-9_])(?:{})(?![A-Za-z0-9_])"
 
 
@@ -156,6 +170,29 @@ def extract_entities(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(EN
     return df.withColumn("_e", F.explode(F.flatten(F.array(*found)))).select(*df.columns, "_e.*")
 
 
+def entity_spans(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES), around: int = 20) -> DataFrame:
+    """The rows of ``extract_entities`` with ``char_start``, ``char_end`` (after the last character) and ``context``, the characters around.
+
+    Positions count characters from 0.  One linear pass in Arrow batches, as built-in functions
+    give no positions of all matches.  Null text gives no rows.
+    """
+    compiled = [(k, re.compile(ENTITIES[k][0], re.ASCII), ENTITIES[k][1]) for k in kinds]
+    case = {"md5": str.lower, "sha1": str.lower, "sha256": str.lower, "cve": str.upper}
+
+    @F.pandas_udf("array<struct<kind string, value string, confidence double, char_start int, char_end int, context string>>")
+    def spans(texts: pd.Series) -> pd.Series:
+        def of(t: str | None) -> list[dict]:
+            return [
+                {"kind": k, "value": case.get(k, str)(m.group()), "confidence": c, "char_start": m.start(), "char_end": m.end(), "context": t[max(0, m.start() - around) : m.end() + around]}
+                for k, p, c in compiled
+                for m in p.finditer(t or "")
+            ]
+
+        return texts.map(of)
+
+    return df.withColumn("_e", F.explode(spans(F.col(text)))).select(*df.columns, "_e.*")
+
+
 class _Sections(HTMLParser):
     """Headings, paragraphs, list items and quotes of a page in order, with its title."""
 
@@ -218,6 +255,59 @@ def parse_pages(df: DataFrame, key: str = "page_id", html: str = "html") -> Data
     return df.select(key, html).mapInPandas(parse, f"{key} {df.schema[key].dataType.simpleString()}, title string, position int, kind string, level int, content string, in_article boolean")
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a quoted or bare attribute of a tag; null if it is absent or empty."""
+    found = [F.nullif(F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*{value}", 1), F.lit("")) for value in ('"([^"]*)"', "'([^']*)'", "([^\\s\"'>]+)")]
+    return F.coalesce(*found)
+
+
+def _inner_text(markup: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(markup, "<[^>]*>", " "), r"[ \t\n\r\f\x0B]+", " "))
+
+
+def page_metadata(df: DataFrame, html: str = "html", headings: int = 10, images: int = 10) -> DataFrame:
+    """Adds what a page says of itself: ``title`` (first heading if there is none), meta tags, ``canonical_url``, ``language``, the first headings and images.
+
+    Attributes may stand in any order and either quotes; what is absent or empty is null.
+    """
+    h = F.col(html)
+    tags = lambda name: F.regexp_extract_all(h, F.lit(rf"(?is)<{name}\s[^>]*>"), F.lit(0))
+    first = lambda found: F.try_element_at(found, F.lit(1))
+    heads = F.regexp_extract_all(h, F.lit(r"(?is)<h[1-6][^>]*>.*?</h[1-6]>"), F.lit(0))
+    heads = F.transform(heads, lambda x: F.struct(F.substring(x, 3, 1).cast("int").alias("level"), _inner_text(x).alias("text")))
+    pictures = F.filter(F.transform(tags("img"), lambda t: F.struct(_attribute(t, "src").alias("src"), _attribute(t, "alt").alias("alt"))), lambda t: t["src"].isNotNull())
+    df = df.withColumns({"_meta": tags("meta"), "_heads": heads})
+    metas = {c: _attribute(first(F.filter("_meta", lambda t: _attribute(t, a) == v)), "content") for c, (a, v) in META_TAGS.items()}  # noqa: B023
+    title = F.nullif(_inner_text(F.regexp_extract(h, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit(""))
+    canonical = _attribute(first(F.filter(tags("link"), lambda t: _attribute(t, "rel") == "canonical")), "href")
+    out = df.withColumns({"title": F.coalesce(title, first("_heads")["text"]), **metas, "canonical_url": canonical, "language": _attribute(first(tags("html")), "lang")})
+    return out.withColumns({"headings": F.slice("_heads", 1, headings), "images": F.slice(pictures, 1, images)}).drop("_meta", "_heads")
+
+
+def page_links(df: DataFrame, html: str = "html", base: str = "url") -> DataFrame:
+    """One row for each link with an address: ``position, link_url`` (made absolute), ``link_text`` and ``is_external`` (its host is not the page's).
+
+    Dot segments of relative paths stay as they are; addresses without a host (``mailto:``) are external.
+    """
+    anchors = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>.*?</a>"), F.lit(0))
+    rows = df.select("*", F.posexplode(anchors).alias("position", "_a"))
+    rows = rows.withColumn("_h", _attribute(F.regexp_extract("_a", r"(?s)^<[^>]*>", 0), "href")).filter("_h IS NOT NULL")
+    part = lambda pattern: F.regexp_extract(base, pattern, 0)
+    root = part("^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*")
+    folder = part("^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/(?:[^?#]*/)?")
+    front = (
+        F.when(F.col("_h").rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), "")
+        .when(F.col("_h").startswith("//"), part("^[A-Za-z][A-Za-z0-9+.-]*:"))
+        .when(F.col("_h").startswith("/"), root)
+        .when(F.col("_h").startswith("?"), part("^[^?#]*"))
+        .when(F.col("_h").startswith("#"), part("^[^#]*"))
+        .otherwise(F.when(folder == "", F.concat(root, F.lit("/"))).otherwise(folder))
+    )
+    host = lambda c: F.lower(F.regexp_extract(c, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
+    rows = rows.withColumns({"link_url": F.concat(front, "_h"), "link_text": _inner_text(F.col("_a"))})
+    return rows.withColumn("is_external", host(F.col("link_url")) != host(F.col(base))).drop("_a", "_h")
+
+
 def article_text(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Paragraph text inside the article, with a confidence from its length, its paragraphs and the article tag."""
     inner = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)

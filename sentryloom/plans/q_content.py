@@ -110,6 +110,16 @@ def flagship_indicators(spark, d):
     return found.select("source", "kind", "value").distinct().groupBy("source", "kind").agg(F.count(F.lit(1)).alias("indicators"))
 
 
+SPANS = ", m AS (" + " UNION ALL ".join(f"SELECT doc_id, text, '{k}' AS kind, regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}') AS ms, regexp_split_to_array(text, '{p.replace(chr(39), chr(39) * 2)}') AS gaps FROM articles" for k, (p, _) in C.ENTITIES.items()) + """), p AS (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM m),
+q AS (SELECT *, coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0) + CASE WHEN i > 1 THEN list_sum(list_transform(ms[1:i - 1], lambda x: length(x))) ELSE 0 END AS s FROM p)
+SELECT doc_id, kind, CASE WHEN kind IN ('md5', 'sha1', 'sha256') THEN lower(ms[i]) WHEN kind = 'cve' THEN upper(ms[i]) ELSE ms[i] END AS value, s::INT AS char_start, (s + length(ms[i]))::INT AS char_end, text[greatest(s - 20, 0)::BIGINT + 1:(s + length(ms[i]) + 20)::BIGINT] AS context FROM q"""
+
+
+@query(ART + SPANS)
+def entity_spans(spark, d):
+    return C.entity_spans(frame(spark, d, "articles"), "text").select("doc_id", "kind", "value", "char_start", "char_end", "context")
+
+
 P_SQL = r"""WITH b AS (SELECT page_id, regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1) AS inn, html FROM pages),
 p AS (SELECT page_id, inn <> '' AS t, list_filter(list_transform(regexp_extract_all(CASE WHEN inn <> '' THEN inn ELSE html END, '(?is)<p[^>]*>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g'))), lambda x: length(x) > 0) AS ps FROM b),
 w AS (SELECT *, array_to_string(ps, chr(10) || chr(10)) AS text, len(regexp_extract_all(array_to_string(ps, chr(10) || chr(10)), '\S+')) AS words FROM p)
@@ -127,6 +137,41 @@ def parse_pages(spark, d):
     return C.parse_pages(frame(spark, d, "pages"))
 
 
+# Pages of the table have few meta tags: some are put in front, in either order of attributes and either quotes.
+HEAD_ROWS = r"""SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g')), ''), trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>', 0), '<[^>]*>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g'))) AS title,
+CASE WHEN page_id % 3 <> 0 THEN 'about ' || page_id END AS description, CASE WHEN page_id % 2 = 0 THEN 'it''s ' || page_id END AS og_title, CASE WHEN page_id % 5 <> 0 THEN url END AS canonical_url, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS language, least(len(regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>')), 10)::INT AS n_headings, CASE WHEN page_id % 4 = 0 THEN 1 ELSE 0 END::INT AS n_images FROM pages"""
+
+
+@query(HEAD_ROWS)
+def page_metadata(spark, d):
+    i = F.col("page_id")
+    tag = lambda when, *parts: F.when(when, F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])).otherwise("")
+    head = F.concat(
+        tag(i % 3 != 0, '<meta name="description" content="about ', i, '">'), tag(i % 2 == 0, "<META content=\"it's ", i, "\" property='og:title'>"),
+        tag(i % 5 != 0, "<link href='", F.col("url"), "' rel=canonical>"), tag(i % 4 == 0, '<img alt="" src="/i.png"><img alt="no source">'), F.lit("<head>"))
+    pages = frame(spark, d, "pages").withColumn("html", F.replace("html", F.lit("<head>"), head))
+    return C.page_metadata(pages).select("page_id", "title", "description", "og_title", "canonical_url", "language", F.size("headings").alias("n_headings"), F.size("images").alias("n_images"))
+
+
+# The links of the table lead to the page's own host: each page gets one link of another kind at its end.
+LINKS = r"""WITH x AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://[^/?#]*') AS root, html || CASE page_id % 5 WHEN 0 THEN '<a href="https://other.example.org/x">far</a>' WHEN 1 THEN '<a class=c href="//other.example.org/y">near</a>' WHEN 2 THEN '<a href="z/w">deep <b>down</b></a>' WHEN 3 THEN '<a href="mailto:x@y">mail</a>' ELSE '<a href="#top">up</a>' END AS html FROM pages),
+a AS (SELECT page_id, url, root, unnest(l) AS tag, generate_subscripts(l, 1) - 1 AS position FROM (SELECT *, regexp_extract_all(html, '(?is)<a\s[^>]*>.*?</a>') AS l FROM x)),
+h AS (SELECT *, regexp_extract(regexp_extract(tag, '(?s)^<[^>]*>'), '(?i)\shref="([^"]*)"', 1) AS href FROM a)
+SELECT page_id, position::INT AS position, trim(regexp_replace(regexp_replace(tag, '<[^>]*>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS link_text,
+CASE WHEN href LIKE 'https:%' OR href LIKE 'http:%' OR href LIKE 'mailto:%' THEN href WHEN href LIKE '//%' THEN regexp_extract(url, '^[a-z]+:') || href WHEN href LIKE '/%' THEN root || href WHEN href LIKE '#%' THEN regexp_extract(url, '^[^#]*') || href
+  ELSE root || coalesce(nullif(regexp_extract(url[length(root) + 1:], '^/([^?#]*/)?'), ''), '/') || href END AS link_url,
+href LIKE '%other.example.org%' OR href LIKE 'mailto:%' OR (regexp_matches(href, '^https?://') AND regexp_extract(href, '^[a-z]+://[^/?#]*') <> root) AS is_external
+FROM h WHERE href <> ''"""
+
+
+@query(LINKS)
+def page_links(spark, d):
+    i = F.col("page_id") % 5
+    tail = F.when(i == 0, '<a href="https://other.example.org/x">far</a>').when(i == 1, '<a class=c href="//other.example.org/y">near</a>').when(i == 2, '<a href="z/w">deep <b>down</b></a>').when(i == 3, '<a href="mailto:x@y">mail</a>').otherwise('<a href="#top">up</a>')
+    pages = frame(spark, d, "pages").withColumn("html", F.concat("html", tail))
+    return C.page_links(pages).select("page_id", "position", "link_text", "link_url", "is_external")
+
+
 # Sections that SQL can derive as well: the lines of a document, of which short ones are headlines.
 SECTIONS = "WITH l AS (SELECT doc_id AS page_id, unnest(string_split(text, chr(10))) AS content, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS position FROM documents), s AS (SELECT *, CASE WHEN length(content) < 80 THEN 'headline' WHEN length(content) < 120 THEN 'quote' WHEN length(content) < 160 THEN 'list' ELSE 'paragraph' END AS kind FROM l) "
 
