@@ -327,10 +327,26 @@ def page_outline(sections: DataFrame, key: str = "page_id") -> DataFrame:
 
 
 def page_stats(sections: DataFrame, key: str = "page_id") -> DataFrame:
-    """Sections and words by page, shares of kinds, and the content density."""
+    """Sections and words by page, counts of kinds, the content density, and ``points`` with their ``band``.
+
+    Points: 30 for a headline, 10 for each kind, 20 for more than 100 words and 20 more for
+    more than 500, 20 for a list or quote.
+    """
     k = F.col("kind")
-    out = sections.groupBy(key).agg(F.count(F.lit(1)).alias("sections"), F.sum(word_count(F.col("content"))).alias("words"), *[F.count_if(k == x).alias(f"n_{x}") for x in ("headline", "paragraph", "list", "quote")])
-    return out.withColumn("density", (0.3 * F.col("n_headline") + 0.4 * F.col("n_paragraph") + 0.2 * F.col("n_list") + 0.1 * F.col("n_quote")) / F.col("sections"))
+    kinds = ("headline", "paragraph", "list", "quote")
+    out = sections.groupBy(key).agg(F.count(F.lit(1)).alias("sections"), F.sum(word_count(F.col("content"))).alias("words"), *[F.count_if(k == x).alias(f"n_{x}") for x in kinds], F.size(F.collect_set("kind")).alias("_kinds"))
+    out = out.withColumn("density", (0.3 * F.col("n_headline") + 0.4 * F.col("n_paragraph") + 0.2 * F.col("n_list") + 0.1 * F.col("n_quote")) / F.col("sections"))
+    give = lambda holds, n: F.when(holds, n).otherwise(0)
+    points = give(F.col("n_headline") > 0, 30) + 10 * F.col("_kinds") + give(F.col("words") > 100, 20) + give(F.col("words") > 500, 20) + give(F.col("n_list") + F.col("n_quote") > 0, 20)
+    out = out.withColumn("points", points).drop("_kinds")
+    p = F.col("points")
+    return out.withColumn("band", F.when(p >= 80, "excellent").when(p >= 60, "good").when(p >= 40, "fair").otherwise("poor"))
+
+
+def page_topics(sections: DataFrame, most: int = 10, key: str = "page_id") -> DataFrame:
+    """The headlines of each page in lower case, each once, the first ones in page order: ``topic, rank``."""
+    heads = sections.filter(F.col("kind") == "headline").groupBy(key, F.lower("content").alias("topic")).agg(F.min("position").alias("_at"))
+    return heads.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("_at"))).filter(F.col("rank") <= most).drop("_at")
 
 
 def section_context(sections: DataFrame, n: int = 2, key: str = "page_id") -> DataFrame:

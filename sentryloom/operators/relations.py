@@ -221,11 +221,28 @@ def cache_evict(scored: DataFrame, most: int, key: str) -> DataFrame:
     return scored.orderBy(F.desc("score"), key).limit(most)
 
 
-def content_gaps(mentions: DataFrame, actors: DataFrame, threshold: int, k: int) -> DataFrame:
-    """Actors whose indicators are mentioned least: indicators below the threshold, their mean mentions, and score 1 - mean / threshold; the first k."""
+def content_gaps(mentions: DataFrame, actors: DataFrame, threshold: int, k: int, uses: DataFrame | None = None) -> DataFrame:
+    """Actors whose indicators are mentioned least: indicators below the threshold, their mean mentions, and score 1 - mean / threshold; the first k.
+
+    ``missing`` is the threshold less the whole part of the mean.  ``search_terms`` are the
+    actor, its first 5 ``malware`` of ``uses`` (rows ``actor, malware``) and 3 indicators by
+    name, each once.  Only the k actors gather terms.
+    """
     counted = actors.join(mentions.groupBy("indicator").agg(F.count(F.lit(1)).alias("n")), "indicator", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    thin = counted.filter(F.col("n") < threshold).groupBy("actor").agg(F.count(F.lit(1)).alias("indicators"), F.avg("n").alias("mean_mentions"))
-    return thin.withColumn("score", 1 - F.col("mean_mentions") / threshold).orderBy("mean_mentions", "actor").limit(k)
+    thin = counted.filter(F.col("n") < threshold)
+    means = thin.groupBy("actor").agg(F.count(F.lit(1)).alias("indicators"), F.avg("n").alias("mean_mentions"))
+    gaps = means.orderBy("mean_mentions", "actor").limit(k).withColumns({"score": 1 - F.col("mean_mentions") / threshold, "missing": threshold - F.floor("mean_mentions").cast("int")})
+
+    def terms(rows: DataFrame, name: str, most: int) -> DataFrame:
+        rows = rows.select("actor", F.col(name).cast("string").alias("_t")).filter("_t IS NOT NULL").join(F.broadcast(gaps.select("actor")), "actor", "left_semi").distinct()
+        first = rows.withColumn("_r", F.row_number().over(Window.partitionBy("actor").orderBy("_t"))).filter(F.col("_r") <= most)
+        return first.groupBy("actor").agg(F.array_sort(F.collect_list("_t")).alias(f"_{name}"))
+
+    none = F.array().cast("array<string>")
+    out = gaps.join(terms(thin, "indicator", 3), "actor", "left")
+    out = out.withColumn("_malware", none) if uses is None else out.join(terms(uses, "malware", 5), "actor", "left")
+    words = F.concat(F.array(F.col("actor").cast("string")), F.coalesce("_malware", none), F.coalesce("_indicator", none))
+    return out.withColumn("search_terms", F.array_distinct(words)).drop("_malware", "_indicator")
 
 
 def route(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

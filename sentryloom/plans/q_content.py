@@ -187,9 +187,19 @@ def page_outline(spark, d):
     return C.page_outline(_sections(spark, d)).select("page_id", "position", "under")
 
 
-@query(SECTIONS + "SELECT page_id, count(*) AS sections, sum(len(regexp_extract_all(content, '\\S+')))::BIGINT AS words, round((0.3 * count(*) FILTER (kind = 'headline') + 0.4 * count(*) FILTER (kind = 'paragraph') + 0.2 * count(*) FILTER (kind = 'list') + 0.1 * count(*) FILTER (kind = 'quote')) / count(*), 6) AS density FROM s GROUP BY 1")
+STATS = """, t AS (SELECT page_id, count(*) AS sections, sum(len(regexp_extract_all(content, '\\S+')))::BIGINT AS words, count(*) FILTER (kind = 'headline') AS nh, count(*) FILTER (kind = 'paragraph') AS np, count(*) FILTER (kind = 'list') AS nl, count(*) FILTER (kind = 'quote') AS nq FROM s GROUP BY 1),
+u AS (SELECT *, ((nh > 0)::INT * 40 + (np > 0)::INT * 10 + (nl > 0)::INT * 10 + (nq > 0)::INT * 10 + (words > 100)::INT * 20 + (words > 500)::INT * 20 + (nl + nq > 0)::INT * 20)::INT AS points FROM t)
+SELECT page_id, sections, words, round((0.3 * nh + 0.4 * np + 0.2 * nl + 0.1 * nq) / sections, 6) AS density, points, CASE WHEN points >= 80 THEN 'excellent' WHEN points >= 60 THEN 'good' WHEN points >= 40 THEN 'fair' ELSE 'poor' END AS band FROM u"""
+
+
+@query(SECTIONS + STATS)
 def page_stats(spark, d):
-    return r(C.page_stats(_sections(spark, d)).select("page_id", "sections", "words", "density"), "density")
+    return r(C.page_stats(_sections(spark, d)).select("page_id", "sections", "words", "density", "points", "band"), "density")
+
+
+@query(SECTIONS + ", h AS (SELECT page_id, lower(content) AS topic, min(position) AS p FROM s WHERE kind = 'headline' GROUP BY 1, 2) SELECT page_id, topic, row_number() OVER (PARTITION BY page_id ORDER BY p)::INT AS rank FROM h QUALIFY rank <= 10")
+def page_topics(spark, d):
+    return C.page_topics(_sections(spark, d)).select("page_id", "topic", "rank")
 
 
 @query(SECTIONS + "SELECT page_id, position::INT AS position, coalesce(array_to_string(list(content) OVER (PARTITION BY page_id ORDER BY position ROWS BETWEEN 2 PRECEDING AND 1 PRECEDING), '|'), '') AS before, coalesce(array_to_string(list(content) OVER (PARTITION BY page_id ORDER BY position ROWS BETWEEN 1 FOLLOWING AND 2 FOLLOWING), '|'), '') AS after FROM s")
