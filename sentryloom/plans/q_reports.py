@@ -403,13 +403,13 @@ def expire_rows(spark, d):
 
 @query("""WITH a AS (SELECT DISTINCT l_suppkey AS actor, l_partkey AS indicator FROM lineitem), n AS (SELECT l_partkey AS indicator, count(*) AS n FROM lineitem GROUP BY 1), c AS (SELECT actor, indicator, coalesce(n, 0) AS n FROM a LEFT JOIN n USING (indicator) WHERE coalesce(n, 0) < 30),
 m AS (SELECT actor, list_sort(list(DISTINCT indicator::VARCHAR))[1:3] AS i, count(*) AS indicators, avg(n) AS mean FROM c GROUP BY 1), u AS (SELECT l_suppkey AS actor, list_sort(list(DISTINCT l_orderkey::VARCHAR))[1:5] AS w FROM lineitem WHERE l_quantity > 45 GROUP BY 1)
-SELECT actor, indicators, round(mean, 6) AS mean_mentions, round(1 - mean / 30, 6) AS score, (30 - floor(mean))::INT AS missing, array_to_string(list_concat([actor::VARCHAR], coalesce(w, []), i), '|') AS search_terms FROM m LEFT JOIN u USING (actor) ORDER BY mean, actor LIMIT 10""")
+SELECT actor, indicators, round(mean, 6) AS mean_mentions, round(1 - mean / 30, 6) AS score, (30 - floor(mean))::INT AS missing, array_to_string(list_sort(list_distinct(list_concat([actor::VARCHAR], coalesce(w, []), i))), '|') AS search_terms FROM m LEFT JOIN u USING (actor) ORDER BY mean, actor LIMIT 10""")
 def content_gaps(spark, d):
     li = frame(spark, d, "lineitem")
     mentions = li.select(F.col("l_partkey").alias("indicator"))
     uses = li.filter("l_quantity > 45").select(F.col("l_suppkey").alias("actor"), F.col("l_orderkey").alias("malware"))
     out = R.content_gaps(mentions, li.select(F.col("l_suppkey").alias("actor"), F.col("l_partkey").alias("indicator")).distinct(), 30, 10, uses)
-    return r6(out.withColumn("search_terms", F.array_join("search_terms", "|")), "mean_mentions", "score")
+    return r6(out.withColumn("search_terms", F.array_join(F.array_sort("search_terms"), "|")), "mean_mentions", "score")
 
 
 @query("SELECT topic, count(*) AS n FROM (SELECT unnest(list_filter([CASE WHEN event_type = 'error' THEN 'errors' END, CASE WHEN value > 250 THEN 'slow' END, CASE WHEN user_id % 2 = 0 THEN 'even' END], lambda x: x IS NOT NULL)) AS topic FROM events) GROUP BY 1")
