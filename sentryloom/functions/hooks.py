@@ -63,6 +63,30 @@ def fallback_chain(df: DataFrame, *steps: tuple[str, Column]) -> DataFrame:
     return df.withColumns({"answer": answer, "answered_by": source})
 
 
+def fallback_calls(df: DataFrame, *steps: tuple[str, Callable[[pd.DataFrame], pd.Series]]) -> DataFrame:
+    """The same for providers in Python (answers as text): each is asked only for the rows that have no answer yet.
+
+    A provider that raises has no answer for that batch, and the next one is asked.
+    """
+    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string("answer string, answered_by string").fields])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answer, source = (pd.Series([None] * len(batch), batch.index, object) for _ in range(2))
+            for name, ask in steps:
+                rows = batch[answer.isna()]
+                if not len(rows):
+                    break
+                try:
+                    got = ask(rows).dropna()
+                except Exception:  # noqa: BLE001, S112  the next provider is asked
+                    continue
+                answer[got.index], source[got.index] = got.astype(object), name
+            yield batch.assign(answer=answer, answered_by=source)
+
+    return df.mapInPandas(run, schema)
+
+
 def register_entities(spark: SparkSession, name: str = "explode_entities") -> None:
     """A table function for SQL: ``SELECT ... FROM t, LATERAL explode_entities(t.text)`` gives kind, value, start and stop."""
     import re

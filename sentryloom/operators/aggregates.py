@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import micros
+
 # Bucket bounds of the latency and confidence histograms.
 LATENCY_BUCKETS = (0.001, 0.005, 0.01, 0.05, 0.1, 0.5, 1.0, 5.0, 10.0)
 CONFIDENCE_BUCKETS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -99,12 +101,16 @@ def assess_change(changes: DataFrame) -> DataFrame:
     return out.withColumn("overall", F.when(F.col("critical") > 0, "critical").when(F.col("regressions") > 0, "regressed").when(F.col("improvements") > 0, "improved").otherwise("stable"))
 
 
-def link_stats(health: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Links by status and health band, and those with failures in the last day; optionally by a key such as the domain."""
+def link_stats(health: DataFrame, by: Sequence[str] = (), now: Column | None = None, ts: str = "ts") -> DataFrame:
+    """Links by status and health band, and those with failures in the last day; optionally by a key such as the domain.
+
+    With ``now`` also ``retry_due``: quarantined and dead links whose next check is due.
+    """
     h, s = F.col("health"), F.col("status")
+    due = [] if now is None else [F.count_if(s.isin("quarantined", "dead") & (micros(ts) + F.col("next_check_hours") * 3_600_000_000 <= F.unix_micros(now))).alias("retry_due")]
     return health.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"), *[F.count_if(s == x).alias(x) for x in ("healthy", "suspicious", "quarantined", "dead")],
-        F.count_if(h >= 0.8).alias("band_good"), F.count_if((h >= 0.5) & (h < 0.8)).alias("band_fair"), F.count_if((h >= 0.2) & (h < 0.5)).alias("band_poor"), F.count_if(h < 0.2).alias("band_bad"), F.count_if(F.col("failures") > 0).alias("failing"))
+        F.count_if(h >= 0.8).alias("band_good"), F.count_if((h >= 0.5) & (h < 0.8)).alias("band_fair"), F.count_if((h >= 0.2) & (h < 0.5)).alias("band_poor"), F.count_if(h < 0.2).alias("band_bad"), F.count_if(F.col("failures") > 0).alias("failing"), *due)
 
 
 def link_health_trend(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id") -> DataFrame:
@@ -115,8 +121,11 @@ def link_health_trend(probes: DataFrame, key: str = "url", ts: str = "ts", order
     return out.withColumn("net", F.col("recoveries") - F.col("failures"))
 
 
-def link_report(stats: DataFrame) -> DataFrame:
-    """Stats with the share of usable links, the system's health and a recommendation."""
+def link_report(stats: DataFrame, trend: DataFrame | None = None) -> DataFrame:
+    """One row of stats with the share of usable links, the system's health and a recommendation, and the sums of a trend's days."""
+    if trend is not None:
+        sums = trend.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("failures", "recoveries", "net")], F.count(F.lit(1)).alias("days"))
+        stats = stats.join(F.broadcast(sums))
     usable = _share(F.col("healthy") + F.col("suspicious"), F.col("total"))
     return stats.withColumn("usable", usable).withColumn("system", F.when(usable >= 0.9, "good").when(usable >= 0.7, "degraded").otherwise("poor")).withColumn("advice", F.when(F.col("dead") > 0, "remove dead links").when(F.col("quarantined") > 0, "recheck quarantined links").otherwise("none"))
 
@@ -140,11 +149,19 @@ def content_mix(df: DataFrame, kind: str, confidence: Column) -> DataFrame:
     return df.groupBy(kind, (F.floor(confidence * 10) / 10).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def queue_stats(frontier: DataFrame, capacity: int) -> DataFrame:
-    """Tasks by status, the share of the capacity that open tasks use, and the mean priority of pending ones."""
+def queue_stats(frontier: DataFrame, capacity: int, started: str | None = None, finished: str | None = None) -> DataFrame:
+    """Tasks by status, the share of the capacity that open tasks use, and the mean priority of pending ones.
+
+    With the times that tasks started and finished also ``mean_seconds`` of completed tasks and
+    their ``throughput`` a minute, from the first start to the last end (null without any).
+    """
     s = F.col("status")
+    times = []
+    if started and finished:
+        a, b = (F.when(s == "completed", micros(c)) for c in (started, finished))
+        times = [(F.sum(b - a) / F.count(b - a) / 1e6).alias("mean_seconds"), (F.count(b) * 6e7 / F.nullif(F.max(b) - F.min(a), F.lit(0))).alias("throughput")]
     names = ("pending", "in_progress", "completed", "failed")
-    return frontier.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(s == x).alias(x) for x in names], (F.count_if(s.isin("pending", "in_progress")) / capacity).alias("used"), F.avg(F.when(s == "pending", F.col("priority"))).alias("pending_priority"))
+    return frontier.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(s == x).alias(x) for x in names], (F.count_if(s.isin("pending", "in_progress")) / capacity).alias("used"), F.avg(F.when(s == "pending", F.col("priority"))).alias("pending_priority"), *times)
 
 
 def crawl_metrics(decisions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -165,6 +182,25 @@ def trace_summary(spans: DataFrame, ts: str, operation: str, failed: Column, lat
     return out.withColumn("breach", F.col("errors") / F.col("calls") > 0.2)
 
 
+def trace_totals(spans: DataFrame, operation: str, failed: Column, latency: str, cost: Column) -> DataFrame:
+    """One row: calls, operations, errors and their rate, mean latency (in whole thousandths, as above) and cost (in whole millionths)."""
+    n = F.count(F.lit(1))
+    out = spans.groupBy(operation).agg(n.alias("calls"), F.count_if(failed).alias("errors"), F.sum(F.round(F.col(latency) * 1000).cast("long")).alias("_s"), F.count(latency).alias("_n"), F.sum(F.round(cost * 1_000_000).cast("long")).alias("_c"))
+    out = out.agg(n.alias("operations"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("calls", "errors", "_s", "_n", "_c")])
+    return out.select("operations", "calls", "errors", _share(F.col("errors"), F.col("calls")).alias("error_rate"), (F.expr("(20 * _s + _n) div nullif(2 * _n, 0)") / 10_000.0).alias("mean_latency"), (F.col("_c") / 1_000_000).alias("cost"))
+
+
+def top_operations(spans: DataFrame, operation: str, failed: Column, k: int) -> DataFrame:
+    """The k operations with most calls (ties: the smaller name)."""
+    return spans.groupBy(operation).agg(F.count(F.lit(1)).alias("calls"), F.count_if(failed).alias("errors")).orderBy(F.desc("calls"), operation).limit(k)
+
+
+def route_stats(routed: DataFrame, failed: Column) -> DataFrame:
+    """Rows by route and content type, their share of all, and the share of failed ones among them."""
+    out = routed.groupBy("route", "content_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(failed).alias("_f"))
+    return out.withColumns({"share": F.col("n") / F.sum("n").over(Window.partitionBy()), "error_rate": F.col("_f") / F.col("n")}).drop("_f")
+
+
 def error_summary(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
@@ -175,8 +211,15 @@ def cache_distribution(scored: DataFrame, levels: DataFrame, capacity: int) -> D
     return levels.join(counts, "level", "left").withColumn("n", F.coalesce("n", F.lit(0))).withColumn("share", F.col("n") / capacity)
 
 
-def crawl_stats(results: DataFrame, query: str, source: str) -> DataFrame:
-    return results.groupBy(query).agg(F.count(F.lit(1)).alias("results"), F.count_distinct(source).alias("sources"))
+def crawl_stats(results: DataFrame, query: str, source: str, extracted: Column) -> DataFrame:
+    """Results of each query, their distinct sources, and how many gave content."""
+    return results.groupBy(query).agg(F.count(F.lit(1)).alias("results"), F.count_distinct(source).alias("sources"), F.count_if(extracted).alias("extracted"))
+
+
+def crawl_totals(results: DataFrame, query: str, source: str, extracted: Column) -> DataFrame:
+    """One row over all queries; each pair of query and source is counted once before they meet."""
+    pairs = results.groupBy(query, source).agg(F.count_if(extracted).alias("_x"))
+    return pairs.agg(F.count_distinct(query).alias("queries"), F.count_distinct(source).alias("sources"), F.coalesce(F.sum("_x"), F.lit(0)).alias("extracted"))
 
 
 def validation_rate(df: DataFrame, kind: str, valid: Column) -> DataFrame:

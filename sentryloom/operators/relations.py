@@ -31,12 +31,23 @@ def content_exists(urls: DataFrame, nodes: DataFrame, url: str = "url") -> DataF
     return urls.join(known, url, "left_semi")
 
 
-def should_crawl(urls: DataFrame, seen: DataFrame, cached: DataFrame, graph: DataFrame, key: str = "url") -> DataFrame:
-    """Adds ``reason`` (dedupe, cache, then graph hit) and ``should_crawl``."""
-    mark = lambda df, name: df.select(key).distinct().withColumn(name, F.lit(True))
-    out = urls.join(mark(seen, "_s"), key, "left").join(mark(cached, "_c"), key, "left").join(mark(graph, "_g"), key, "left")
-    out = out.withColumn("reason", F.when(F.col("_s"), "dedupe_hit").when(F.col("_c"), "cache_hit").when(F.col("_g"), "graph_hit").otherwise("no_checks_failed"))
-    return out.withColumn("should_crawl", F.col("reason") == "no_checks_failed").drop("_s", "_c", "_g")
+def should_crawl(urls: DataFrame, seen: DataFrame, cached: DataFrame, graph: DataFrame, key: str = "url", maybe: str | None = None, priority: Column | None = None) -> DataFrame:
+    """Adds ``reason`` (dedupe, cache, then graph hit), a flag for each hit, ``should_crawl`` and ``priority``.
+
+    ``maybe`` names a column with the answer of a Bloom filter over all three tables: rows that
+    miss it are new and skip the lookups.  ``priority`` holds for URLs to crawl; others, and
+    all without it, have 0.5.
+    """
+    reasons = {"_s": "dedupe_hit", "_c": "cache_hit", "_g": "graph_hit"}
+    out = urls if maybe is None else urls.filter(F.col(maybe))
+    for name, known in zip(reasons, (seen, cached, graph), strict=True):
+        out = out.join(known.select(key).distinct().withColumn(name, F.lit(True)), key, "left")
+    if maybe is not None:
+        out = out.unionByName(urls.filter(~F.coalesce(F.col(maybe), F.lit(False))), allowMissingColumns=True)
+    out = out.withColumn("reason", F.coalesce(*[F.when(F.col(c), r) for c, r in reasons.items()], F.lit("no_checks_failed"))).drop(*reasons)
+    crawl = F.col("reason") == "no_checks_failed"
+    points = F.lit(0.5) if priority is None else F.when(crawl, priority).otherwise(0.5)
+    return out.withColumns({**{r: F.col("reason") == r for r in reasons.values()}, "should_crawl": crawl, "priority": points})
 
 
 def crawl_priority(url: Column, recent: Column, mentions: Column, graph_priority: Column) -> Column:

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import aggregates as A
 from ..operators import content as C
 from ..operators import graph as G
 from ..operators import similarity as S
@@ -80,12 +81,9 @@ def analyze_content(spark, d):
     return C.analyze_content(frame(spark, d, "articles"), "text").select("doc_id", "confidence", "content_type", "depth")
 
 
-@query(ANALYSE + f" SELECT route, content_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM (SELECT content_type, {ROUTE} AS route FROM k) GROUP BY 1, 2")
+@query(ANALYSE + f" SELECT route, content_type, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share, round(count(*) FILTER (lang IS NULL) / count(*), 6) AS error_rate FROM (SELECT content_type, lang, {ROUTE} AS route FROM k) GROUP BY 1, 2")
 def route_enrichment(spark, d):
-    from pyspark.sql import Window
-
-    out = C.analyze_content(frame(spark, d, "articles"), "text").groupBy("route", "content_type").agg(F.count(F.lit(1)).alias("n"))
-    return r(out.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy())), "share")
+    return r(A.route_stats(C.analyze_content(frame(spark, d, "articles"), "text"), F.col("lang").isNull()), "share", "error_rate")
 
 
 @query(ART + SCORES + ", e AS (" + " UNION ALL ".join(f"SELECT doc_id, '{c}' AS category, {c} AS score FROM sc" for c in C.SECURITY) + ") SELECT doc_id, category, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, category)::INT AS rank FROM e WHERE score > 0 QUALIFY rank <= 3")

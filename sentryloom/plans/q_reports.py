@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import relations as R
+from ..operators import similarity as S
 from ..operators import windows as W
 from ..sources.stand_ins import frame, sql_with
 from .q_scalar import IND, VALID
@@ -109,15 +110,16 @@ def assess_change(spark, d):
 
 LAST = RECURSE(RUN + RECENT + HEALTH + STATUS + ", z AS (SELECT *, hx / 100.0 AS health FROM s QUALIFY row_number() OVER (PARTITION BY url ORDER BY k DESC) = 1)")
 STATS = "count(*) AS total, count(*) FILTER (status = 'healthy') AS healthy, count(*) FILTER (status = 'suspicious') AS suspicious, count(*) FILTER (status = 'quarantined') AS quarantined, count(*) FILTER (status = 'dead') AS dead, count(*) FILTER (health >= 0.8) AS band_good, count(*) FILTER (health >= 0.5 AND health < 0.8) AS band_fair, count(*) FILTER (health >= 0.2 AND health < 0.5) AS band_poor, count(*) FILTER (health < 0.2) AS band_bad, count(*) FILTER (failures > 0) AS failing"
+DUE = ", count(*) FILTER (status IN ('quarantined', 'dead') AND TIMESTAMP '2024-02-01' >= ts + CASE status WHEN 'quarantined' THEN INTERVAL 168 HOUR ELSE INTERVAL 720 HOUR END) AS retry_due"
 
 
 def _health(spark, d):
     return R.dedupe_first(W.link_status(frame(spark, d, "probes")), ["url"], F.desc("ts"), F.desc("event_id"))
 
 
-@query(LAST + f" SELECT {STATS} FROM z")
+@query(LAST + f" SELECT {STATS}{DUE} FROM z")
 def link_stats(spark, d):
-    return A.link_stats(_health(spark, d))
+    return A.link_stats(_health(spark, d), now=now())
 
 
 @query(LAST + f" SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS domain, {STATS} FROM z GROUP BY 1")
@@ -125,9 +127,9 @@ def link_domain_stats(spark, d):
     return A.link_stats(_health(spark, d).withColumn("domain", X.url_domain(F.col("url"))), ["domain"])
 
 
-@query(LAST + f", a AS (SELECT {STATS} FROM z), u AS (SELECT *, CASE WHEN total > 0 THEN (healthy + suspicious) / total ELSE 0 END AS usable FROM a) SELECT total, round(usable::DOUBLE, 6) AS usable, CASE WHEN usable >= 0.9 THEN 'good' WHEN usable >= 0.7 THEN 'degraded' ELSE 'poor' END AS system, CASE WHEN dead > 0 THEN 'remove dead links' WHEN quarantined > 0 THEN 'recheck quarantined links' ELSE 'none' END AS advice FROM u")
+@query(LAST + f", lg AS (SELECT *, lag(success) OVER (PARTITION BY url ORDER BY ts, event_id) AS before FROM probes), tr AS (SELECT count(*) FILTER (NOT success) AS failures, count(*) FILTER (success AND NOT coalesce(before, true)) AS recoveries, count(DISTINCT ts::DATE) AS days FROM lg), a AS (SELECT {STATS} FROM z), u AS (SELECT *, CASE WHEN total > 0 THEN (healthy + suspicious) / total ELSE 0 END AS usable FROM a) SELECT total, round(usable::DOUBLE, 6) AS usable, CASE WHEN usable >= 0.9 THEN 'good' WHEN usable >= 0.7 THEN 'degraded' ELSE 'poor' END AS system, CASE WHEN dead > 0 THEN 'remove dead links' WHEN quarantined > 0 THEN 'recheck quarantined links' ELSE 'none' END AS advice, failures, recoveries, failures_net AS net, days FROM u, (SELECT *, recoveries - failures AS failures_net FROM tr)")
 def link_report(spark, d):
-    return r6(A.link_report(A.link_stats(_health(spark, d))).select("total", "usable", "system", "advice"), "usable")
+    return r6(A.link_report(A.link_stats(_health(spark, d)), A.link_health_trend(frame(spark, d, "probes"))).select("total", "usable", "system", "advice", "failures", "recoveries", "net", "days"), "usable")
 
 
 @query(sql_with("probes") + ", b AS (SELECT *, lag(success) OVER (PARTITION BY url ORDER BY ts, event_id) AS before FROM probes) SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (NOT success) AS failures, count(*) FILTER (success AND NOT coalesce(before, true)) AS recoveries, count(*) FILTER (success AND NOT coalesce(before, true)) - count(*) FILTER (NOT success) AS net FROM b GROUP BY 1")
@@ -173,9 +175,10 @@ def content_mix(spark, d):
     return r6(A.content_mix(frame(spark, d, "events"), "event_type", F.col("value") / 500), "bucket")
 
 
-@query(sql_with("frontier") + "SELECT count(*) AS total, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'in_progress') AS in_progress, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed, round(count(*) FILTER (status IN ('pending', 'in_progress')) / 100000, 6) AS used, round(avg(priority) FILTER (status = 'pending'), 4) AS pending_priority FROM frontier")
+@query(sql_with("frontier") + "SELECT count(*) AS total, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'in_progress') AS in_progress, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed, round(count(*) FILTER (status IN ('pending', 'in_progress')) / 100000, 6) AS used, round(avg(priority) FILTER (status = 'pending'), 4) AS pending_priority, round(sum(500000 * timeout_seconds) FILTER (status = 'completed') / count(*) FILTER (status = 'completed') / 1e6, 4) AS mean_seconds, round(count(*) FILTER (status = 'completed') * 6e7 / (max(epoch_us(created_at) + 500000 * timeout_seconds) FILTER (status = 'completed') - min(epoch_us(created_at)) FILTER (status = 'completed')), 6) AS throughput FROM frontier")
 def queue_stats(spark, d):
-    return r6(r6(A.queue_stats(frame(spark, d, "frontier"), 100_000), "used"), "pending_priority", digits=4)
+    rows = frame(spark, d, "frontier").withColumn("done_at", F.timestamp_micros(F.unix_micros("created_at") + 500_000 * F.col("timeout_seconds")))
+    return r6(r6(A.queue_stats(rows, 100_000, "created_at", "done_at"), "used", "throughput"), "pending_priority", "mean_seconds", digits=4)
 
 
 @query("SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H') AS hour, user_id % 3 AS operation, count(*) AS calls, count(*) FILTER (event_type = 'error') AS errors, ((20 * sum(round(value * 1000)::BIGINT) + count(value)) // (2 * count(value)))::BIGINT / 10000.0::DOUBLE AS mean_latency, count(*) FILTER (event_type = 'error') / count(*) > 0.2 AS breach FROM events GROUP BY 1, 2")
@@ -183,6 +186,16 @@ def trace_summary(spark, d):
     return A.trace_summary(frame(spark, d, "events").withColumn("operation", F.col("user_id") % 3), "ts", "operation", F.col("event_type") == "error", "value")
 
 
+@query("SELECT count(DISTINCT user_id) AS operations, count(*) AS calls, count(*) FILTER (event_type = 'error') AS errors, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS error_rate, ((20 * sum(round(value * 1000)::BIGINT) + count(value)) // (2 * count(value)))::BIGINT / 10000.0::DOUBLE AS mean_latency, round(sum(round(value / 100 * 1000000)::BIGINT)::DOUBLE / 1000000, 4) AS cost FROM events")
+def trace_totals(spark, d):
+    return r6(r6(A.trace_totals(frame(spark, d, "events"), "user_id", F.col("event_type") == "error", "value", F.col("value") / 100), "error_rate"), "cost", digits=4)
+
+
+@query("SELECT user_id, count(*) AS calls, count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1 ORDER BY calls DESC, user_id LIMIT 10")
+def top_operations(spark, d):
+    return A.top_operations(frame(spark, d, "events"), "user_id", F.col("event_type") == "error", 10)
+
+
 @query("SELECT user_id % 5 AS agent, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def error_summary(spark, d):
     return A.error_summary(frame(spark, d, "events").withColumn("agent", F.col("user_id") % 5), ["agent", "event_type"])
@@ -194,9 +207,14 @@ def validation_rate(spark, d):
     return r6(A.validation_rate(k, "kind", X.is_valid_indicator(F.col("value"), F.col("kind"))), "rate")
 
 
-@query("SELECT source, count(*) AS results, count(DISTINCT lang) AS sources FROM documents GROUP BY 1")
+@query("SELECT source, count(*) AS results, count(DISTINCT lang) AS sources, count(*) FILTER (n_chars > 500) AS extracted FROM documents GROUP BY 1")
 def crawl_stats(spark, d):
-    return A.crawl_stats(frame(spark, d, "documents"), "source", "lang")
+    return A.crawl_stats(frame(spark, d, "documents"), "source", "lang", F.col("n_chars") > 500)
+
+
+@query("SELECT count(DISTINCT source) AS queries, count(DISTINCT lang) AS sources, count(*) FILTER (n_chars > 500) AS extracted FROM documents")
+def crawl_totals(spark, d):
+    return A.crawl_totals(frame(spark, d, "documents"), "source", "lang", F.col("n_chars") > 500)
 
 
 # Relations ------------------------------------------------------------------
@@ -223,13 +241,19 @@ CRAWL = "WITH p AS (SELECT page_id, regexp_replace(url, '[?].*', '') AS url FROM
 
 def _decisions(spark, d):
     p = frame(spark, d, "pages").select("page_id", F.regexp_replace("url", "[?].*", "").alias("url"))
-    some = lambda n: p.filter(F.col("page_id") % n == 0)
-    return R.should_crawl(p, some(5), some(3), some(7))
+    known = [p.filter(F.col("page_id") % n == 0).select("url") for n in (5, 3, 7)]
+    every = known[0].unionByName(known[1]).unionByName(known[2]).distinct()
+    m, k = S.bloom_size(max(every.count(), 1), 0.01)
+    asked = S.bloom_contains(p, S.bloom_build(every, "url", m, k), "url", "page_id", m, k)
+    return R.should_crawl(asked, *known, maybe="maybe", priority=R.crawl_priority(F.col("url"), F.lit(False), F.lit(0), F.lit(0.0)))
+
+
+POINTS = "CASE WHEN reason = 'no_checks_failed' THEN 0.5 + CASE WHEN regexp_matches(lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)), 'security|threat|cert|cisa|mitre|nist') THEN 0.2 ELSE 0 END + CASE WHEN regexp_matches(lower(url), 'vulnerability|cve|advisory|threat|malware|ioc') THEN 0.15 ELSE 0 END ELSE 0.5 END"
 
 
-@query(CRAWL + "SELECT page_id, reason, reason = 'no_checks_failed' AS should_crawl FROM r")
+@query(CRAWL + f"SELECT page_id, reason, reason = 'no_checks_failed' AS should_crawl, reason = 'dedupe_hit' AS dedupe_hit, reason = 'cache_hit' AS cache_hit, reason = 'graph_hit' AS graph_hit, round(({POINTS})::DOUBLE, 6) AS priority FROM r")
 def should_crawl(spark, d):
-    return _decisions(spark, d).select("page_id", "reason", "should_crawl")
+    return r6(_decisions(spark, d).select("page_id", "reason", "should_crawl", "dedupe_hit", "cache_hit", "graph_hit", "priority"), "priority")
 
 
 @query(CRAWL + "SELECT count(*) AS total, round(count(*) FILTER (reason = 'no_checks_failed') / greatest(count(*), 1), 6) AS crawl_rate, round(count(*) FILTER (reason = 'cache_hit') / greatest(count(*), 1), 6) AS cache_hit_rate, round(count(*) FILTER (reason = 'dedupe_hit') / greatest(count(*), 1), 6) AS dedupe_rate FROM r")
