@@ -11,10 +11,12 @@ from .decontamination import contained_items
 from .exact_dedup import exact_dedup, normalised
 from .katz import score_texts
 from .language_id import fold, identify_language
+from .min_slack import pack_min_slack
 from .mixing import mix_sources
 from .near_dedup import near_duplicates
 from .packing import pack_tokens
 from .sharding import shard_rows
+from .spelling import document_words, spelling_variants
 from .token_counts import count_tokens
 from .toxicity import score_toxicity
 
@@ -121,5 +123,42 @@ def op10_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_tokens(table(spark, sf_dir, "documents"), TOKENIZER, pad_id=50256)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op3_contained_items, op4_exact_dedup, op5_identify_language, op6_mix_sources, op7_score_toxicity, op8_katz_scores, op9_shard_documents, op10_pack_tokens)}
-ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op3_contained_items": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+def op11_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_min_slack(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(document_words(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE bytes AS (SELECT unnest(range(256)) AS b),
+steps AS (SELECT b, list_reduce(list_prepend(b::UBIGINT, range(8)::UBIGINT[]), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END) AS v FROM bytes),
+tab AS (SELECT list(v ORDER BY b) AS t FROM steps),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{7,}')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM runs GROUP BY 1, 2),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+    lambda c, b: xor(c >> 8, t[((xor(c, b) & 255) + 1)::BIGINT])), 4294967295::UBIGINT) AS h
+  FROM low, tab),
+words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:(h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2:] ELSE run END AS word, sum(n)::BIGINT AS n FROM hashed GROUP BY 1),
+v AS (SELECT word, n FROM words WHERE length(word) >= 7 AND n >= 2),
+cuts AS (SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS cut FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+half AS (
+  SELECT a.word AS word, a.n AS n, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT a.word, a.n, v.word, v.n FROM cuts a JOIN v ON a.cut = v.word),
+pairs AS (SELECT * FROM half UNION SELECT near, near_n, word, n FROM half),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS most, arg_min(near, (-near_n, near)) AS near FROM pairs GROUP BY 1),
+f AS (
+  SELECT v.word, CASE WHEN most >= 10 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 10 * n THEN most END AS form_n
+  FROM v LEFT JOIN best USING (word)),
+walk(word, root) AS (SELECT word, word FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, walk.root FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op3_contained_items, op4_exact_dedup, op5_identify_language, op6_mix_sources, op7_score_toxicity, op8_katz_scores, op9_shard_documents, op10_pack_tokens, op11_min_bin_slack, op12_spelling_variants)}
+ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op3_contained_items": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_spelling_variants": OP12_SQL}
