@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._spark import table
+from .collocations import collocations
 from .decontamination import contained_items
 from .exact_dedup import exact_dedup, normalised
 from .katz import score_texts
@@ -160,5 +161,33 @@ SELECT f.word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op3_contained_items, op4_exact_dedup, op5_identify_language, op6_mix_sources, op7_score_toxicity, op8_katz_scores, op9_shard_documents, op10_pack_tokens, op11_min_bin_slack, op12_spelling_variants)}
-ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op3_contained_items": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_spelling_variants": OP12_SQL}
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+OP13_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, k, phrase, count(*) AS n
+  FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)
+  GROUP BY 1, 2, 3),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM g WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, n AS a FROM g WHERE k > 1 AND n >= 100),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest(range(2, 5)) AS m) WHERE m < k))
+  GROUP BY 1, 2),
+kept AS (SELECT c.* FROM c LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a),
+cuts AS (SELECT lang, phrase, a, i, array_to_string(ws[1:i], ' ') AS x, array_to_string(ws[i + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS i FROM kept)),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, a, i, x.n AS l, y.n AS r, totals.n AS n, (1000::HUGEINT * a * totals.n // (x.n::HUGEINT * y.n))::BIGINT AS score
+  FROM cuts JOIN totals USING (lang) JOIN g x ON x.lang = cuts.lang AND x.phrase = cuts.x JOIN g y ON y.lang = cuts.lang AND y.phrase = cuts.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best QUALIFY rank <= 2000
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_near_duplicates, op2_count_tokens, op3_contained_items, op4_exact_dedup, op5_identify_language, op6_mix_sources, op7_score_toxicity, op8_katz_scores, op9_shard_documents, op10_pack_tokens, op11_min_bin_slack, op12_spelling_variants, op13_phrase_collocations)}
+ORACLE_SQL = {"op1_near_duplicates": OP1_SQL, "op3_contained_items": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op12_spelling_variants": OP12_SQL, "op13_phrase_collocations": OP13_SQL}
