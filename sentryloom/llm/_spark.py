@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..tables import shared_dir, small, written
 
-__all__ = ["BLANK", "WORD", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "shared_dir", "small", "table", "written"]
+__all__ = ["BLANK", "WORD", "append_columns", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "row_order", "shared_dir", "small", "table", "written"]
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -44,6 +46,29 @@ def named_apart(df: DataFrame, internal: Sequence[str], *columns: str) -> tuple[
     return df.withColumnsRenamed(new), lambda out: out.withColumnsRenamed({v: k for k, v in new.items()}), [lower.get(c.lower(), c) for c in columns]
 
 
+def append_columns(df: DataFrame, column: str, fields: list[T.StructField], start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
+    """All columns of ``df`` and the new ``fields``, computed from ``column`` in Arrow batches.
+
+    ``start`` is called once a task and gives a function from a batch of values to the new
+    arrays.  Other columns pass through as Arrow arrays, so no value of them can change.
+    """
+    at = [c.lower() for c in df.columns].index(column.lower())
+    names = [*df.columns, *[f.name for f in fields]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = start()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made(batch.column(at).to_pylist())], names=names)
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+
+
+def row_order(df: DataFrame, first: Sequence[str]) -> list[Column]:
+    """An order of rows in which only rows alike in every column tie: ``first``, a hash of the row, then all columns (maps and variants as JSON)."""
+    plain = [F.to_json(F.struct(F.col(c))) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in df.dtypes]
+    return [*map(F.col, first), F.xxhash64(*plain), *plain]
+
+
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, spread: Column) -> DataFrame:
     """Left join of rows with one row per group, where a few groups may hold most rows.
 
@@ -64,7 +89,7 @@ def n_buckets(total: int, rows: int = BUCKET_ROWS) -> int:
     return max(1, -(-total // rows))
 
 
-def prefix_sums(df: DataFrame, group: list[str], key: str, ties: list[str], amount: Column, buckets: int, out: str, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, group: list[str], key: str, ties: Sequence[str | Column], amount: Column, buckets: int, out: str, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """For each row the sum of ``amount`` over the rows before it in its group, by hash key.
 
     The hash keys of a group are cut into ``buckets`` equal ranges; the order is that of the

@@ -10,17 +10,18 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._spark import renamed_apart, small, written
+from ._spark import append_columns, renamed_apart, small, written
 from ._words import WordTable, lowered
 
+#: Words of a chain; one transition in so many is not used.
 CHAIN = 64
 HASH_BITS = 16
 #: Labelled rows that the model is fitted on, for each language: those with the smallest hash of their id.
@@ -76,8 +77,8 @@ def forward_backward(emission: np.ndarray, transition: np.ndarray, real: np.ndar
 
 
 class Model:
-    def __init__(self, languages: list[str], lexicon: dict[str, int], weights: np.ndarray, transition: np.ndarray) -> None:
-        self.languages, self.lexicon, self.weights, self.transition = languages, lexicon, weights, transition
+    def __init__(self, languages: list[str], lexicon: dict[str, int], weights: np.ndarray, transition: np.ndarray, chain: int = CHAIN) -> None:
+        self.languages, self.lexicon, self.weights, self.transition, self.chain = languages, lexicon, weights, transition, chain
 
     def emissions(self, words: list[str]) -> np.ndarray:
         """One row a word: log scores of the labels, then 1 if the word has a letter."""
@@ -96,27 +97,27 @@ class Model:
         means, letters = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), np.int64)
         for first, count, rows, bounds in table.described(texts):
             sizes = np.diff(bounds)
-            chains = -(-sizes // CHAIN)
+            chains = -(-sizes // self.chain)
             owner = np.repeat(np.arange(count), sizes)
             place = np.arange(len(rows)) - np.repeat(bounds[:-1], sizes)
-            chain = np.repeat(np.cumsum(chains) - chains, sizes) + place // CHAIN
-            grid = np.zeros((int(chains.sum()), CHAIN, len(self.languages)), np.float32)
+            chain = np.repeat(np.cumsum(chains) - chains, sizes) + place // self.chain
+            grid = np.zeros((int(chains.sum()), self.chain, len(self.languages)), np.float32)
             real = np.zeros(grid.shape[:2], bool)
-            grid[chain, place % CHAIN], real[chain, place % CHAIN] = rows[:, :-1], True
-            marginal = forward_backward(grid, self.transition, real)[0][chain, place % CHAIN] * rows[:, -1:]
+            grid[chain, place % self.chain], real[chain, place % self.chain] = rows[:, :-1], True
+            marginal = forward_backward(grid, self.transition, real)[0][chain, place % self.chain] * rows[:, -1:]
             for k in range(len(self.languages)):
                 means[first : first + count, k] = np.bincount(owner, marginal[:, k], count)
             letters[first : first + count] = np.bincount(owner, rows[:, -1], count)
         return means / np.maximum(letters, 1)[:, None], letters
 
 
-def _chains(samples: list[list[list[str]]], rng: np.random.Generator) -> tuple[list[list[str]], np.ndarray]:
+def _chains(samples: list[list[list[str]]], rng: np.random.Generator, chain: int = CHAIN) -> tuple[list[list[str]], np.ndarray]:
     """Training chains and labels: runs of words spliced from texts, a third of them across languages."""
     words, labels = [], []
     for k, texts in enumerate(samples):
         for text in texts:
-            for i in range(0, len(text), CHAIN):
-                run, names = text[i : i + CHAIN], [k] * len(text[i : i + CHAIN])
+            for i in range(0, len(text), chain):
+                run, names = text[i : i + chain], [k] * len(text[i : i + chain])
                 if rng.random() < 1 / 3 and len(samples) > 1:
                     other = int((k + rng.integers(1, len(samples))) % len(samples))
                     if samples[other]:
@@ -126,32 +127,25 @@ def _chains(samples: list[list[list[str]]], rng: np.random.Generator) -> tuple[l
                         run, names = run[:cut] + part, names[:cut] + [other] * len(part)
                 words.append(run)
                 labels.append(names)
-    mask = np.full((len(words), CHAIN), -1)
+    mask = np.full((len(words), chain), -1)
     for i, x in enumerate(labels):
         mask[i, : len(x)] = x
     return words, mask
 
 
-def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5, words_per_row: int = WORDS_PER_ROW, lexicon_words: int = LEXICON_WORDS) -> Model:
-    """Penalised maximum likelihood by Adam from texts by language; the same input gives the same model."""
+def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5, lexicon_words: int = LEXICON_WORDS, chain: int = CHAIN) -> Model:
+    """Penalised maximum likelihood by Adam from lower-cased words, separated by blanks, by language; the same input gives the same model."""
     rng = np.random.Generator(np.random.PCG64(seed))
     languages = sorted(samples)
-    texts = []
-    for name in languages:
-        texts.append([])
-        for text in sorted(samples[name]):
-            words = [w.decode("utf-8", "replace") for w in lowered(text).split()]
-            at = zlib.crc32(text.encode("utf-8", "replace")) % max(1, len(words) - words_per_row + 1)
-            if words:
-                texts[-1].append(words[at : at + words_per_row])
+    texts = [[t.split(" ") for t in sorted(samples[name]) if t] for name in languages]
     counts = [Counter(_core(w) for t in x for w in t) for x in texts]
     total = sum(counts, Counter())
     lexicon = {w: k for k, c in enumerate(counts) for w, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:lexicon_words] if w and n >= 0.8 * total[w] and n > 2}
-    chains, labels = _chains(texts, rng)
+    chains, labels = _chains(texts, rng, chain)
     number: dict[str, int] = {}
     ids = np.full(labels.shape, 0)
-    for i, chain in enumerate(chains):
-        ids[i, : len(chain)] = [number.setdefault(w, len(number)) for w in chain]
+    for i, run in enumerate(chains):
+        ids[i, : len(run)] = [number.setdefault(w, len(number)) for w in run]
     found = [features(w, lexicon) for w in number]
     flat = np.array([f for x in found for f in x], np.int64)
     word_of = np.repeat(np.arange(len(found)), [len(x) for x in found])
@@ -174,11 +168,14 @@ def fit(samples: dict[str, list[str]], epochs: int = EPOCHS, seed: int = 5, word
             m += 0.1 * (g - m)
             v += 0.001 * (g * g - v)
             p += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-    return Model(languages, lexicon, weights.astype(np.float32), transition.astype(np.float32))
+    return Model(languages, lexicon, weights.astype(np.float32), transition.astype(np.float32), chain)
 
 
-def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> dict[str, list[str]]:
-    """At most ``per_language`` texts for each language, those with the smallest hash of the id."""
+def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int, words_per_row: int) -> dict[str, list[str]]:
+    """``words_per_row`` consecutive words of at most ``per_language`` rows for each language, those with the smallest hash of the id.
+
+    The words are cut out where the text is read: what the driver gets is bounded by both parameters, not by the length of texts.
+    """
     ids = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(lang_col, id_col, F.xxhash64(F.lit(3), id_col).alias("_h"))
     # First by a bound on the hash that leaves a few more than enough, so that no task ranks all rows of a language.
     counts = small(written(ids.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_all"))))
@@ -186,45 +183,58 @@ def sample_rows(labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
     near = ids.join(counts, lang_col).filter(F.shiftrightunsigned("_h", 11) < share * float(1 << 53))
     order = (F.shiftrightunsigned("_h", 1), F.col("_h"), F.col(id_col))
     picked = near.withColumn("_n", F.row_number().over(Window.partitionBy(lang_col).orderBy(*order))).filter(F.col("_n") <= per_language).select(id_col)
-    rows = labelled.join(F.broadcast(picked.distinct()), id_col, "left_semi").select(lang_col, text_col)
+    rows = labelled.join(F.broadcast(picked.distinct()), id_col, "left_semi").select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for text in batch.column(1).to_pylist():
+                words = lowered(text).split()
+                at = zlib.crc32((text or "").encode("utf-8", "replace")) % max(1, len(words) - words_per_row + 1)
+                parts.append(b" ".join(words[at : at + words_per_row]).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.string())], names=["lang", "words"])
+
     out: dict[str, list[str]] = {}
-    for lang, text in rows.toLocalIterator():
-        if lang is not None and text:
-            out.setdefault(lang, []).append(text)
+    for lang, words in rows.mapInArrow(cut, "lang string, words string").toLocalIterator():
+        if lang is not None and words:
+            out.setdefault(lang, []).append(words)
     return out
 
 
-def identify_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = ROWS_PER_LANGUAGE, words_per_row: int = WORDS_PER_ROW, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def identify_language(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = ROWS_PER_LANGUAGE, words_per_row: int = WORDS_PER_ROW, lexicon_words: int = LEXICON_WORDS, chain: int = CHAIN) -> DataFrame:
     """All rows and columns of ``docs`` with ``lang_pred, score``.
 
     The model learns from at most ``per_language`` rows of ``labelled`` for each non-null
     language, ``words_per_row`` consecutive words of each, with a lexicon of at most
     ``lexicon_words`` words a language (they bound the fit on the driver, nothing else), and
-    predicts from the whole text alone.  ``score`` is the mean marginal of the
+    predicts from the whole text alone, in chains of ``chain`` words: between two chains no
+    transition is used.  ``score`` is the mean marginal of the
     predicted label (ties: the first language in code point order).  A null text, or one
     without any letter, gets ``und`` and score 0, as does every text if there is nothing to
     learn from.  Texts of any length are labelled whole, repeated rows alike; an empty table
-    gives an empty result; input columns named like the outputs are replaced.
+    gives an empty result; ids and other columns pass unchanged; input columns named like the outputs are replaced.
     """
     docs = renamed_apart(docs, ["lang_pred", "score"])
-    samples = sample_rows(labelled, id_col, text_col, lang_col, per_language)
+    samples = sample_rows(labelled, id_col, text_col, lang_col, per_language, words_per_row)
     if not samples:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
-    model = fit(samples, words_per_row=words_per_row, lexicon_words=lexicon_words)
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.transition))
+    model = fit(samples, lexicon_words=lexicon_words, chain=chain)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.lexicon, model.weights, model.transition, model.chain))
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start() -> Callable[[list], list[pa.Array]]:
         local = Model(*shared.value)
         table = WordTable(local.emissions)
         names = np.array(local.languages, object)
-        for batch in batches:
-            means, letters = local.predict(table, batch[text_col].tolist())
+
+        def predict(texts: list[str | None]) -> list[pa.Array]:
+            means, letters = local.predict(table, texts)
             best = means.argmax(axis=1)
-            has = letters > 0
-            yield batch.assign(lang_pred=np.where(has, names[best], "und"), score=np.where(has, np.clip(means[np.arange(len(best)), best], 0, 1), 0.0))
+            score = np.clip(means[np.arange(len(best)), best], 0, 1)
+            return [pa.array(np.where(letters > 0, names[best], "und"), pa.string()), pa.array(np.where(letters > 0, score, 0.0))]
+
+        return predict
 
-    return docs.mapInPandas(predict, schema)
+    return append_columns(docs, text_col, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())], start)
 
 
 def fold(id_col: str, folds: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, WORD, n_buckets, named_apart, prefix_sums, renamed_apart
+from ._spark import BUCKET_ROWS, WORD, n_buckets, named_apart, prefix_sums, renamed_apart, row_order
 
 OUTPUTS = ["size", "source_size", "target", "taken"]
 INTERNAL = ["_null", "_src", "_k", "_b", "_x", "_offset", "_before"]
@@ -50,7 +50,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     first, then rows in the order of a hash of the id until the source's budget (its target,
     rounded) is met exactly, the last row in part.  The same rows and seed give the same
     mix.  Null text has no words and takes none; a null source is a source of its own; a
-    null id is hashed like any value; repeated rows count each; an empty table gives an
+    null id is hashed like any value; repeated rows count each, and rows alike in id are
+    ordered by all their columns; an empty table gives an
     empty result; input columns named like the outputs are replaced.
     """
     docs, names_back, (id_col, text_col, source_col) = named_apart(renamed_apart(docs, OUTPUTS), INTERNAL, id_col, text_col, source_col)
@@ -61,7 +62,7 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     def targets(sums: DataFrame) -> DataFrame:
         return source_targets(sums.groupBy(*key).agg(F.sum("_sum").alias("source_size")), weights, share, cap)
 
-    ties = [id_col, "size"]
+    ties = row_order(docs, [id_col])
     rows = prefix_sums(rows, key, "_k", ties, F.col("size"), n_buckets(total, bucket_rows), "_before", targets)
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, n_buckets, named_apart, prefix_sums, renamed_apart
+from ._spark import BUCKET_ROWS, n_buckets, named_apart, prefix_sums, renamed_apart, row_order
 
 PARTITIONS = 64
 INTERNAL = ["_p", "_k1", "_k2", "_b", "_x", "_offset", "_r", "_cuts"]
@@ -69,12 +69,13 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_
 
     Shard sizes differ by one at most.  The result follows from the rows and the seed
     alone: reruns and lost executors give the same places.  Null ids and repeated rows are
-    placed like any other (rows that are alike in id are ordered by their other columns);
+    placed like any other (rows that are alike in id are ordered by all their columns, the
+    text too, so only equal rows may change places with each other);
     null, empty and long texts need no care, an empty table gives an empty result, and
     input columns named like the outputs are replaced.
     """
     docs, names_back, (id_col,) = named_apart(renamed_apart(docs, ["shard", "slot"]), INTERNAL, id_col)
-    ties = [c for c, kind in docs.dtypes if kind in ("bigint", "int", "string", "double", "boolean") and c != "text"]
+    ties = row_order(docs, [id_col])
     keyed = docs.withColumns({"_p": F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(partitions)).cast("int"), "_k1": F.xxhash64(F.lit(seed + 1), id_col), "_k2": F.xxhash64(F.lit(seed + 2), id_col)})
     sizes = dict(keyed.groupBy("_p").count().collect())  # at most `partitions` rows
     total = sum(sizes.values())

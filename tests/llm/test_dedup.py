@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
+from pyspark.sql import functions as F
 from sentryloom.llm.exact_dedup import exact_dedup
 from sentryloom.llm.near_dedup import near_duplicates, one_of_each_group
 
@@ -140,3 +142,12 @@ def test_exact_dedup_in_a_shuffle_gives_the_same(edge, monkeypatch):
     want = sorted((repr(r.doc_id), repr(r.text), r.keep_id, r.group_size, r.kept) for r in exact_dedup(edge).collect())
     monkeypatch.setattr(module, "BROADCAST_GROUPS", 0)
     assert sorted((repr(r.doc_id), repr(r.text), r.keep_id, r.group_size, r.kept) for r in exact_dedup(edge).collect()) == want
+
+
+def test_of_equal_texts_with_null_ids_one_stays(spark):
+    rows = [(None, "same text"), (None, "same  text"), (None, "same\ttext"), (None, None), (None, ""), (None, "alone"), (4, "four"), (None, "four"), (None, "four")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit(7))
+    out = exact_dedup(df).collect()
+    kept = Counter(" ".join((r.text or "").split()) for r in out if r.kept)
+    assert len(out) == len(rows) and kept == {"same text": 1, "": 1, "alone": 1, "four": 1}
+    assert {(r.text, r.group_size) for r in out if r.keep_id == 4} == {("four", 3)} and [r.doc_id for r in out if r.kept and r.text == "four"] == [4] and all(r._row == 7 for r in out)
