@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -9,13 +10,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+from ..tables import small, written
 
 # What counts as permanent, and the thresholds and check intervals (hours) of a link.
 PERMANENT_TYPES = ("http_404", "http_410", "dns_error")
 PERMANENT_CODES = (403, 404, 410)
 SUSPICIOUS, QUARANTINED, DEAD = 3, 5, 10
 CHECK_HOURS = {"healthy": 24, "suspicious": 12, "quarantined": 168, "dead": 720}
-DAY = 86_400_000_000
+DAY, HOUR = 86_400_000_000, 3_600_000_000
+#: Rows of a key that one task folds in a row, before the key is cut into slices of whole hours.
+SLICE_ROWS = 100_000
+#: Rounds after which slices that have not settled are run two in a row.
+SLICE_ROUNDS = 4
 
 
 def micros(ts: str) -> Column:
@@ -32,13 +40,31 @@ def consecutive_failures(probes: DataFrame, key: str = "url", ts: str = "ts", or
 
 
 def recent_failures(probes: DataFrame, hours: int = 24, key: str = "url", ts: str = "ts") -> DataFrame:
-    """Adds counts over the last hours: ``failures``, ``permanent`` by type, ``permanent_any`` by type or code, ``successes``."""
-    rows = probes.withColumn("_us", micros(ts))
-    w = Window.partitionBy(key).orderBy("_us").rangeBetween(-hours * 3_600_000_000 + 1, 0)
+    """Adds counts over the last hours: ``failures``, ``permanent`` by type, ``permanent_any`` by type or code, ``successes``.
+
+    The span before a row is the hours between, counted once for each key and hour, and two
+    parts of an hour.  Those follow from the rows of the hour and the rows of the hour that
+    the span begins in, moved forward by its length.  So rows are dealt by key and hour, and
+    a key that has most of them is spread.  A null key or time has no span and counts nothing
+    but 0; nulls in flags count as false.
+    """
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("long")
     failed = ~F.col("success")
     by_type = failed & F.col("failure_type").isin(*PERMANENT_TYPES)
-    count = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("int")).over(w)
-    return rows.withColumns({"failures": count(failed), "permanent": count(by_type), "permanent_any": count(failed & (F.col("failure_type").isin(*PERMANENT_TYPES) | F.col("status_code").isin(*PERMANENT_CODES))), "successes": count(F.col("success"))}).drop("_us")
+    counts = {"failures": flag(failed), "permanent": flag(by_type), "permanent_any": flag(failed & (F.col("failure_type").isin(*PERMANENT_TYPES) | F.col("status_code").isin(*PERMANENT_CODES))), "successes": flag(F.col("success"))}
+    rows = probes.withColumn("_us", micros(ts)).withColumns({f"_{c}": v for c, v in counts.items()})
+    rows = rows.withColumn("_hour", F.floor(F.col("_us") / HOUR))
+    cells = rows.groupBy(F.col(key).alias("_key"), "_hour").agg(*[F.sum(f"_{c}").alias(f"_{c}") for c in counts])
+    # For each hour that has rows: the sums of the hours strictly between, and of the one in which the span begins.
+    by_hour = Window.partitionBy("_key").orderBy("_hour")
+    full = {f"_full_{c}": F.coalesce(F.sum(f"_{c}").over(by_hour.rangeBetween(-hours, -1)), F.lit(0)) for c in counts}
+    full = cells.withColumns(full).select("_key", F.col("_hour").alias("_cell"), *full)
+    moved = rows.select(F.col(key), (F.col("_us") + hours * HOUR).alias("_us"), (F.col("_hour") + hours).alias("_hour"), *[(-F.col(f"_{c}")).alias(f"_{c}") for c in counts], F.lit(True).alias("_old"))
+    both = rows.withColumn("_old", F.lit(False)).unionByName(moved, allowMissingColumns=True)
+    inside = Window.partitionBy(key, "_hour").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    both = both.withColumns({f"_in_{c}": F.sum(f"_{c}").over(inside) for c in counts}).filter("NOT _old")
+    out = both.join(full, F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_cell")), "left")
+    return out.select(*probes.columns, *[F.when(F.col("_us").isNull(), 0).otherwise(F.col(f"_in_{c}") + F.coalesce(f"_full_{c}", F.lit(0))).alias(c) for c in counts])
 
 
 def failure_history(probes: DataFrame, n: int = 10, key: str = "url", ts: str = "ts", order: str = "event_id") -> DataFrame:
@@ -48,26 +74,37 @@ def failure_history(probes: DataFrame, n: int = 10, key: str = "url", ts: str =
     return last.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", "failure_type"))), lambda x: x["failure_type"]).alias("history"))
 
 
-def health_score(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id") -> DataFrame:
+def _link_fold(probes: DataFrame, key: str, ts: str, order: str, slice_rows: int) -> DataFrame:
+    """Adds the counts of the last day and ``_link`` with health, run of failures and status after each probe."""
+    rows = recent_failures(probes, 24, key, ts).withColumn("_v", F.struct((F.when(F.col("successes") > 0, 10).otherwise(0) - 50 * F.col("permanent") - 20 * (F.col("failures") - F.col("permanent"))).alias("d"), "success", (F.col("permanent_any") >= 1).alias("hard")))
+
+    def step(link: tuple[int, int, str], _, v: dict) -> tuple[dict, tuple[int, int, str]]:
+        x, run, status = link
+        x, run = max(0, min(100, x + v["d"])), 0 if v["success"] else run + (v["success"] is False)
+        if v["hard"] and run >= DEAD:
+            status = "dead"
+        elif run >= QUARANTINED:
+            status = "quarantined"
+        elif run >= SUSPICIOUS:
+            status = "suspicious"
+        elif x > 80 and run == 0:
+            status = "healthy"
+        return {"health": x / 100, "run": run, "status": status}, (x, run, status)
+
+    return fold_in_order(rows, key, ts, order, lambda: (100, 0, "healthy"), step, "_link", "struct<health: double, run: int, status: string>", "_v", slice_rows).drop("_v")
+
+
+def health_score(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id", slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``health`` after each probe: from 1, plus .1 if a success lies in the last day, minus .5 or .2 for each permanent or other failure of the last day, held in [0, 1].
 
     The clamp makes this a fold in time order over the key's probes, in whole hundredths.
     """
-    rows = recent_failures(probes, 24, key, ts).withColumn("_d", F.when(F.col("successes") > 0, 10).otherwise(0) - 50 * F.col("permanent") - 20 * (F.col("failures") - F.col("permanent")))
-
-    def step(x: int, _, d: int) -> tuple[float, int]:
-        x = max(0, min(100, x + d))
-        return x / 100, x
-
-    return fold_in_order(rows, key, ts, order, lambda: 100, step, "health", "double", "_d").drop("_d")
+    return _link_fold(probes, key, ts, order, slice_rows).withColumn("health", F.col("_link.health")).drop("_link")
 
 
-def link_status(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id") -> DataFrame:
-    """Adds ``status`` after each probe, carried on where no rule applies (healthy at first), and ``next_check_hours``."""
-    rows = consecutive_failures(health_score(probes, key, ts, order), key, ts, order)
-    own = F.when((F.col("permanent_any") >= 1) & (F.col("run") >= DEAD), "dead").when(F.col("run") >= QUARANTINED, "quarantined").when(F.col("run") >= SUSPICIOUS, "suspicious").when((F.col("health") > 0.8) & (F.col("run") == 0), "healthy")
-    w = Window.partitionBy(key).orderBy(ts, order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_own", own).withColumn("status", F.coalesce(F.last("_own", ignorenulls=True).over(w), F.lit("healthy"))).drop("_own")
+def link_status(probes: DataFrame, key: str = "url", ts: str = "ts", order: str = "event_id", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``health``, ``run`` and ``status`` after each probe, carried on where no rule applies (healthy at first), and ``next_check_hours``."""
+    rows = _link_fold(probes, key, ts, order, slice_rows).select("*", "_link.*").drop("_link")
     hours = F.element_at(F.create_map(*[F.lit(x) for p in CHECK_HOURS.items() for x in p]), F.col("status"))
     return rows.withColumn("next_check_hours", hours)
 
@@ -85,32 +122,109 @@ def usable_links(status: DataFrame, now: Column, override: str = "override", ts:
     return status.withColumns({"usable": usable, "status": named})
 
 
-def fold_in_order(df: DataFrame, key: str, ts: str, order: str, start: Callable[[], object], step: Callable, out: str, kind: str, value: str | None = None) -> DataFrame:
-    """Adds ``out``: what ``step(state, time, value)`` gives for each row of a key in time order, beside the next state.
+def fold_in_order(df: DataFrame, key: str, ts: str, order: str, start: Callable[[], object], step: Callable, out: str, kind: str, value: str | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Adds ``out`` (of type ``kind``): what ``step(state, time, value)`` gives for each row of a key in time order, beside the next state.
 
-    Rows are sorted by key and time within their partition and stream through in Arrow
-    batches; a task holds one batch and the state of one key, however many rows the key has.
+    Rows stream sorted through Arrow batches; a task holds one batch and one state.  A key of
+    more than ``slice_rows`` rows is cut into slices of whole hours that are folded side by
+    side.  The first time every slice begins with the start state; then each slice whose
+    predecessor ended in another state than it began with is run again, until none is left,
+    which is the fold over all rows.  States that forget where they began (full buckets,
+    clamped scores, rows that pass in any case) settle in two or three rounds; slices that
+    have not settled in ``SLICE_ROUNDS`` rounds are run two in a row, then four, so the
+    number of rounds grows with the logarithm of the number of slices, whatever the data.
+    Only slices that changed are run again.  An hour with more rows of a key is one slice.
     """
-    types = {"boolean": (T.BooleanType(), pa.bool_()), "double": (T.DoubleType(), pa.float64())}[kind]
-    rows = df.withColumn("_us", micros(ts)).repartition(key).sortWithinPartitions(key, "_us", order)
+    rows = df.withColumns({"_us": micros(ts), "_kh": F.xxhash64(key)})
+    hot = rows.groupBy("_kh").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > slice_rows).select("_kh")
+    field = T.StructField(out, T.StructType.fromDDL(f"x {kind}")[0].dataType)
+    run = lambda slices, emit: _folded(slices, key, order, start, step, field, value, emit)
+    hot = written(hot)
+    if not hot.limit(1).count():
+        return run(rows.withColumns({"_slice": F.lit(0).cast("long"), "_enter": F.lit(None).cast("binary")}), True).drop("_us", "_kh", "_slice", "_enter")
+    rows = rows.withColumn("_cell", F.floor(F.col("_us") / HOUR))
+    cells = rows.join(small(hot), "_kh", "left_semi").groupBy("_kh", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_kh").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_slice", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / slice_rows))
+    # Slices are numbered without gaps, so that the one before is the number before.
+    cells = written(cells.withColumn("_slice", F.dense_rank().over(Window.partitionBy("_kh").orderBy("_slice")).cast("long")).drop("_n"))
+    staged = rows.join(small(cells), ["_kh", "_cell"], "left").drop("_cell").withColumns({"_slice": F.coalesce("_slice", F.lit(0)), "_enter": F.lit(None).cast("binary")})
+    staged = written(staged)
+    states, again, level = None, None, 0
+    while True:
+        many = staged.filter("_slice > 0").withColumn("_slice", F.shiftright("_slice", level))
+        for _ in range(SLICE_ROUNDS):
+            part = many if again is None else many.join(again.select("_kh", "_slice").distinct(), ["_kh", "_slice"], "left_semi")
+            ended = written(run(_with_states(part, again if again is not None else states, key), False))
+            if again is not None:
+                done = ended.select(F.col(key).alias("_key"), F.col("_slice").alias("_s"))
+                ended = written(ended.unionByName(states.join(done, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_s")), "left_anti")))
+            states = ended
+            follows = states.select(F.col(key).alias("_key"), (F.col("_slice") + 1).alias("_s"), F.col("_exit").alias("_should"))
+            changed = states.join(follows, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_s"))).filter(~F.col("_enter").eqNullSafe(F.col("_should")))
+            again = written(changed.select(key, "_kh", "_slice", F.col("_should").alias("_enter")))
+            if not again.limit(1).count():
+                break
+        else:
+            level += 1
+            last = F.max_by("_exit", "_slice").alias("_enter")
+            states = written(states.groupBy(key, "_kh", (F.shiftright("_slice", 1) + 1).alias("_slice")).agg(last))
+            again = None
+            continue
+        break
+    final = staged.withColumn("_slice", F.shiftright("_slice", level))
+    return run(_with_states(final, states.filter("_enter IS NOT NULL"), key), True).drop("_us", "_kh", "_slice", "_enter")
+
+
+def _with_states(rows: DataFrame, states: DataFrame | None, key: str) -> DataFrame:
+    """The rows, and before each slice that has one a row with the state to begin with."""
+    return rows if states is None else rows.unionByName(states.select(key, "_kh", "_slice", "_enter"), allowMissingColumns=True)
+
+
+def _folded(rows: DataFrame, key: str, order: str, start: Callable[[], object], step: Callable, field: T.StructField, value: str | None, emit: bool) -> DataFrame:
+    """The rows with ``field``, or (``emit`` false) ``key, _kh, _slice, _enter, _exit`` of each slice."""
+    rows = rows.repartition(key, "_slice").sortWithinPartitions(key, "_slice", F.col("_enter").isNull(), "_us", order)
+    ends = T.StructType([*[rows.schema[c] for c in (key, "_kh", "_slice", "_enter")], T.StructField("_exit", T.BinaryType())])
+    kind = to_arrow_type(field.dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, state, fresh = None, None, True
+        at, state, entered, done = None, None, None, []
+
+        def flush(types: pa.Schema) -> pa.RecordBatch:
+            columns = [pa.array([x[i] for x in done], t) for i, t in enumerate([*[types.field(c).type for c in (key, "_kh", "_slice")], pa.binary(), pa.binary()])]
+            done.clear()
+            return pa.RecordBatch.from_arrays(columns, names=[f.name for f in ends])
+
+        schema = None
         for batch in batches:
-            keys, times = batch.column(key).to_pylist(), batch.column("_us").to_pylist()
-            values = batch.column(value).to_pylist() if value else [None] * len(keys)
-            found = []
-            for k, t, v in zip(keys, times, values, strict=True):
-                if fresh or k != at:
-                    at, state, fresh = k, start(), False
+            schema, found, real = batch.schema, [], []
+            keys = zip(batch.column(key).to_pylist(), batch.column("_kh").to_pylist(), batch.column("_slice").to_pylist(), strict=True)
+            times, enters = batch.column("_us").to_pylist(), batch.column("_enter").to_pylist()
+            values = batch.column(value).to_pylist() if value else [None] * len(times)
+            for i, (k, t, v, e) in enumerate(zip(keys, times, values, enters, strict=True)):
+                if k != at:
+                    if at is not None and not emit:
+                        done.append((*at, entered, pickle.dumps(state, 4)))
+                    at, state, entered = k, start(), None
+                if e is not None:
+                    state, entered = pickle.loads(e), e
+                    continue
                 said, state = step(state, t, v)
                 found.append(said)
-            yield batch.append_column(out, pa.array(found, types[1]))
+                real.append(i)
+            if emit:
+                kept = batch if len(real) == batch.num_rows else batch.take(pa.array(real, pa.int64()))
+                yield kept.append_column(field.name, pa.array(found, kind))
+            elif len(done) > 10_000:
+                yield flush(schema)
+        if not emit and at is not None:
+            done.append((*at, entered, pickle.dumps(state, 4)))
+            yield flush(schema)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, types[0])])).drop("_us")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, field]) if emit else ends)
 
 
-def dedupe_ttl(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 86_400) -> DataFrame:
+def dedupe_ttl(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int = 86_400, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Rows that pass a set-if-absent key with expiry: no passing row of the key is younger than the ttl.
 
     The age counts from the last row that passed, so this is a fold and not a gap between rows.
@@ -120,10 +234,10 @@ def dedupe_ttl(df: DataFrame, key: str, ts: str, order: str, ttl_seconds: int =
         ok = last is None or t - last >= ttl_seconds * 1_000_000
         return ok, t if ok else last
 
-    return fold_in_order(df, key, ts, order, lambda: None, step, "_ok", "boolean").filter("_ok").drop("_ok")
+    return fold_in_order(df, key, ts, order, lambda: None, step, "_ok", "boolean", slice_rows=slice_rows).filter("_ok").drop("_ok")
 
 
-def rate_limit_sliding(df: DataFrame, key: str, ts: str, order: str, limit: int, window_seconds: int) -> DataFrame:
+def rate_limit_sliding(df: DataFrame, key: str, ts: str, order: str, limit: int, window_seconds: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``allowed``: fewer than ``limit`` allowed requests of the key in the last seconds; denied ones do not count."""
 
     def step(times: deque, t: int, _) -> tuple[bool, deque]:
@@ -134,7 +248,7 @@ def rate_limit_sliding(df: DataFrame, key: str, ts: str, order: str, limit: int,
             times.append(t)
         return ok, times
 
-    return fold_in_order(df, key, ts, order, deque, step, "allowed", "boolean")
+    return fold_in_order(df, key, ts, order, deque, step, "allowed", "boolean", slice_rows=slice_rows)
 
 
 def rate_limit_fixed(df: DataFrame, key: str, ts: str, order: str, budget: int, unit: str = "minute") -> DataFrame:
@@ -144,7 +258,7 @@ def rate_limit_fixed(df: DataFrame, key: str, ts: str, order: str, budget: int,
     return df.withColumn("allowed", nth <= budget)
 
 
-def token_bucket(df: DataFrame, key: str, ts: str, order: str, capacity: int, per_seconds: int) -> DataFrame:
+def token_bucket(df: DataFrame, key: str, ts: str, order: str, capacity: int, per_seconds: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``allowed``: a bucket of ``capacity`` tokens refilled evenly over ``per_seconds``; in whole micro-tokens, so exact."""
     one = per_seconds * 1_000_000  # units of a token; ``capacity`` units come back each microsecond
     full = capacity * one
@@ -155,7 +269,7 @@ def token_bucket(df: DataFrame, key: str, ts: str, order: str, capacity: int, pe
         ok = level >= one
         return ok, (level - one if ok else level, t)
 
-    return fold_in_order(df, key, ts, order, lambda: (full, None), step, "allowed", "boolean")
+    return fold_in_order(df, key, ts, order, lambda: (full, None), step, "allowed", "boolean", slice_rows=slice_rows)
 
 
 def best_so_far(df: DataFrame, group: str, order: str, score: str, name: str) -> DataFrame:
