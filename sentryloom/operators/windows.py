@@ -74,21 +74,27 @@ def failure_history(probes: DataFrame, n: int = 10, key: str = "url", ts: str =
     return last.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_n", "failure_type"))), lambda x: x["failure_type"]).alias("history"))
 
 
+def link_step(link: tuple[int, int, str], change: int, success: bool | None, hard: bool) -> tuple[int, int, str]:
+    """Health in hundredths, run of failures and status after a probe; ``hard`` says whether the last day has a permanent failure."""
+    x, run, status = link
+    x, run = max(0, min(100, x + change)), 0 if success else run + (success is False)
+    if hard and run >= DEAD:
+        status = "dead"
+    elif run >= QUARANTINED:
+        status = "quarantined"
+    elif run >= SUSPICIOUS:
+        status = "suspicious"
+    elif x > 80 and run == 0:
+        status = "healthy"
+    return x, run, status
+
+
 def _link_fold(probes: DataFrame, key: str, ts: str, order: str, slice_rows: int) -> DataFrame:
     """Adds the counts of the last day and ``_link`` with health, run of failures and status after each probe."""
     rows = recent_failures(probes, 24, key, ts).withColumn("_v", F.struct((F.when(F.col("successes") > 0, 10).otherwise(0) - 50 * F.col("permanent") - 20 * (F.col("failures") - F.col("permanent"))).alias("d"), "success", (F.col("permanent_any") >= 1).alias("hard")))
 
     def step(link: tuple[int, int, str], _, v: dict) -> tuple[dict, tuple[int, int, str]]:
-        x, run, status = link
-        x, run = max(0, min(100, x + v["d"])), 0 if v["success"] else run + (v["success"] is False)
-        if v["hard"] and run >= DEAD:
-            status = "dead"
-        elif run >= QUARANTINED:
-            status = "quarantined"
-        elif run >= SUSPICIOUS:
-            status = "suspicious"
-        elif x > 80 and run == 0:
-            status = "healthy"
+        x, run, status = link_step(link, v["d"], v["success"], v["hard"])
         return {"health": x / 100, "run": run, "status": status}, (x, run, status)
 
     return fold_in_order(rows, key, ts, order, lambda: (100, 0, "healthy"), step, "_link", "struct<health: double, run: int, status: string>", "_v", slice_rows).drop("_v")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import glob
 import os
+import random
 import tempfile
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,15 +74,72 @@ def test_validate_stream_splits_and_counts(spark):
     assert dead.select("topic").distinct().collect()[0][0] == "iocs.dlq"
 
 
-def test_dedupe_and_counters(spark):
+def in_files(spark, rows, schema, sizes):
+    """A folder of files of so many rows each, read one file a batch in that order, and its stream."""
+    path, at = tempfile.mkdtemp(prefix="stream-"), 0
+    for k, n in enumerate(sizes):
+        spark.createDataFrame(rows[at : at + n], schema).coalesce(1).write.mode("append").parquet(path)
+        at += n
+        for new in glob.glob(f"{path}/part-*"):
+            if os.path.getmtime(new) > 1_700_100_000:
+                os.utime(new, (1_700_000_000 + k * 60,) * 2)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_stream_dedupe_is_the_batch_operator_for_any_split(spark, shuffled):
+    """Rows days apart in one batch, ties, null keys, ids over 2^53; out of order within the lateness."""
+    rng = random.Random(4)
+    begin = datetime(2024, 1, 1)
+    schema = "k string, i long, ts timestamp, note long"
+    rows = [(rng.choice(["a", "b", None]), (1 << 60) + i, begin + timedelta(hours=2 * i, microseconds=7), None if i % 3 else (1 << 55) + 1) for i in range(150)]
+    rows += [("c", 1000 + d, begin + timedelta(days=3 * d), None) for d in range(3)] + [("a", 7, rows[10][2], None)]
+    want = sorted((r.k or "", r.i, str(r.ts), r.note) for r in W.dedupe_ttl(spark.createDataFrame(rows, schema), "k", "ts", "i").collect())
+    rows.sort(key=lambda r: r[2])
+    if shuffled:
+        for at in range(0, len(rows), 20):
+            rows[at : at + 20] = rng.sample(rows[at : at + 20], len(rows[at : at + 20]))
+    end = [("end", 0, begin + timedelta(days=100), None), ("end", 1, begin + timedelta(days=200), None)]
+    for sizes in ([len(rows), 1, 1], [1, 60, 7, len(rows) - 68, 1, 1]):
+        out = collected(spark, S.stream_dedupe(in_files(spark, rows + end, schema, sizes), ["k"], "ts", "i", late="3 days"), "append")
+        got = sorted((r.k or "", r.i, str(r.ts), r.note) for r in out.filter("k IS NULL OR k <> 'end'").collect())
+        assert got == want and sum(r[0] == "c" for r in got) == 3
+
+
+def test_counters(spark):
     rows = frame(spark, SF, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     stream = lambda: spark.readStream.schema(rows.schema).parquet(landed(rows, 1))
-    got = collected(spark, S.stream_dedupe(stream(), ["user_id"], "ts", "365 days"), "append")
+    got = collected(spark, S.stream_first(stream(), ["user_id"], "ts", "365 days"), "append")
     assert got.count() == rows.select("user_id").distinct().count()
     counts = collected(spark, S.stream_counters(stream(), "ts", ["event_type"]), "complete")
     assert counts.agg(F.sum("n")).first()[0] == rows.count()
 
 
+@pytest.mark.parametrize("sizes", [(120,), (1, 50, 69), (40, 40, 40)])
+def test_link_health_with_null_codes_ties_and_any_order(spark, sizes):
+    rng = random.Random(sum(sizes) + len(sizes))
+    begin = datetime(2024, 1, 1)
+    schema = "url string, ts timestamp, event_id long, success boolean, failure_type string, status_code int"
+    rows = [(rng.choice(["https://a", "https://b"]), begin + timedelta(hours=rng.randint(0, 90)), i, rng.choice([True, False, False, None]), rng.choice(["dns_error", "timeout", None]), rng.choice([None, 403, 500])) for i in range(120)]
+    out = {}
+    table = collected(spark, S.link_health_stream(in_files(spark, rows, schema, sizes), "60 days").withColumn("at", F.current_timestamp()), "update")
+    for r in table.orderBy("at").collect():
+        out[r.url] = (r.run, r.health, r.status)
+    batch = dedupe_first(W.link_status(spark.createDataFrame(rows, schema)), ["url"], F.desc("ts"), F.desc("event_id")).collect()
+    assert out == {r.url: (r.run, r.health, r.status) for r in batch} and len(out) == 2
+
+
+def test_links_fall_due_and_are_forgotten(spark):
+    begin = datetime(2024, 1, 1)
+    schema = "url string, ts timestamp, event_id long, success boolean, failure_type string, status_code int"
+    probe = lambda url, hours, ok: (url, begin + timedelta(hours=hours), hours, ok, None if ok else "dns_error", None)
+    rows = [probe("https://a", h, False) for h in range(6)] + [probe("https://b", 30 * 24, True), probe("https://b", 200 * 24, True), probe("https://b", 400 * 24, True)]
+    stream = S.link_health_stream(in_files(spark, rows, schema, (6, 1, 1, 1)), "1 hour", most_waiting=4).withColumn("at", F.current_timestamp())
+    out = [(r.url, r.run, r.status, r.due) for r in collected(spark, stream, "update").orderBy("at").collect()]
+    mine = [r for r in out if r[0] == "https://a"]
+    assert mine[0] == ("https://a", 6, "quarantined", False) and ("https://a", 6, "quarantined", True) in mine and len(mine) == 2
+
+
 def test_upsert_keeps_the_latest(spark):
     rows = frame(spark, SF, "events").select((F.col("user_id") % 5).alias("id"), F.col("event_id").alias("version"), "event_type", "event_id")
     path, target, checkpoint = landed(rows), tempfile.mkdtemp(prefix="graph-"), tempfile.mkdtemp(prefix="check-")
