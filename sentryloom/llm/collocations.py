@@ -8,7 +8,8 @@ and all shorter counts are sums of edges and of these corrections: only edges ar
 First scan: words by language, and n-grams that are frequent by themselves (hot).  Every
 word of a phrase of ``min_count`` occurrences has as many, so the second scan cuts pieces at
 rarer words (a Bloom filter of fixed largest size says which; a rare word that it lets
-through costs space only).  A block of texts sends its distinct edges with their counts to
+through costs space only).  Up to ``LISTED_WORDS`` frequent words are numbered, and edges
+are sent as numbers; beyond, each message has the words that it needs.  A block of texts sends its distinct edges with their counts to
 the bucket of their first two words, or of as many words as it takes until the beginning is
 not hot, so no beginning fills a bucket.  A bucket sorts its edges; the flow of a node is the
 sum of a range.  Nodes whose whole flow goes on to one longer node form unary paths, given
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +33,10 @@ from ._spark import small, written
 from ._words import _hash_slice, lowered, mix
 
 MAX_WORDS, MIN_COUNT, TOP = 5, 100, 2000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FILTER_BYTES = 64 << 20
+#: Up to so many frequent words every task gets the list of them, and edges are sent as its numbers; beyond, with their words.
+LISTED_WORDS = 1_000_000
 #: Edges that a bucket gets on average, repeats from different blocks counted.
 BUCKET_EDGES = 1_000_000
 #: An n-gram is hot if it may be one of so many in all; at most so many of each length are.
@@ -49,11 +53,17 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(values, "<u4").tobytes(), 1)
+    """Whole numbers below 2^32, all first bytes first, compressed."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4)
+    width = max(1, -(-int(values.max()).bit_length() // 8)) if values.size else 1
+    return bytes([width]) + zlib.compress(np.ascontiguousarray(planes[:, :width].T).tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), "<u4")
+    planes = np.frombuffer(zlib.decompress(data[1:]), np.uint8).reshape(data[0], -1)
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, : data[0]] = planes.T
+    return out.view("<u4").ravel()
 
 
 class Block:
@@ -74,8 +84,7 @@ class Block:
         self.lang = number[np.searchsorted(firsts, starts, "right") - 1] if len(starts) else np.zeros(0, np.int64)
         piece = np.cumsum(kind == 2)[starts]
         self.left = self._until(np.append(piece[1:] != piece[:-1], True) if len(piece) else np.zeros(0, bool))
-        joined = b" ".join(self.words.to_pylist()) + b" "
-        self.hashes = _hash_slice(joined)[2] if len(self.words) else np.zeros(0, np.uint64)
+        self.hashes = word_hashes(self.words.to_pylist())
         self.lang_hashes = hash_names(self.names.tolist())
 
     @staticmethod
@@ -96,18 +105,26 @@ class Block:
 
     def prefix_hashes(self, lang: np.ndarray, grams: np.ndarray) -> Iterator[np.ndarray]:
         """Hashes of the first 1, 2, ... words of rows of word numbers from 1; 0 is the end."""
-        known = np.concatenate([[_END], self.hashes])
-        with np.errstate(over="ignore"):
-            value = self.lang_hashes[lang]
-            for column in grams.T:
-                value = mix(value * _A + known[column])
-                yield value
+        return gram_hashes(self.lang_hashes[lang], self.hashes, grams)
 
     def grams(self, left: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
         """The word numbers (from 1) of up to ``size`` words from each token on; 0 where the piece has ended."""
-        padded = np.concatenate([self.at + 1, np.zeros(size, np.int64)])
-        steps = np.arange(size)
-        return np.where(steps < left[at, None], padded[at[:, None] + steps], 0)
+        padded = np.concatenate([self.at + 1, np.zeros(size, np.int64)]).astype(np.int32)
+        return np.stack([np.where(k < left[at], padded[at + k], 0) for k in range(size)], axis=1).astype(np.int32)
+
+
+def gram_hashes(lang: np.ndarray, words: np.ndarray, grams: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the first 1, 2, ... words of each row, from the hash of its language and the hashes of words."""
+    known = np.concatenate([[_END], words])
+    with np.errstate(over="ignore"):
+        value = lang
+        for column in grams.T:
+            value = mix(value * _A + known[column])
+            yield value
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return _hash_slice(b" ".join(words) + b" ")[2] if words else np.zeros(0, np.uint64)
 
 
 def hash_names(names: list[str]) -> np.ndarray:
@@ -182,36 +199,42 @@ def gram_paths(rows: DataFrame, first: DataFrame, max_words: int = MAX_WORDS, mi
     tokens = sizes[0]["n"] if 0 in sizes else 0
     frequent = sizes[1]["rows"] if 1 in sizes else 0
 
-    def word_hashes(batch: pa.RecordBatch) -> np.ndarray:
-        words = batch.column(1).cast(pa.binary()).to_pylist()
-        found = _hash_slice(b" ".join(words) + b" ")[2] if words else np.zeros(0, np.uint64)
+    def pair_hashes(batch: pa.RecordBatch) -> np.ndarray:
+        found = word_hashes(batch.column(1).cast(pa.binary()).to_pylist())
         names, number = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
         with np.errstate(over="ignore"):
             return mix(found + hash_names(names.tolist())[number])
 
     sc = rows.sparkSession.sparkContext
-    bloom = _bloom.filled(first.filter("kind = 1").select("lang", "word"), word_hashes, frequent, filter_bytes)
+    bloom = _bloom.filled(first.filter("kind = 1").select("lang", "word"), pair_hashes, frequent, filter_bytes)
     hot = {k: [] for k in range(2, max_words)}
     for r in first.filter((F.col("kind") > 1) & (F.col("n") >= max(2, tokens // (2 * HOT_SHARE)))).select("kind", "hash").collect():  # at most 2 HOT_SHARE of a length
         hot[r["kind"]].append(r["hash"])
-    known = sc.broadcast((bloom, {k: np.sort(np.array(v, np.int64).view(np.uint64)) for k, v in hot.items()}))
+    listed = None
+    if frequent <= LISTED_WORDS:
+        words = first.filter("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").select(F.col("word").cast("binary").alias("word")).toArrow()
+        listed = words["word"].combine_chunks().cast(pa.large_binary())
+    known = sc.broadcast((bloom, listed, {k: np.sort(np.array(v, np.int64).view(np.uint64)) for k, v in hot.items()}))
     buckets = max(1, -(-tokens // BUCKET_EDGES))
     messages = "bucket long, langs array<string>, words binary, edges binary, counts binary"
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled, often = known.value
+        filled, listed, often = known.value
         for block in _blocks(batches):
             if not len(block.at):
                 continue
             codes, _, inverse = block.pairs()
             kept = _bloom.has(filled, block.pair_hashes(codes))[inverse]
+            number = pc.index_in(block.words, listed) if listed is not None else None
+            if number is not None:
+                kept &= number.is_valid().to_numpy(zero_copy_only=False)[block.at]
             ends = ~kept | (block.left == 1)  # a rare word ends the piece before it
             ends[:-1] |= ~kept[1:]
             left = block._until(ends)
             at = np.flatnonzero(kept & (left > 1))
             if not len(at):
                 continue
-            edges = np.concatenate([block.lang[at, None], block.grams(left, at, max_words)], axis=1)
+            edges = np.concatenate([block.lang[at, None].astype(np.int32), block.grams(left, at, max_words)], axis=1)
             edges, counts = summed_edges(edges, np.ones(len(edges), np.int64))
             prefixes = list(block.prefix_hashes(edges[:, 0], edges[:, 1:]))
             route, split = prefixes[1].copy(), np.ones(len(edges), bool)
@@ -219,59 +242,65 @@ def gram_paths(rows: DataFrame, first: DataFrame, max_words: int = MAX_WORDS, mi
                 split &= np.isin(prefixes[k - 1], often[k])
                 route[split] = prefixes[k][split]
             bucket = (((route >> _U(32)) * _U(buckets)) >> _U(32)).astype(np.int64)
+            if number is not None:
+                edges[:, 1:] = np.concatenate([[0], number.fill_null(0).to_numpy().astype(np.int32) + 1])[edges[:, 1:]]
             order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+            bucket, edges, counts = bucket[order], edges[order], counts[order]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1, append=buckets))
             out = []
             for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                part = order[low:high]
-                langs, lang = np.unique(edges[part, 0], return_inverse=True)
-                used, numbers = np.unique(edges[part, 1:], return_inverse=True)
-                first_is_end = int(used[0] == 0)
-                words = b" ".join(block.words.take(pa.array(used[first_is_end:] - 1)).to_pylist())
-                table = np.concatenate([lang.reshape(1, -1), numbers.reshape(len(part), -1).T + (1 - first_is_end)])
-                out.append((int(bucket[part[0]]), block.names[langs].tolist(), zlib.compress(words, 1), _packed(table), _packed(counts[part])))
+                langs, lang = np.unique(edges[low:high, 0], return_inverse=True)
+                grams, words = edges[low:high, 1:], None
+                if number is None:
+                    used, grams = np.unique(np.append(grams, 0), return_inverse=True)
+                    grams = grams[:-1].reshape(high - low, -1)
+                    words = zlib.compress(b" ".join(block.words.take(pa.array(used[1:] - 1)).to_pylist()), 1)
+                table = np.concatenate([lang.reshape(1, -1), grams.T])
+                out.append((int(bucket[low]), block.names[langs].tolist(), words, _packed(table), _packed(counts[low:high])))
             kinds = (pa.int64(), pa.list_(pa.string()), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["bucket", "langs", "words", "edges", "counts"])
 
     paths = "lang string, words array<string>, lo int, hi int, n long, whole boolean"
 
     def flow(table: pa.Table) -> pa.Table:
-        _, often = known.value
+        _, listed, often = known.value
         rows = list(zip(*[table[c].to_pylist() for c in ("langs", "words", "edges", "counts")], strict=True))
         langs = np.unique(np.array([x for r in rows for x in r[0]], object))
-        parts = [zlib.decompress(r[1]).split(b" ") for r in rows]
-        every = pa.array([w for p in parts for w in p], pa.large_binary()).dictionary_encode()
-        number, words = every.indices.to_numpy().astype(np.int64) + 1, every.dictionary
-        edges, at = [], 0
-        for r, p in zip(rows, parts, strict=True):
-            local = np.concatenate([[0], number[at : at + len(p)]])
-            at += len(p)
-            columns = _unpacked(r[2]).reshape(max_words + 1, -1)
-            edges.append(np.stack([np.searchsorted(langs, np.array(r[0], object))[columns[0]], *local[columns[1:]]], axis=1))
+        words, numbers = listed, [None] * len(rows)
+        if listed is None:
+            parts = [zlib.decompress(r[1]).split(b" ") for r in rows]
+            every = pa.array([w for p in parts for w in p], pa.large_binary()).dictionary_encode()
+            words, ends = every.dictionary, np.cumsum([0] + [len(p) for p in parts])
+            numbers = [np.append(0, every.indices.to_numpy()[a:b] + 1) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        edges = []
+        for r, number in zip(rows, numbers, strict=True):
+            columns = _unpacked(r[2]).astype(np.int32).reshape(max_words + 1, -1)
+            columns[0] = np.searchsorted(langs, np.array(r[0], object))[columns[0]]
+            edges.append(columns.T if number is None else np.stack([columns[0], *number[columns[1:]]], axis=1).astype(np.int32))
         edges, counts = summed_edges(np.concatenate(edges), np.concatenate([_unpacked(r[3]) for r in rows]).astype(np.int64))
         flows = node_flows(edges, counts)
-        block = Block.__new__(Block)
-        block.hashes = _hash_slice(b" ".join(words.to_pylist()) + b" ")[2]
-        block.lang_hashes = hash_names(langs.tolist())
-        rows_of = np.flatnonzero(flows[:, 1:].max(axis=1, initial=0) >= (1 if any(map(len, often.values())) else min_count))
-        hashes = list(block.prefix_hashes(edges[rows_of, 0], edges[rows_of, 1:]))
-        split, base = np.ones(len(rows_of), bool), np.full(len(rows_of), 2)
-        out = []
+        some = np.flatnonzero(flows[:, 1:].max(axis=1, initial=0) >= (1 if any(map(len, often.values())) else min_count))
+        edges, flows = edges[some], flows[some]
+        split, base, out = np.zeros(len(some), bool), np.full(len(some), 2), []
         text = lambda row, k: [words[int(w) - 1].as_py().decode() for w in edges[row, 1 : k + 1]]
-        for k in range(2, max_words):
-            split &= np.isin(hashes[k - 1], often[k])
-            base[split] = k + 1
-            for i in np.flatnonzero(split & (flows[rows_of, k - 1] > 0)).tolist():
-                row = int(rows_of[i])
-                out.append((langs[edges[row, 0]], text(row, k), k, k, int(flows[row, k - 1]), False))
+        if any(map(len, often.values())):
+            used, local = np.unique(np.append(edges[:, 1:], 0), return_inverse=True)
+            known_words = word_hashes(words.take(pa.array(used[1:] - 1)).to_pylist())
+            split[:] = True
+            for k, value in enumerate(gram_hashes(hash_names(langs.tolist())[edges[:, 0]], known_words, local[:-1].reshape(len(some), -1)), 1):
+                if 1 < k < max_words:
+                    split &= np.isin(value, often[k])
+                    base[split] = k + 1
+                    for row in np.flatnonzero(split & (flows[:, k - 1] > 0)).tolist():
+                        out.append((langs[edges[row, 0]], text(row, k), k, k, int(flows[row, k - 1]), False))
         for k in range(2, max_words + 1):
-            n = flows[rows_of, k - 1]
-            opens = (n >= min_count) & (base <= k) & ((base == k) | (flows[rows_of, k - 2] != n))
-            for i in np.flatnonzero(opens).tolist():
-                row, high = int(rows_of[i]), k
-                while high < max_words and flows[row, high] == n[i]:
+            n = flows[:, k - 1]
+            opens = (n >= min_count) & (base <= k) & ((base == k) | (flows[:, k - 2] != n))
+            for row in np.flatnonzero(opens).tolist():
+                high = k
+                while high < max_words and flows[row, high] == n[row]:
                     high += 1
-                out.append((langs[edges[row, 0]], text(row, high), k, high, int(n[i]), True))
+                out.append((langs[edges[row, 0]], text(row, high), k, high, int(n[row]), True))
         kinds = (pa.string(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int64(), pa.bool_())
         return pa.table([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["lang", "words", "lo", "hi", "n", "whole"])
 
@@ -280,15 +309,24 @@ def gram_paths(rows: DataFrame, first: DataFrame, max_words: int = MAX_WORDS, mi
 
 def summed_edges(edges: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows in order with the sums of their counts."""
-    columns = list(edges.astype(np.uint64).T)
-    keys = [a << _U(32) | b for a, b in zip(columns[0::2], [*columns[1::2], np.zeros(len(edges), np.uint64)], strict=False)]
-    order = np.lexsort(keys[::-1])
+    if not len(edges):
+        return edges, counts
+    keys, room = [], 0  # as many columns in a 64-bit key as fit
+    for column in edges.T:
+        bits = max(1, int(column.max()).bit_length())
+        if room < bits:
+            keys.append(np.zeros(len(edges), np.uint64))
+            room = 64
+        keys[-1] = keys[-1] << _U(bits) | column.astype(np.uint64)
+        room -= bits
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
     new = np.zeros(len(order), bool)
-    new[:1] = True
+    new[0] = True
     for key in keys:
-        new[1:] |= key[order[1:]] != key[order[:-1]]
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
     starts = np.flatnonzero(new)
-    return edges[order[starts]], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
+    return edges[order[starts]], np.add.reduceat(counts[order], starts)
 
 
 def node_flows(edges: np.ndarray, counts: np.ndarray) -> np.ndarray:

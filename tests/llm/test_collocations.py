@@ -73,8 +73,11 @@ def test_hot_beginnings_small_blocks_and_full_filters(spark, monkeypatch):
     df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
     first = mod._first_scan(mod._rows(df, "lang", "text"), 5, 4)
     paths = mod.gram_paths(mod._rows(df, "lang", "text"), first, 5, 4, 8)
+    assert mod._unpacked(mod._packed(np.array([0, 70_000, 1 << 31]))).tolist() == [0, 70_000, 1 << 31]
     assert paths.filter("NOT whole").count() > 5 and paths.filter("whole AND hi > lo").count() > 5
     assert result(collocations(df, 5, 4, filter_bytes=8)) == want
+    monkeypatch.setattr(mod, "LISTED_WORDS", 0)
+    assert result(collocations(df, 5, 4, filter_bytes=8)) == want
     monkeypatch.setattr(mod, "TOP_ROWS", 3)
     assert result(collocations(df, 5, 4, top=2)) == brute(rows, 5, 4, 2)
 
