@@ -69,8 +69,8 @@ def stix_to_changeset(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, df.filter(rel).select(F.col("source_ref").alias("source_id"), F.col("target_ref").alias("target_id"), F.upper("relationship_type").alias("type"))
 
 
-def intel_to_changeset(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``url, title, entities`` (map of kind to values) -> Article and entity nodes, MENTIONS edges; without a URL a NormalizedIntel node and CONTAINS edges."""
+def intel_to_changeset(df: DataFrame, more: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``url, title, entities`` (map of kind to values) -> Article and entity nodes, MENTIONS edges; without a URL a NormalizedIntel node and CONTAINS edges; ``more`` are further properties of the first."""
     url = F.nullif(F.col("url"), F.lit(""))
     domain = F.coalesce(F.nullif(F.regexp_extract("url", "^[^:]+://([^/?#]*)", 1), F.lit("")), F.lit("unknown"))
     root = F.when(url.isNotNull(), F.concat(F.lit("article:"), domain, F.lit(":"), _short(url))).otherwise(F.concat(F.lit("normalized:"), _short(F.to_json("entities"), 12)))
@@ -78,7 +78,7 @@ def intel_to_changeset(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = df.select("_r", "_has", F.explode("entities").alias("kind", "values")).select("_r", "_has", "kind", F.explode("values").alias("value")).filter(F.length("value") > 0)
     each = each.withColumn("_e", F.concat("kind", F.lit(":"), _short(F.col("value"), 12)))
     c = F.col
-    nodes = df.select(F.inline(F.array(_node(c("_r"), F.when(c("_has"), "Article").otherwise("NormalizedIntel"), url=c("url"), title=c("title")))))
+    nodes = df.select(F.inline(F.array(_node(c("_r"), F.when(c("_has"), "Article").otherwise("NormalizedIntel"), url=c("url"), title=c("title"), **(more or {})))))
     nodes = nodes.unionByName(each.select(F.inline(F.array(_node(c("_e"), _lookup(ENTITY_LABELS, c("kind"), F.lit("Entity")), value=c("value"), type=c("kind"))))))
     return nodes, each.select(c("_r").alias("source_id"), c("_e").alias("target_id"), F.when(c("_has"), "MENTIONS").otherwise("CONTAINS").alias("type"))
 

@@ -2,10 +2,11 @@
 
 ``nodes`` and ``edges`` lie in ``partitions`` hash partitions each.  A batch reads and writes
 only the partitions that its rows fall into, into a folder of its own; then a manifest names
-for every partition the folder that holds it.  The manifest is written under another name
-and renamed, so readers see the graph before the batch or after it.  It carries the batch's
-id: a batch that runs again finds its id and changes nothing.  Folders that no manifest
-names any more are removed.
+for every partition the folder that holds it.  Manifests are numbered; one is written under
+another name and renamed, so readers see the graph before the batch or after it, and of two
+writers at a time one fails.  It carries the id of the last batch of every source: a batch
+that runs again finds its id and changes nothing.  Folders that no manifest names any more
+are removed.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ def _manifests(files: Files) -> list[str]:
 
 
 def manifest(spark: SparkSession, folder: str) -> dict | None:
-    """The newest manifest: ``batch_id, partitions, nodes`` and ``edges`` (folder of each partition)."""
+    """The newest manifest: ``number, batches`` (last id by source) ``, partitions, nodes`` and ``edges`` (folder of each partition)."""
     files = Files(spark, folder)
     names = _manifests(files)
     return json.loads(files.read(f"manifests/{names[-1]}")) if names else None
@@ -83,41 +84,42 @@ def _read(spark: SparkSession, folder: str, places: dict[str, str], schema: str)
     return spark.read.schema(schema).option("basePath", f"{folder}/data").parquet(*[f"{folder}/data/{at}/_part={p}" for p, at in sorted(places.items())]).drop("_of").select(*[x.split(" ")[0] for x in schema.split(", ")])
 
 
-def merge_into(folder: str, nodes: DataFrame, edges: DataFrame, batch_id: int, partitions: int = PARTITIONS) -> bool:
+def merge_into(folder: str, nodes: DataFrame, edges: DataFrame, batch_id: int, partitions: int = PARTITIONS, source: str = "") -> bool:
     """Merges a batch's ``id, label, properties`` nodes and ``source_id, target_id, type`` edges; false if it is there already.
 
-    Batch ids only grow.  A property set more than once keeps the value of the latest batch
-    (within a batch the largest); a null value changes nothing.  Edges are there once.
+    The batch ids of a ``source`` (a stream's checkpoint) only grow.  A property set more than
+    once keeps the value of the batch merged last (within a batch the largest); a null value changes nothing.  Edges are there once.
     Repeated rows count once; null ids are a key.  ``partitions`` holds for a new graph; an
     old one keeps its number.
     """
     spark = nodes.sparkSession
     files, old = Files(spark, folder), manifest(spark, folder)
-    if old is not None and batch_id <= old["batch_id"]:
+    old = old or {"number": -1, "batches": {}, "partitions": partitions, "nodes": {}, "edges": {}}
+    if batch_id <= old["batches"].get(source, -1):
         return False
-    n = old["partitions"] if old else partitions
-    of_batch = f"_of=b{batch_id}-{uuid.uuid4().hex}"
-    new = {"batch_id": batch_id, "partitions": n, "nodes": dict(old["nodes"]) if old else {}, "edges": dict(old["edges"]) if old else {}}
+    n, number = old["partitions"], old["number"] + 1
+    of_batch = f"_of=m{number}-{uuid.uuid4().hex}"
+    new = {"number": number, "batches": {**old["batches"], source: batch_id}, "partitions": n, "nodes": dict(old["nodes"]), "edges": dict(old["edges"])}
     for name, key, rows, schema in (("nodes", NODE_KEY, nodes, NODES), ("edges", EDGE_KEY, edges, EDGES)):
         rows = rows.select(*[c for c in (*key, "properties") if c in rows.columns]).withColumn("_part", _part(key, n)).persist()
         try:
             touched = [str(r[0]) for r in rows.select("_part").distinct().collect()]  # at most ``partitions``
             if touched:
                 there = _read(spark, folder, {p: at for p, at in new[name].items() if p in touched}, schema)
-                merged = _merged_nodes(there, rows, batch_id) if name == "nodes" else there.unionByName(rows).distinct()
+                merged = _merged_nodes(there, rows, number) if name == "nodes" else there.unionByName(rows).distinct()
                 merged.repartition(len(touched), "_part").write.partitionBy("_part").parquet(f"{folder}/data/{of_batch}-{name}")
                 new[name] |= dict.fromkeys(touched, f"{of_batch}-{name}")
         finally:
             rows.unpersist()
-    files.write(f"manifests/{batch_id:020d}.json", json.dumps(new))
+    files.write(f"manifests/{number:020d}.json", json.dumps(new))
     _sweep(files)
     return True
 
 
-def _merged_nodes(there: DataFrame, rows: DataFrame, batch_id: int) -> DataFrame:
+def _merged_nodes(there: DataFrame, rows: DataFrame, number: int) -> DataFrame:
     """One row a node; of each property the value of the latest batch."""
     known = there.select(*NODE_KEY, "_part", F.explode_outer("properties").alias("k", "v"), "versions").withColumn("at", F.element_at("versions", F.col("k"))).drop("versions")
-    fresh = rows.select(*NODE_KEY, "_part", F.explode_outer("properties").alias("k", "v")).withColumn("at", F.lit(batch_id).cast("long"))
+    fresh = rows.select(*NODE_KEY, "_part", F.explode_outer("properties").alias("k", "v")).withColumn("at", F.lit(number).cast("long"))
     each = known.unionByName(fresh)
     each = each.withColumn("k", F.when(F.col("v").isNotNull(), F.col("k")))
     last = each.groupBy(*NODE_KEY, "_part", "k").agg(F.max(F.struct("at", "v")).alias("_l"))

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.graph import merge_graph
 from ..operators.relations import validate_messages
+from .graph_store import merge_into, read_graph
 
 DLQ_TTL = 604_800
 
@@ -181,30 +181,35 @@ def latest(versions: DataFrame, key: Sequence[str] = ("id",), version: str = "ve
     return versions.groupBy(*key).agg(F.max_by(F.struct(*rest), version).alias("_v")).select(*key, "_v.*")
 
 
-def ingest_stream(raw: DataFrame, target: str, checkpoint: str, now: Column, late: str = "1 day", once: bool = True) -> StreamingQuery:
-    """``ingest`` on each batch of ``url, fetched_at`` (a timestamp) ``, payload``: nodes, edges and dead letters under ``target``, one folder a batch.
+def ingest_stream(raw: DataFrame, target: str, checkpoint: str, now: Column, late: str = "1 day", once: bool = True, **enrichment) -> StreamingQuery:
+    """``ingest`` on each batch of ``url, fetched_at`` (a timestamp) ``, payload``, merged into the graph under ``target``/graph.
 
     A payload seen within ``late`` of event time is passed over, as is one that comes later than
-    that.  A batch that runs again
-    replaces its own folders; ``graph_tables`` reads the merged graph.
+    that.  Relations may end in nodes of earlier batches.  Dead letters and the account of each
+    batch are added under ``target``, one folder a batch.  A batch that runs again replaces
+    those folders and finds itself in the graph.  ``read_graph`` of ``graph_store`` reads it.
     """
+    from ..operators.ingest import ingest
+
     fresh = stream_first(raw.withColumn("_h", F.sha2(F.coalesce("payload", F.lit("")), 256)), ["_h"], "fetched_at", late).drop("_h")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        from ..operators.ingest import ingest
-
         kept = batch.persist()
         try:
-            for name, part in ingest(kept, now)._asdict().items():
+            out = ingest(kept, now, known=read_graph(batch.sparkSession, f"{target}/graph")[0], **enrichment)
+            for name, part in (("dead", out.dead), ("account", out.account)):
                 part.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{target}/{name}")
+            merge_into(f"{target}/graph", out.nodes, out.edges, batch_id, source=checkpoint)
         finally:
             kept.unpersist()
 
     return micro_batch(fresh, sink, checkpoint, once=once)
 
 
-def graph_tables(spark: SparkSession, target: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes with their properties merged over batches (of a property set twice the later batch holds), and edges, each once."""
-    nodes = spark.read.parquet(f"{target}/nodes").withColumnRenamed("batch_id", "version")
-    merged = merge_graph(nodes.filter("false"), nodes)
-    return merged, spark.read.parquet(f"{target}/edges").drop("batch_id").distinct()
+def merge_stream(changes: DataFrame, folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """A stream of changesets (``nodes`` and ``edges``, arrays of structs) merged into the graph under ``folder`` batch by batch."""
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        merge_into(folder, batch.select(F.inline("nodes")), batch.select(F.inline("edges")), batch_id, source=checkpoint)
+
+    return micro_batch(changes, sink, checkpoint, once=once)

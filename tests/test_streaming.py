@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+import json
 import os
 import random
 import tempfile
@@ -12,10 +13,11 @@ import pytest
 from pyspark.sql import functions as F
 from sentryloom.operators import windows as W
 from sentryloom.operators.ingest import ingest
-from sentryloom.operators.relations import dedupe_first
-from sentryloom.plans.q_ingest import _payloads
+from sentryloom.operators.relations import dangling_edges, dedupe_first
+from sentryloom.plans.q_ingest import _networks, _payloads
 from sentryloom.sources.parsers import export_link_health, import_link_health, read_topic
 from sentryloom.sources.stand_ins import frame
+from sentryloom.streaming import graph_store as G
 from sentryloom.streaming import streams as S
 
 SF = "/root/testdata/sf0.001"
@@ -162,14 +164,59 @@ def test_topics_and_link_health_files(spark):
 
 
 def test_ingest_stream_gives_the_graph_of_the_batch(spark):
-    """Three files one after another, copies of payloads among them: the merged tables equal one batch over all."""
+    """Three files one after another, copies of payloads among them: the merged graph equals one batch over all, and every batch's account closes."""
     raw = _payloads(spark, SF).withColumn("fetched_at", F.to_timestamp("fetched_at")).withColumn("event_id", F.col("doc_id")).drop("doc_id")
     now = F.lit("2024-02-01T00:00:00+00:00")
-    target = tempfile.mkdtemp(prefix="ingest-")
-    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(landed(raw))
-    S.ingest_stream(stream, target, tempfile.mkdtemp(prefix="check-"), now, "30 days").awaitTermination(240)
-    nodes, edges = S.graph_tables(spark, target)
-    want = ingest(raw, now)
-    assert {(r.id, r.label) for r in nodes.collect()} >= {(r.id, r.label) for r in want.nodes.filter("label NOT IN ('MispEvent')").collect()}
-    assert {tuple(r) for r in edges.filter("type = 'MENTIONS'").collect()} == {tuple(r) for r in want.edges.filter("type = 'MENTIONS'").collect()}
-    assert spark.read.parquet(f"{target}/dead").select("dlq_id").distinct().count() == want.dead.count() > 0
+    target, geo = tempfile.mkdtemp(prefix="ingest-"), _networks(spark, SF)
+    path = landed(raw)
+    stream = lambda: spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    checkpoint = tempfile.mkdtemp(prefix="check-")
+    for _ in range(2):  # the second run has nothing to do
+        S.ingest_stream(stream(), target, checkpoint, now, "30 days", geo=geo).awaitTermination(240)
+        nodes, edges = G.read_graph(spark, f"{target}/graph")
+        want = ingest(raw, now, geo=geo)
+        kept = "label NOT IN ('MispEvent')"
+        assert {(r.id, r.label) for r in nodes.filter(kept).collect()} == {(r.id, r.label) for r in want.nodes.filter(kept).collect()}
+        for kind in ("MENTIONS", "LOCATED_IN"):
+            assert {tuple(r) for r in edges.filter(F.col("type") == kind).collect()} == {tuple(r) for r in want.edges.filter(F.col("type") == kind).collect()}
+        account = spark.read.parquet(f"{target}/account").groupBy("batch_id", "level", "kind").agg(F.sum(F.when(F.col("destination") == "in", F.col("n")).otherwise(-F.col("n"))).alias("left")).collect()
+        assert account and all(r.left == 0 for r in account)
+    uses = edges.filter("type = 'USES'")
+    assert uses.count() > 0 and not dangling_edges(nodes, edges).count()
+
+
+def test_ingest_accounts_for_everything_and_enriches(spark):
+    """Payloads of every fate: null, broken, of no kind, empty, sent twice; items invalid or without an end; hashes, places, details and summaries."""
+    feed = lambda *items: json.dumps({"feed_info": {"type": "RSS"}, "items": list(items)})
+    long = "see " + "word " * 100
+    md5, sha1 = "d" * 32, "e" * 40
+    payloads = [None, None, "{bad", '{"a":1}', feed(), feed({"link": "https://a.example.com/1", "title": "t", "content": f"{md5} {sha1} 10.0.0.1 {long}"}, None), '{"indicators":[]}',
+                '{"indicators":[{"value":"10.0.0.2","type":"ip"},{"value":"nope","type":"ip"},null]}',
+                json.dumps({"type": "bundle", "objects": [{"id": "malware--12345678", "type": "malware", "name": "m"}, {"id": "", "type": "tool"}, {"id": "relationship--1", "type": "relationship", "relationship_type": "uses", "source_ref": "malware--12345678", "target_ref": "tool--old"}, {"id": "relationship--2", "type": "relationship", "relationship_type": "uses", "source_ref": "malware--12345678", "target_ref": "tool--none"}]})]
+    raw = spark.createDataFrame([(f"https://x/{i}", "2024-01-01", p) for i, p in enumerate(payloads)] * 2, "url string, fetched_at string, payload string")
+    known = spark.createDataFrame([("tool:old", "Tool", {"stix_id": "tool--old"})], "id string, label string, properties map<string,string>")
+    geo = spark.createDataFrame([(0x0A000000, 0x0A0000FF, "Z")], "low long, high long, country string")
+    details = spark.createDataFrame([("10.0.0.2", {"owner": "o", "type": "not this"})], "value string, details map<string,string>")
+    out = ingest(raw, F.lit("2024-02-01T00:00:00+00:00"), geo, details, lambda s: s.str.len().astype(str), known)
+    account = {}
+    for r in out.account.collect():
+        account.setdefault((r.level, r.kind), {})[r.destination] = r.n
+    assert all(a["in"] == sum(n for d, n in a.items() if d != "in") for a in account.values())
+    assert sum(a["in"] for (level, _), a in account.items() if level == "payload") == 2 * len(payloads)
+    assert account["item", "misp_feed"] == {"in": 3, "graph": 1, "dead": 2} and account["item", "rss_feed"] == {"in": 2, "graph": 1, "dead": 1} and account["item", "stix_bundle"] == {"in": 4, "graph": 2, "dead": 2}
+    nodes = {r.id: r for r in out.nodes.collect()}
+    values = {r.properties.get("value") for r in nodes.values()}
+    assert {md5, sha1, "10.0.0.1", "10.0.0.2"} <= values and [r.properties["owner"] for r in nodes.values() if r.properties.get("value") == "10.0.0.2"] == ["o"]
+    assert [r.properties["summary"] for r in nodes.values() if r.label == "Article"] == [str(len(f"t\n{md5} {sha1} 10.0.0.1 {long}".strip()) + 1)]
+    edges = {tuple(r) for r in out.edges.collect()}
+    assert ("malware:m:12345678", "tool:old", "USES") in edges and sum(e[2] == "LOCATED_IN" for e in edges) == 2 and sum(e[2] == "USES" for e in edges) == 1
+    assert sorted(r.error.message for r in out.dead.collect()) == sorted(["not JSON", "not JSON", "kind unknown", "no items", "no items", "no item", "invalid indicator", "invalid indicator", "no id or type", "end of relation not known"])
+
+
+def test_merge_stream(spark):
+    schema = "nodes array<struct<id:string,label:string,properties:map<string,string>>>, edges array<struct<source_id:string,target_id:string,type:string>>"
+    rows = [([(f"n{i % 3}", "A", {"x": str(i)})], [("n0", f"n{i % 3}", "T")]) for i in range(6)]
+    folder = tempfile.mkdtemp(prefix="merge-")
+    S.merge_stream(in_files(spark, rows, schema, (2, 2, 2)), folder, tempfile.mkdtemp(prefix="check-")).awaitTermination(200)
+    nodes, edges = G.read_graph(spark, folder)
+    assert {r.id: r.properties["x"] for r in nodes.collect()} == {"n0": "3", "n1": "4", "n2": "5"} and edges.count() == 3
