@@ -7,38 +7,57 @@ from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+
+def _with(batch: pa.RecordBatch, columns: Sequence[Sequence], fields: Sequence[T.StructField]) -> pa.RecordBatch:
+    """The batch as it is, with new columns."""
+    new = [pa.array(x, to_arrow_type(f.dataType), from_pandas=True) for x, f in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *[f.name for f in fields]])
+
+
+def _frame(batch: pa.RecordBatch) -> pd.DataFrame:
+    """The batch for pandas, with its nullable integer types: whole numbers beside a null stay whole numbers."""
+    return batch.to_pandas(types_mapper={pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.int16(): pd.Int16Dtype(), pa.int8(): pd.Int8Dtype()}.get)
 
 
 def map_messages(df: DataFrame, fn: Callable[[dict], object], result: str = "string") -> DataFrame:
-    """``fn`` on each message, with ``result``, ``ok``, ``error`` and ``seconds``; an exception fails its row only."""
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(f"result {result}, ok boolean, error string, seconds double").fields])
+    """``fn`` on each message (a dict of Python values), with ``result``, ``ok``, ``error`` and ``seconds``; an exception fails its row only.
+
+    The message's own columns pass unchanged.
+    """
+    fields = T.StructType.fromDDL(f"result {result}, ok boolean, error string, seconds double").fields
+
+    kind = to_arrow_type(fields[0].dataType)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for row in batch.to_dict("records"):
+            for row in batch.to_pylist():
                 began = time.perf_counter()
                 try:
-                    out.append((fn(row), True, None, time.perf_counter() - began))
+                    said = pa.scalar(fn(row), kind, from_pandas=True).as_py()  # a value of another type fails its row as well
+                    out.append((said, True, None, time.perf_counter() - began))
                 except Exception as e:  # noqa: BLE001  the row carries it
                     out.append((None, False, f"{type(e).__name__}: {e}", time.perf_counter() - began))
-            yield batch.assign(**{c: [x[i] for x in out] for i, c in enumerate(("result", "ok", "error", "seconds"))})
+            yield _with(batch, [[x[i] for x in out] for i in range(4)], fields)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 
 
 def map_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.Series], name: str, kind: str) -> DataFrame:
-    """``fn`` on each batch of rows, giving one value a row."""
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string(f"{name} {kind}").fields])
+    """``fn`` on each batch of rows, giving one value a row; the rows' own columns pass unchanged."""
+    fields = T.StructType.fromDDL(f"{name} {kind}").fields
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.assign(**{name: fn(batch)})
+            yield _with(batch, [fn(_frame(batch))], fields)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 
 
 def enrich_with(df: DataFrame, text: str, model: Callable[[pd.Series], pd.Series], when: Column, cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -68,13 +87,14 @@ def fallback_calls(df: DataFrame, *steps: tuple[str, Callable[[pd.DataFrame], pd
 
     A provider that raises has no answer for that batch, and the next one is asked.
     """
-    schema = T.StructType([*df.schema.fields, *T._parse_datatype_string("answer string, answered_by string").fields])
+    fields = T.StructType.fromDDL("answer string, answered_by string").fields
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            answer, source = (pd.Series([None] * len(batch), batch.index, object) for _ in range(2))
+            frame = _frame(batch)
+            answer, source = (pd.Series([None] * len(frame), frame.index, object) for _ in range(2))
             for name, ask in steps:
-                rows = batch[answer.isna()]
+                rows = frame[answer.isna()]
                 if not len(rows):
                     break
                 try:
@@ -82,9 +102,9 @@ def fallback_calls(df: DataFrame, *steps: tuple[str, Callable[[pd.DataFrame], pd
                 except Exception:  # noqa: BLE001, S112  the next provider is asked
                     continue
                 answer[got.index], source[got.index] = got.astype(object), name
-            yield batch.assign(answer=answer, answered_by=source)
+            yield _with(batch, [answer, source], fields)
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 
 
 def register_entities(spark: SparkSession, name: str = "explode_entities") -> None:

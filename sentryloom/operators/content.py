@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..tables import SMALL, small
 
@@ -152,56 +153,57 @@ def top_indicators(df: DataFrame, key: str, k: int = 3) -> DataFrame:
     return each.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "category"))).filter(F.col("rank") <= k)
 
 
-def _tagged(values: Column, kind: str, confidence: float) -> Column:
-    return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"), F.lit(confidence).alias("confidence")))
+def ascii_bounds(pattern: str) -> str:
+    r"""The pattern with ``\b`` between ASCII word characters and others only, whatever the regex engine takes for a word character."""
+    word = "[A-Za-z0-9_]"
+    return pattern.replace(r"\b", f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))")
 
 
-def extract_entities(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES)) -> DataFrame:
-    """One row for each match: ``kind, value, confidence`` (hashes in lower, CVE ids in upper case)."""
+def _matches(text: str, kinds: Sequence[str], spans: bool, around: int = 0) -> Column:
+    """An array of ``kind, value, confidence`` for all matches, and positions where asked: sums of the lengths of matches and of what is between them."""
     found = []
     for kind in kinds:
         pattern, confidence = ENTITIES[kind]
-        values = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-        if kind in ("md5", "sha1", "sha256"):
-            values = F.transform(values, F.lower)
-        if kind == "cve":
-            values = F.transform(values, F.upper)
-        found.append(_tagged(values, kind, confidence))
-    return df.withColumn("_e", F.explode(F.flatten(F.array(*found)))).select(*df.columns, "_e.*")
+        pattern = F.lit(ascii_bounds(pattern))
+        case = F.lower if kind in ("md5", "sha1", "sha256") else F.upper if kind == "cve" else lambda v: v
+        row = lambda v, *more: F.struct(F.lit(kind).alias("kind"), case(v).alias("value"), F.lit(confidence).alias("confidence"), *more)  # noqa: B023, E731
+        values = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
+        if not spans:
+            found.append(F.transform(values, lambda v: row(v)))  # noqa: B023, PLW0108
+            continue
+        both = F.arrays_zip(values.alias("v"), F.slice(F.split(F.col(text), pattern, -1), 1, F.size(values)).alias("gap"))
+        start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<v:string,a:int>>)").alias("out"))
+        placed = F.aggregate(both, start, lambda s, x: F.struct((s["at"] + F.length(x["gap"]) + F.length(x["v"])).alias("at"), F.concat(s["out"], F.array(F.struct(x["v"].alias("v"), (s["at"] + F.length(x["gap"])).alias("a")))).alias("out")), lambda s: s["out"])
+        low = lambda x: F.greatest(x["a"] - around, F.lit(0))
+        found.append(F.transform(placed, lambda x: row(x["v"], x["a"].alias("char_start"), (x["a"] + F.length(x["v"])).alias("char_end"), F.substring(F.col(text), low(x) + 1, x["a"] + F.length(x["v"]) + around - low(x)).alias("context"))))  # noqa: B023
+    return F.flatten(F.array(*found))
+
+
+def extract_entities(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES)) -> DataFrame:
+    """One row for each match: ``kind, value, confidence`` (hashes in lower, CVE ids in upper case)."""
+    return df.withColumn("_e", F.explode(_matches(text, kinds, False))).select(*df.columns, "_e.*")
 
 
 def entity_spans(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES), around: int = 20) -> DataFrame:
     """The rows of ``extract_entities`` with ``char_start``, ``char_end`` (after the last character) and ``context``, the characters around.
 
-    Positions count characters from 0.  One linear pass in Arrow batches, as built-in functions
-    give no positions of all matches.  Null text gives no rows.
+    Positions count characters from 0 and follow from the same matches, so the rows are the
+    same on any text.  Null text gives no rows.
     """
-    compiled = [(k, re.compile(ENTITIES[k][0], re.ASCII), ENTITIES[k][1]) for k in kinds]
-    case = {"md5": str.lower, "sha1": str.lower, "sha256": str.lower, "cve": str.upper}
-
-    @F.pandas_udf("array<struct<kind string, value string, confidence double, char_start int, char_end int, context string>>")
-    def spans(texts: pd.Series) -> pd.Series:
-        def of(t: str | None) -> list[dict]:
-            return [
-                {"kind": k, "value": case.get(k, str)(m.group()), "confidence": c, "char_start": m.start(), "char_end": m.end(), "context": t[max(0, m.start() - around) : m.end() + around]}
-                for k, p, c in compiled
-                for m in p.finditer(t or "")
-            ]
-
-        return texts.map(of)
-
-    return df.withColumn("_e", F.explode(spans(F.col(text)))).select(*df.columns, "_e.*")
+    return df.withColumn("_e", F.explode(_matches(text, kinds, True, around))).select(*df.columns, "_e.*")
 
 
 class _Sections(HTMLParser):
-    """Headings, paragraphs, list items and quotes of a page in order, with its title."""
+    """Headings, paragraphs, list items and quotes of a page in order, with its title; menus (``nav``) have none."""
+
+    MENUS = ("nav",)
 
     KINDS = {**{f"h{i}": ("headline", i) for i in range(1, 7)}, "p": ("paragraph", 0), "li": ("list", 0), "blockquote": ("quote", 0)}
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[tuple[str, int, str, bool]] = []
-        self.title, self.open, self.skip, self.article, self.text = "", None, 0, 0, []
+        self.title, self.open, self.skip, self.article, self.menu, self.text = "", None, 0, 0, 0, []
 
     def close_block(self) -> None:
         if self.open:
@@ -213,8 +215,13 @@ class _Sections(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ("script", "style"):
             self.skip += 1
+        elif tag in self.MENUS:
+            self.close_block()
+            self.menu += 1
         elif tag == "article":
             self.article += 1
+        elif self.menu:
+            return
         elif tag == "title":
             self.close_block()
             self.open = ("title", 0)
@@ -225,6 +232,8 @@ class _Sections(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in ("script", "style"):
             self.skip = max(0, self.skip - 1)
+        elif tag in self.MENUS:
+            self.menu = max(0, self.menu - 1)
         elif tag == "title" and self.open == ("title", 0):
             self.title, self.open, self.text = " ".join("".join(self.text).split()), None, []
         elif tag in self.KINDS and self.open == self.KINDS[tag]:
@@ -241,18 +250,22 @@ class _Sections(HTMLParser):
 def parse_pages(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Section rows of pages in one pass: ``position, kind, level, content, in_article`` and the page's ``title``."""
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = [key, "title", "position", "kind", "level", "content", "in_article"]
+    kinds = (pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.bool_())
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for page, text in zip(batch[key], batch[html], strict=True):
+            at, out = [], []
+            for page, text in enumerate(batch.column(1).to_pylist()):
                 parser = _Sections()
                 parser.feed(text or "")
                 parser.close()
                 parser.close_block()
-                out += [(page, parser.title, i, *row) for i, row in enumerate(parser.rows)]
-            yield pd.DataFrame(out, columns=[key, "title", "position", "kind", "level", "content", "in_article"])
+                at += [page] * len(parser.rows)
+                out += [(parser.title, i, *row) for i, row in enumerate(parser.rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *[pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]], names=names)
 
-    return df.select(key, html).mapInPandas(parse, f"{key} {df.schema[key].dataType.simpleString()}, title string, position int, kind string, level int, content string, in_article boolean")
+    return df.select(key, html).mapInArrow(parse, T.StructType([T.StructField(key, df.schema[key].dataType), *T.StructType.fromDDL("title string, position int, kind string, level int, content string, in_article boolean").fields]))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -309,15 +322,27 @@ def page_links(df: DataFrame, html: str = "html", base: str = "url") -> DataFram
 
 
 def article_text(df: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Paragraph text inside the article, with a confidence from its length, its paragraphs and the article tag."""
-    inner = F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1)
-    tagged = F.length(inner) > 0
-    body = F.when(tagged, inner).otherwise(F.col(html))
-    paras = F.filter(F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<p[^>]*>(.*?)</p>"), F.lit(1)), lambda p: F.trim(F.regexp_replace(F.regexp_replace(p, "<[^>]+>", " "), r"[ \t\n\r\f\x0B]+", " "))), lambda p: F.length(p) > 0)
-    out = df.select(key, paras.alias("_p"), tagged.alias("_t")).withColumn("text", F.array_join("_p", "\n\n"))
-    n, words = F.size("_p"), word_count(F.col("text"))
-    score = 0.5 - F.when(words < 50, 0.2).otherwise(0.0) - F.when(n < 3, 0.1).otherwise(0.0) - F.when(words / F.greatest(n, F.lit(1)) < 10, 0.1).otherwise(0.0) + F.when(F.col("_t"), 0.2).otherwise(0.0)
-    return out.select(key, "text", n.alias("paragraphs"), words.alias("words"), F.greatest(F.lit(0.1), F.least(F.lit(0.9), score)).alias("confidence"))
+    """The main text of a page: ``text, paragraphs, words, confidence`` and the ``method`` that gave it.
+
+    Paragraphs are looked for in the first ``article``, in the first ``main`` and in the whole
+    page; each attempt has a confidence from its length, its paragraphs and the article tag, and
+    the best one (of equals the first) stays.  Where no attempt finds a paragraph the text is all
+    of the page without scripts and styles (method ``all``, confidence 0.1).
+    """
+    inside = lambda tag: F.regexp_extract(F.coalesce(html, F.lit("")), rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>", 1)
+    blank = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"[ \t\n\r\f\x0B]+", " "))
+    out = df.select(key, F.coalesce(html, F.lit("")).alias("_h"), inside("article").alias("_article"), inside("main").alias("_main"))
+    attempts = []
+    for rank, (method, body, bonus) in enumerate((("article", F.col("_article"), 0.2), ("main", F.col("_main"), 0.0), ("page", F.col("_h"), 0.0))):
+        paras = F.filter(F.transform(F.regexp_extract_all(body, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1)), blank), lambda p: F.length(p) > 0)
+        out = out.withColumn(f"_p{rank}", paras).withColumn(f"_t{rank}", F.array_join(f"_p{rank}", "\n\n"))
+        n, words = F.size(f"_p{rank}"), word_count(F.col(f"_t{rank}"))
+        score = 0.5 - F.when(words < 50, 0.2).otherwise(0.0) - F.when(n < 3, 0.1).otherwise(0.0) - F.when(words / F.greatest(n, F.lit(1)) < 10, 0.1).otherwise(0.0) + bonus
+        attempts.append(F.when(n > 0, F.struct(F.round(F.greatest(F.lit(0.1), F.least(F.lit(0.9), score)), 6).alias("confidence"), F.lit(-rank).alias("rank"), F.lit(method).alias("method"), F.col(f"_t{rank}").alias("text"), n.alias("paragraphs"), words.alias("words"))))
+    everything = blank(F.regexp_replace("_h", r"(?is)<(script|style)(?:\s[^>]*)?>.*?</(script|style)>", " "))
+    last = F.struct(F.lit(0.1).alias("confidence"), F.lit(-9).alias("rank"), F.lit("all").alias("method"), everything.alias("text"), F.lit(0).alias("paragraphs"), word_count(everything).alias("words"))
+    best = F.coalesce(F.array_max(F.array_compact(F.array(*attempts))), last)
+    return out.select(key, best.alias("_b")).select(key, "_b.text", "_b.paragraphs", "_b.words", "_b.confidence", "_b.method")
 
 
 def page_outline(sections: DataFrame, key: str = "page_id") -> DataFrame:

@@ -94,17 +94,15 @@ def top_indicators(spark, d):
 ENT = ", x AS (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, unnest(regexp_extract_all(text, '{p.replace(chr(39), chr(39) * 2)}')) AS value FROM articles" for k, (p, _) in C.ENTITIES.items()) + "), y AS (SELECT doc_id, kind, CASE WHEN kind IN ('md5', 'sha1', 'sha256') THEN lower(value) WHEN kind = 'cve' THEN upper(value) ELSE value END AS value FROM x)"
 
 
-@query(ART.replace("coalesce(text, '')) AS text", "regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', ' ', 'g')) AS text") + ENT + " SELECT kind, value, count(*) AS n FROM y GROUP BY 1, 2")
+@query(ART + ENT + " SELECT kind, value, count(*) AS n FROM y GROUP BY 1, 2")
 def extract_entities(spark, d):
-    rows = frame(spark, d, "articles").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", " "))
-    return C.extract_entities(rows, "text").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    return C.extract_entities(frame(spark, d, "articles"), "text").groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(ART.replace("coalesce(text, '')) AS text", "regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', ' ', 'g')) AS text") + ENT + """, v AS (SELECT DISTINCT a.source, kind, value FROM y JOIN articles a USING (doc_id) WHERE kind IN ('ipv4', 'email', 'cve') AND (kind <> 'ipv4' OR regexp_matches(value, '^(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$')))
+@query(ART + ENT + """, v AS (SELECT DISTINCT a.source, kind, value FROM y JOIN articles a USING (doc_id) WHERE kind IN ('ipv4', 'email', 'cve') AND (kind <> 'ipv4' OR regexp_matches(value, '^(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(\\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$')))
 SELECT source, kind, count(*) AS indicators FROM v GROUP BY 1, 2""")
 def flagship_indicators(spark, d):
-    rows = frame(spark, d, "articles").withColumn("text", F.regexp_replace("text", r"[^\x00-\x7F]", " "))
-    found = C.extract_entities(rows, "text", ("ipv4", "email", "cve")).filter(X.is_valid_indicator(F.col("value"), F.col("kind")))
+    found = C.extract_entities(frame(spark, d, "articles"), "text", ("ipv4", "email", "cve")).filter(X.is_valid_indicator(F.col("value"), F.col("kind")))
     return found.select("source", "kind", "value").distinct().groupBy("source", "kind").agg(F.count(F.lit(1)).alias("indicators"))
 
 
@@ -118,16 +116,19 @@ def entity_spans(spark, d):
     return C.entity_spans(frame(spark, d, "articles"), "text").select("doc_id", "kind", "value", "char_start", "char_end", "context")
 
 
-P_SQL = r"""WITH b AS (SELECT page_id, regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1) AS inn, html FROM pages),
-p AS (SELECT page_id, inn <> '' AS t, list_filter(list_transform(regexp_extract_all(CASE WHEN inn <> '' THEN inn ELSE html END, '(?is)<p[^>]*>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g'))), lambda x: length(x) > 0) AS ps FROM b),
-w AS (SELECT *, array_to_string(ps, chr(10) || chr(10)) AS text, len(regexp_extract_all(array_to_string(ps, chr(10) || chr(10)), '\S+')) AS words FROM p)
-SELECT page_id, md5(text) AS text_md5, len(ps)::INT AS paragraphs, words::INT AS words, round(greatest(0.1, least(0.9, 0.5 - CASE WHEN words < 50 THEN 0.2 ELSE 0 END - CASE WHEN len(ps) < 3 THEN 0.1 ELSE 0 END - CASE WHEN words / greatest(len(ps), 1) < 10 THEN 0.1 ELSE 0 END + CASE WHEN t THEN 0.2 ELSE 0 END))::DOUBLE, 6) AS confidence FROM w"""
+P_SQL = r"""WITH b AS (SELECT page_id, unnest([{'rank': 0, 'method': 'article', 'body': regexp_extract(html, '(?is)<article(?:\s[^>]*)?>(.*?)</article>', 1)}, {'rank': 1, 'method': 'main', 'body': regexp_extract(html, '(?is)<main(?:\s[^>]*)?>(.*?)</main>', 1)}, {'rank': 2, 'method': 'page', 'body': html}]) AS x FROM pages),
+p AS (SELECT page_id, x.rank AS rank, x.method AS method, list_filter(list_transform(regexp_extract_all(x.body, '(?is)<p(?:\s[^>]*)?>(.*?)</p>', 1), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g'))), lambda x: length(x) > 0) AS ps FROM b),
+w AS (SELECT *, array_to_string(ps, chr(10) || chr(10)) AS text, len(regexp_extract_all(array_to_string(ps, chr(10) || chr(10)), '\S+')) AS words FROM p WHERE len(ps) > 0),
+c AS (SELECT *, round(greatest(0.1, least(0.9, 0.5 - CASE WHEN words < 50 THEN 0.2 ELSE 0 END - CASE WHEN len(ps) < 3 THEN 0.1 ELSE 0 END - CASE WHEN words / greatest(len(ps), 1) < 10 THEN 0.1 ELSE 0 END + CASE WHEN method = 'article' THEN 0.2 ELSE 0 END))::DOUBLE, 6) AS confidence FROM w),
+best AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY confidence DESC, rank) = 1),
+every AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)(?:\s[^>]*)?>.*?</(script|style)>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[ \t\n\r\f\x0B]+', ' ', 'g')) AS text FROM pages)
+SELECT page_id, md5(coalesce(best.text, every.text)) AS text_md5, coalesce(len(ps), 0)::INT AS paragraphs, coalesce(words, len(regexp_extract_all(every.text, '\S+')))::INT AS words, coalesce(confidence, 0.1)::DOUBLE AS confidence, coalesce(method, 'all') AS method FROM every LEFT JOIN best USING (page_id)"""
 
 
 @query(P_SQL)
 def article_text(spark, d):
     out = C.article_text(frame(spark, d, "pages"))
-    return out.select("page_id", F.md5("text").alias("text_md5"), "paragraphs", "words", F.round("confidence", 6).alias("confidence"))
+    return out.select("page_id", F.md5("text").alias("text_md5"), "paragraphs", "words", F.round("confidence", 6).alias("confidence"), "method")
 
 
 @query()
