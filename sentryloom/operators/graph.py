@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..tables import pairs_by_key, written
+from ..tables import pairs_by_key, small, written
 
 # Labels by STIX type and by entity kind.
 STIX_LABELS = {"attack-pattern": "AttackPattern", "campaign": "Campaign", "intrusion-set": "ThreatActor", "threat-actor": "ThreatActor", "malware": "Malware", "vulnerability": "Vulnerability", "tool": "Tool", "identity": "Identity"}
@@ -152,6 +152,58 @@ def graph_priority(known: Column, reputation: Column, unseen: Column, gap: Colum
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score + F.when(age_days <= 1, 0.2).when(age_days <= 7, 0.1).otherwise(0.0)))
 
 
+def _host(url: Column) -> Column:
+    return F.regexp_extract(F.coalesce(url, F.lit("")), "^[^:]+://([^/?#]*)", 1)
+
+
+def domain_reputation(domains: DataFrame, sources: DataFrame, gram: int = 8) -> DataFrame:
+    """``domain, known_sources, reputation``: how many source URLs contain each domain anywhere, and their mean reputation.
+
+    Containment as an equi-join: a domain gives the ``gram`` letters after its first four (fewer
+    where it is shorter, then from the start), a source every stretch of such a length, once;
+    what meets is then compared whole.  Domains without a source and empty ones are left out.
+    """
+    long = F.length("domain") >= gram + 4
+    asked = domains.filter("domain <> ''").distinct()
+    asked = asked.withColumn("_g", F.when(long, F.substring("domain", 5, gram)).otherwise(F.substring("domain", 1, gram))).withColumn("_n", F.length("_g"))
+    sizes = [r[0] for r in asked.select("_n").distinct().collect()]  # at most ``gram`` numbers
+    each = sources.select(F.col("url").alias("_url"), F.col("reputation").alias("_rep"), F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("_n")).filter(F.length("_url") >= F.col("_n"))
+    starts = F.sequence(F.lit(1), F.length("_url") - F.col("_n") + 1)
+    each = each.withColumn("_g", F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col("_url"), i, F.col("_n"))))))
+    met = asked.join(each, ["_g", "_n"]).filter(F.contains("_url", "domain"))
+    return met.groupBy("domain").agg(F.count(F.lit(1)).alias("known_sources"), F.avg("_rep").alias("reputation"))
+
+
+def actor_coverage(actors: DataFrame, mentions: DataFrame) -> DataFrame:
+    """``actor, articles``: mentions of the indicators of each actor (``actor, indicator``) in articles (``article, indicator``), 0 for none."""
+    counted = mentions.groupBy("indicator").agg(F.count(F.lit(1)).alias("_n"))
+    return actors.join(counted, "indicator", "left").groupBy("actor").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("articles"))
+
+
+def graph_priorities(urls: DataFrame, sources: DataFrame, indicators: DataFrame, coverage: DataFrame, now: Column, key: str = "page_id", enough: int = 5) -> DataFrame:
+    """``urls`` with ``known, reputation, unseen, gap, age_days`` from the graph and ``graph_priority``.
+
+    ``urls`` has ``url, published`` (a timestamp or null) and arrays ``indicators`` and ``actors``;
+    ``sources`` (``url, reputation``) are the graph's sources, ``indicators`` its ``value``s,
+    ``coverage`` counts ``articles`` by ``actor``.  Of the first five indicators those that the
+    graph lacks count, repeats as often as they come; of the first three actors those with
+    fewer than ``enough`` articles give .2 of a gap each.  ``key`` names a row; rows without a
+    host are not known; null arrays have nothing; ages are whole days.
+    """
+    urls = urls.withColumn("domain", _host(F.col("url")))
+    known = domain_reputation(urls.select("domain"), sources)
+    have = small(indicators.select(F.col("value").alias("_v")).filter("_v IS NOT NULL").distinct().withColumn("_have", F.lit(1)))
+    first = urls.select(key, F.explode(F.slice("indicators", 1, 5)).alias("_v")).join(have, "_v", "left")
+    unseen = first.groupBy(key).agg(F.sum(F.when(F.col("_have").isNull(), 1).otherwise(0)).alias("unseen"))
+    thin = small(coverage.select(F.col("actor").alias("_a"), F.col("articles").alias("_n")))
+    gaps = urls.select(key, F.explode(F.slice("actors", 1, 3)).alias("_a")).join(thin, "_a", "left")
+    gaps = gaps.groupBy(key).agg((F.sum(F.when(F.coalesce("_n", F.lit(0)) < enough, 1).otherwise(0)) * 0.2).alias("gap"))
+    out = urls.join(small(known), "domain", "left").join(unseen, key, "left").join(gaps, key, "left")
+    days = F.floor((F.unix_micros(now) - F.unix_micros("published")) / 86_400_000_000)
+    out = out.withColumns({"known": F.coalesce(F.col("known_sources") > 0, F.lit(False)), "reputation": F.coalesce("reputation", F.lit(0.0)), "unseen": F.coalesce("unseen", F.lit(0)), "gap": F.coalesce("gap", F.lit(0.0)), "age_days": days}).drop("known_sources", "domain")
+    return out.withColumn("graph_priority", graph_priority(F.col("known"), F.col("reputation"), F.col("unseen"), F.col("gap"), F.col("age_days")))
+
+
 def indicator_cooccurrence(mentions: DataFrame, article: str, indicator: str) -> DataFrame:
     """Pairs of articles a < b with the number of indicators that they share."""
     return pairs_by_key(mentions.select(article, indicator), [indicator], article).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))

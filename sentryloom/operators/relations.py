@@ -59,6 +59,13 @@ def crawl_priority(url: Column, recent: Column, mentions: Column, graph_priority
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), score))
 
 
+def crawl_priorities(urls: DataFrame, mentioned: DataFrame, recent: Column) -> DataFrame:
+    """``urls`` (with ``url, graph_priority``) with ``mention_count``, the rows of ``mentioned`` (``url``) that name it, and ``priority``."""
+    counted = mentioned.groupBy("url").agg(F.count(F.lit(1)).alias("mention_count"))
+    out = urls.join(counted, "url", "left").withColumn("mention_count", F.coalesce("mention_count", F.lit(0)))
+    return out.withColumn("priority", crawl_priority(F.col("url"), F.coalesce(recent, F.lit(False)), F.col("mention_count"), F.col("graph_priority")))
+
+
 def enrich_geo(df: DataFrame, ip: str, geo: DataFrame) -> DataFrame:
     """Rows whose IPv4 lies in a network of ``geo`` (``low, high`` as numbers): an equi-join on the first two octets, then the range."""
     number = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("long"), lambda a, x: a * 256 + x.try_cast("long"))

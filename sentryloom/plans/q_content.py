@@ -395,7 +395,33 @@ def technique_links(spark, d):
     return G.technique_links(nodes, techniques)
 
 
-@query("SELECT page_id, round(greatest(0, least(1, CASE WHEN page_id % 2 = 0 THEN 0.2 + CASE WHEN page_id % 10 > 7 THEN 0.15 ELSE 0 END ELSE 0 END + 0.1 * least(5, page_id % 8) + 0.3 * (page_id % 5) / 5 + CASE WHEN page_id % 20 <= 1 THEN 0.2 WHEN page_id % 20 <= 7 THEN 0.1 ELSE 0 END))::DOUBLE, 6) AS priority FROM pages")
+# Pages with what is known of them: when they were published, indicators and actors that they name.
+KNOWN = """, u AS (SELECT page_id, url, regexp_extract(url, '^[^:]+://([^/?#]*)', 1) AS host, page_id % 20 AS age, list_transform(range(1, 8), lambda j: 'p' || page_id * j % 2000) AS inds, list_transform(range(1, 5), lambda j: 's' || page_id * j % 150) AS acts FROM pages),
+src AS (SELECT url, (page_id % 10 + 0.5) / 10 AS reputation FROM pages WHERE page_id % 4 = 0),
+known AS (SELECT host, count(*) AS n, avg(reputation) AS reputation FROM (SELECT DISTINCT host FROM u WHERE host <> '') JOIN src ON contains(src.url, host) GROUP BY 1),
+unseen AS (SELECT page_id, count(*) AS unseen FROM (SELECT page_id, unnest(inds[1:5]) AS v FROM u) WHERE v NOT IN (SELECT 'p' || p_partkey FROM part WHERE p_partkey % 3 <> 0) GROUP BY 1),
+coverage AS (SELECT 's' || l_suppkey AS actor, sum(n) AS articles FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN (SELECT indicator, count(*) AS n FROM mentions WHERE indicator % 50 = 0 GROUP BY 1) ON indicator = l_partkey GROUP BY 1),
+gaps AS (SELECT page_id, 0.2 * count(*) AS gap FROM (SELECT page_id, unnest(acts[1:3]) AS a FROM u) LEFT JOIN coverage ON actor = a WHERE coalesce(articles, 0) < 5 GROUP BY 1),
+g AS (SELECT u.*, n > 0 AS known, coalesce(reputation, 0) AS reputation, coalesce(unseen, 0) AS unseen, coalesce(gap, 0) AS gap,
+  greatest(0, least(1, CASE WHEN n > 0 THEN 0.2 + CASE WHEN reputation > 0.7 THEN 0.15 ELSE 0 END ELSE 0 END + 0.1 * coalesce(unseen, 0) + 0.3 * coalesce(gap, 0) + CASE WHEN age <= 1 THEN 0.2 WHEN age <= 7 THEN 0.1 ELSE 0 END)) AS points
+  FROM u LEFT JOIN known USING (host) LEFT JOIN unseen USING (page_id) LEFT JOIN gaps USING (page_id))"""
+
+
+def known_pages(spark, d):
+    """Pages with the graph's signals: sources, parts as indicators, suppliers as actors."""
+    pages = frame(spark, d, "pages")
+    i, now = F.col("page_id"), F.lit("2024-02-01T12:00:00").cast("timestamp")
+    names = lambda kind, n, among: F.transform(F.sequence(F.lit(1), F.lit(n)), lambda j: F.concat(F.lit(kind), i * j % among))
+    urls = pages.select("page_id", "url", (now - F.make_dt_interval((i % 20).cast("int"))).alias("published"), names("p", 7, 2000).alias("indicators"), names("s", 4, 150).alias("actors"))
+    sources = pages.filter(i % 4 == 0).select("url", ((i % 10 + 0.5) / 10).alias("reputation"))
+    indicators = frame(spark, d, "part").filter("p_partkey % 3 <> 0").select(F.concat(F.lit("p"), "p_partkey").alias("value"))
+    actors = frame(spark, d, "lineitem").select(F.concat(F.lit("s"), "l_suppkey").alias("actor"), F.col("l_partkey").alias("indicator")).distinct()
+    coverage = G.actor_coverage(actors, frame(spark, d, "mentions").filter("indicator % 50 = 0"))
+    return G.graph_priorities(urls, sources, indicators, coverage, now)
+
+
+@query(sql_with("mentions") + KNOWN + " SELECT page_id, coalesce(known, false) AS known, round(reputation::DOUBLE, 6) AS reputation, unseen, round(gap::DOUBLE, 6) AS gap, round(points::DOUBLE, 6) AS priority FROM g")
 def graph_priority(spark, d):
-    i = F.col("page_id")
-    return frame(spark, d, "pages").select("page_id", F.round(G.graph_priority(i % 2 == 0, (i % 10) / 10, i % 8, (i % 5) / 5, i % 20), 6).alias("priority"))
+    out = known_pages(spark, d)
+    return out.select("page_id", "known", F.round("reputation", 6).alias("reputation"), F.col("unseen").cast("long").alias("unseen"), F.round("gap", 6).alias("gap"), F.round("graph_priority", 6).alias("priority"))
+

@@ -10,6 +10,7 @@ from ..operators import relations as R
 from ..operators import similarity as S
 from ..operators import windows as W
 from ..sources.stand_ins import frame, sql_with
+from .q_content import KNOWN, known_pages
 from .q_scalar import IND, VALID
 from .q_windows import HEALTH, RECENT, RECURSE, RUN, STATUS
 
@@ -268,14 +269,18 @@ def content_exists(spark, d):
     return R.content_exists(p.select("page_id", "url"), nodes).select("page_id")
 
 
-PRI = "0.5 + CASE WHEN regexp_matches(lower(regexp_extract(url, '^[^:]+://([^/?#]*)', 1)), 'security|threat|cert|cisa|mitre|nist') THEN 0.2 ELSE 0 END + CASE WHEN regexp_matches(lower(url), 'vulnerability|cve|advisory|threat|malware|ioc') THEN 0.15 ELSE 0 END + CASE WHEN page_id % 2 = 0 THEN 0.15 ELSE 0 END + CASE WHEN page_id % 4 > 1 THEN least(0.2, page_id % 4 * 0.1) ELSE 0 END + 0.2 * (page_id % 3) / 2"
+# A page that an event of its own number names is mentioned; the newest are recent intelligence.
+CRAWLED = sql_with("mentions") + KNOWN + """, m AS (SELECT url, count(*) AS mention_count FROM pages JOIN (SELECT user_id % 300 AS page_id FROM events WHERE event_type = 'click') USING (page_id) GROUP BY 1),
+c AS (SELECT page_id, mention_count, 0.5 + CASE WHEN regexp_matches(lower(host), 'security|threat|cert|cisa|mitre|nist') THEN 0.2 ELSE 0 END + CASE WHEN regexp_matches(lower(url), 'vulnerability|cve|advisory|threat|malware|ioc') THEN 0.15 ELSE 0 END
+  + CASE WHEN age <= 3 THEN 0.15 ELSE 0 END + CASE WHEN mention_count > 1 THEN least(0.2, mention_count * 0.1) ELSE 0 END + 0.2 * points AS p FROM g LEFT JOIN m USING (url))"""
 
 
-@query(f"WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN concat('https://cert.example.org/advisory/', page_id) ELSE url END AS url FROM pages) SELECT page_id, round(greatest(0, least(1, {PRI}))::DOUBLE, 6) AS priority FROM p")
+@query(CRAWLED + " SELECT page_id, coalesce(mention_count, 0) AS mentions, round(greatest(0, least(1, p))::DOUBLE, 6) AS priority FROM c")
 def crawl_priority(spark, d):
-    i = F.col("page_id")
-    url = F.when(i % 3 == 0, F.concat(F.lit("https://cert.example.org/advisory/"), i)).otherwise(F.col("url"))
-    return frame(spark, d, "pages").select("page_id", F.round(R.crawl_priority(url, i % 2 == 0, i % 4, (i % 3) / 2), 6).alias("priority"))
+    named = frame(spark, d, "events").filter("event_type = 'click'").select((F.col("user_id") % 300).alias("page_id"))
+    mentioned = frame(spark, d, "pages").select("page_id", "url").join(named, "page_id").select("url")
+    out = R.crawl_priorities(known_pages(spark, d), mentioned, F.col("age_days") <= 3)
+    return out.select("page_id", F.col("mention_count").alias("mentions"), F.round("priority", 6).alias("priority"))
 
 
 @query(sql_with("indicators") + """, i AS (SELECT event_id, string_split(value, '.') AS o FROM indicators WHERE type = 'ip' AND event_id % 270 < 256 AND regexp_matches(value, '^10\\.(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\\.')),
