@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -153,44 +155,50 @@ def top_indicators(df: DataFrame, key: str, k: int = 3) -> DataFrame:
     return each.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("score"), "category"))).filter(F.col("rank") <= k)
 
 
-def ascii_bounds(pattern: str) -> str:
-    r"""The pattern with ``\b`` between ASCII word characters and others only, whatever the regex engine takes for a word character."""
-    word = "[A-Za-z0-9_]"
-    return pattern.replace(r"\b", f"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))")
+def entity_text(text: Column, kind: str) -> Column:
+    r"""The text in which matches of a kind are looked for: other than ASCII characters as a sign that is part of no word.
+
+    Regex engines differ in whether ``\b`` takes such a character for part of a word; patterns
+    with ``\b`` match ASCII characters only, so values and positions are those of the text.
+    """
+    return F.regexp_replace(text, r"[^\x00-\x7F]", "¤") if r"\b" in ENTITIES[kind][0] else text
 
 
-def _matches(text: str, kinds: Sequence[str], spans: bool, around: int = 0) -> Column:
-    """An array of ``kind, value, confidence`` for all matches, and positions where asked: sums of the lengths of matches and of what is between them."""
+def extract_entities(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES)) -> DataFrame:
+    """One row for each match: ``kind, value, confidence`` (hashes in lower, CVE ids in upper case)."""
     found = []
     for kind in kinds:
         pattern, confidence = ENTITIES[kind]
-        pattern = F.lit(ascii_bounds(pattern))
         case = F.lower if kind in ("md5", "sha1", "sha256") else F.upper if kind == "cve" else lambda v: v
-        row = lambda v, *more: F.struct(F.lit(kind).alias("kind"), case(v).alias("value"), F.lit(confidence).alias("confidence"), *more)  # noqa: B023, E731
-        values = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
-        if not spans:
-            found.append(F.transform(values, lambda v: row(v)))  # noqa: B023, PLW0108
-            continue
-        both = F.arrays_zip(values.alias("v"), F.slice(F.split(F.col(text), pattern, -1), 1, F.size(values)).alias("gap"))
-        start = F.struct(F.lit(0).alias("at"), F.expr("CAST(array() AS array<struct<v:string,a:int>>)").alias("out"))
-        placed = F.aggregate(both, start, lambda s, x: F.struct((s["at"] + F.length(x["gap"]) + F.length(x["v"])).alias("at"), F.concat(s["out"], F.array(F.struct(x["v"].alias("v"), (s["at"] + F.length(x["gap"])).alias("a")))).alias("out")), lambda s: s["out"])
-        low = lambda x: F.greatest(x["a"] - around, F.lit(0))
-        found.append(F.transform(placed, lambda x: row(x["v"], x["a"].alias("char_start"), (x["a"] + F.length(x["v"])).alias("char_end"), F.substring(F.col(text), low(x) + 1, x["a"] + F.length(x["v"]) + around - low(x)).alias("context"))))  # noqa: B023
-    return F.flatten(F.array(*found))
-
-
-def extract_entities(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES)) -> DataFrame:
-    """One row for each match: ``kind, value, confidence`` (hashes in lower, CVE ids in upper case)."""
-    return df.withColumn("_e", F.explode(_matches(text, kinds, False))).select(*df.columns, "_e.*")
+        values = F.regexp_extract_all(entity_text(F.col(text), kind), F.lit(pattern), F.lit(0))
+        found.append(F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), case(v).alias("value"), F.lit(confidence).alias("confidence"))))  # noqa: B023
+    return df.withColumn("_e", F.explode(F.flatten(F.array(*found)))).select(*df.columns, "_e.*")
 
 
 def entity_spans(df: DataFrame, text: str, kinds: tuple[str, ...] = tuple(ENTITIES), around: int = 20) -> DataFrame:
     """The rows of ``extract_entities`` with ``char_start``, ``char_end`` (after the last character) and ``context``, the characters around.
 
-    Positions count characters from 0 and follow from the same matches, so the rows are the
-    same on any text.  Null text gives no rows.
+    Positions count characters from 0.  One linear pass in Arrow batches, as built-in functions
+    give no positions of all matches; in the text of ``entity_text``, where both engines take
+    the same for words, so the rows are the same on any text.  Null text gives no rows.
     """
-    return df.withColumn("_e", F.explode(_matches(text, kinds, True, around))).select(*df.columns, "_e.*")
+    compiled = [(k, re.compile(ENTITIES[k][0], re.ASCII), ENTITIES[k][1], r"\b" in ENTITIES[k][0]) for k in kinds]
+    case = {"md5": str.lower, "sha1": str.lower, "sha256": str.lower, "cve": str.upper}
+    other = re.compile(r"[^\x00-\x7F]")
+
+    @F.pandas_udf("array<struct<kind string, value string, confidence double, char_start int, char_end int, context string>>")
+    def spans(texts: pd.Series) -> pd.Series:
+        def of(t: str | None) -> list[dict]:
+            plain = other.sub("¤", t or "")
+            return [
+                {"kind": k, "value": case.get(k, str)(m.group()), "confidence": c, "char_start": m.start(), "char_end": m.end(), "context": t[max(0, m.start() - around) : m.end() + around]}
+                for k, p, c, bounded in compiled
+                for m in p.finditer(plain if bounded else t or "")
+            ]
+
+        return texts.map(of)
+
+    return df.withColumn("_e", F.explode(spans(F.col(text)))).select(*df.columns, "_e.*")
 
 
 class _Sections(HTMLParser):
@@ -411,26 +419,106 @@ def trigrams(df: DataFrame, text: str, *keep: str) -> DataFrame:
     return df.filter((F.length(text) >= 3) & (F.length(F.lower(text)) >= 3)).select(*keep, F.explode(grams).alias("gram"))
 
 
+#: Characters of texts that are looked at together.
+SLICE_CHARS = 1 << 20
+
+
+def _gram_slices(texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Trigrams as numbers, 21 bits a character, and the number of each one's text; a long text comes in slices that overlap by two."""
+    part: list[str] = []
+    owners: list[int] = []
+    size = 0
+
+    def made() -> tuple[np.ndarray, np.ndarray]:
+        codes = np.frombuffer("".join(part).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends = np.repeat(np.arange(len(part)), [len(x) for x in part])
+        inside = ends[:-2] == ends[2:]
+        return (codes[:-2] << 42 | codes[1:-1] << 21 | codes[2:])[inside], np.array(owners)[ends[:-2][inside]]
+
+    for number, text in enumerate(texts):
+        for at in range(0, len(text or "") - 2, SLICE_CHARS):
+            part.append(text[at : at + SLICE_CHARS + 2])
+            owners.append(number)
+            size += len(part[-1])
+            if size >= SLICE_CHARS:
+                yield made()
+                part, owners, size = [], [], 0
+    if part:
+        yield made()
+
+
+def _gram_text(codes: np.ndarray) -> list[str]:
+    return np.stack([codes >> 42, codes >> 21 & 0x1FFFFF, codes & 0x1FFFFF], axis=1).astype(np.uint32).view("<U3").ravel().tolist() if len(codes) else []
+
+
 def fit_language(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """Smoothed log-probabilities of trigrams by language, as a table; rows without a language are not learned from."""
-    counts = trigrams(df.filter(F.col(lang).isNotNull()), text, lang).groupBy(lang, "gram").agg(F.count(F.lit(1)).alias("n"))
+    """Smoothed log-probabilities of trigrams by language, as a table; rows without a language are not learned from.
+
+    Trigrams are counted where texts are read, a batch at a time, so few rows are shuffled.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, number = np.unique(np.array(batch.column(0).to_pylist(), object), return_inverse=True)
+            for codes, owner in _gram_slices(batch.column(1).to_pylist()):
+                order = np.argsort(number[owner], kind="stable")
+                bounds = np.searchsorted(number[owner][order], np.arange(len(names) + 1))
+                for name, low, high in zip(names, bounds[:-1], bounds[1:], strict=True):
+                    if low < high:
+                        grams, n = np.unique(codes[order[low:high]], return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(_gram_text(grams), pa.string()), pa.array(n.astype(np.int64))], names=[lang, "gram", "n"])
+
+    rows = df.filter(F.col(lang).isNotNull() & (F.length(text) >= 3)).select(F.col(lang).cast("string").alias(lang), F.lower(text).alias("_t"))
+    counts = rows.mapInArrow(count, T.StructType([T.StructField(lang, T.StringType()), *T.StructType.fromDDL("gram string, n long").fields])).groupBy(lang, "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy(lang).agg(F.sum("n").alias("total"))
     return counts.join(totals, lang).select(lang, "gram", F.log((F.col("n") + 1) / (F.col("total") + 100_000)).alias("logp"), F.log(1 / (F.col("total") + 100_000)).alias("floor"))
 
 
+def _detect_here(df: DataFrame, model: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """``key, detected`` by a model that every task holds as one matrix, trigrams by languages."""
+    rows = model.select(F.col(lang).cast("string").alias("lang"), "gram", (F.col("logp") - F.col("floor")).alias("gain"), "floor").toArrow().to_pandas()
+    names = sorted(rows["lang"].unique())
+    codes = np.array([ord(g[0]) << 42 | ord(g[1]) << 21 | ord(g[2]) for g in rows["gram"]], np.int64)
+    known, at = np.unique(codes, return_inverse=True)
+    gains = np.full((len(known), len(names)), np.nan)
+    gains[at, np.searchsorted(names, rows["lang"].to_numpy(str)) if len(names) else []] = rows["gain"]
+    floors = np.array([rows["floor"][rows["lang"] == x].iloc[0] for x in names])
+    shared = df.sparkSession.sparkContext.broadcast((known, gains, floors, names))
+
+    def detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, gains, floors, names = shared.value
+        seen, gains = ~np.isnan(gains), np.nan_to_num(gains)
+        for batch in batches:
+            texts = batch.column(1).to_pylist()
+            score, met = np.zeros((len(texts), len(names))), np.zeros((len(texts), len(names)))
+            for found, owner in _gram_slices(texts) if len(known) else ():
+                place = np.minimum(np.searchsorted(known, found), len(known) - 1)
+                hit = known[place] == found
+                place, owner = place[hit], owner[hit]
+                for k in range(len(names)):
+                    score[:, k] += np.bincount(owner, gains[place, k], len(texts))
+                    met[:, k] += np.bincount(owner, seen[place, k], len(texts))
+            score += np.array([max(0, len(t or "") - 2) for t in texts])[:, None] * floors
+            score[met == 0] = -np.inf
+            best = len(names) - 1 - score[:, ::-1].argmax(axis=1) if names else np.zeros(len(texts), int)  # of equal scores the last name
+            said = [names[b] if m else "unknown" for b, m in zip(best, met.any(axis=1), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string())], names=[key, "detected"])
+
+    return df.select(key, F.lower(text).alias("_t")).mapInArrow(detect, T.StructType([T.StructField(key, df.schema[key].dataType), T.StructField("detected", T.StringType())]))
+
+
 def detect_language(df: DataFrame, model: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     """The likeliest language of each row; ``unknown`` where no trigram is known.
 
-    ``model`` should be a written table: it is broadcast if it is small, and then sums are made
-    where the texts are read; a larger one meets the counted trigrams of each row in a shuffle.
+    ``model`` should be a written table: up to ``SMALL`` rows of it go to every task as one
+    matrix, and texts are scored where they are read; a larger one meets the counted trigrams
+    of each row in a shuffle.
     """
+    if model.limit(SMALL + 1).count() <= SMALL:
+        return _detect_here(df, model, key, text, lang)
     # logp - floor of known trigrams plus the floor for all of them: absent (language, trigram) rows need no join.
-    grams = trigrams(df, text, key)
     side = model.select(lang, "gram", (F.col("logp") - F.col("floor")).alias("_gain"))
-    if model.limit(SMALL + 1).count() <= SMALL:
-        met = grams.withColumn("_k", F.lit(1)).join(F.broadcast(side), "gram")
-    else:
-        met = grams.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("_k")).join(side, "gram")
+    met = trigrams(df, text, key).groupBy(key, "gram").agg(F.count(F.lit(1)).alias("_k")).join(side, "gram")
     scores = met.groupBy(key, lang).agg(F.sum(F.col("_k") * F.col("_gain")).alias("gain"))
     totals = df.groupBy(key).agg(F.sum(F.greatest(F.length(F.lower(F.col(text))) - 2, F.lit(0))).alias("_n"))
     floors = model.groupBy(lang).agg(F.first("floor").alias("_floor"))

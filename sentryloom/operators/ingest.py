@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.hooks import enrich_with
 from ..functions.text import clean_text, detect_payload_kind, indicator_confidence, is_valid_indicator, normalize_indicator_type, normalize_timestamp
 from ..tables import written
-from .content import ENTITIES, ascii_bounds
+from .content import ENTITIES, entity_text
 from .graph import intel_to_changeset, iocs_to_changeset, stix_to_changeset
 from .relations import enrich_geo
 
@@ -149,7 +149,7 @@ def ingest(raw: DataFrame, now: Column, geo: DataFrame | None = None, details: D
     item = lambda df, kind: df.withColumns({"kind": F.lit(kind), "item": F.to_json(F.struct(*[c for c in df.columns if c not in ("url", "fetched_at", "topic", "error")]))})
 
     text = F.concat_ws("\n", "title", "content", "summary")
-    found = F.create_map(*[x for k, kinds in NODE_KINDS.items() for x in (F.lit(k), F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(ascii_bounds(ENTITIES[e][0])), F.lit(0)) for e in kinds])))])
+    found = F.create_map(*[x for k, kinds in NODE_KINDS.items() for x in (F.lit(k), F.array_distinct(F.concat(*[F.regexp_extract_all(entity_text(text, e), F.lit(ENTITIES[e][0]), F.lit(0)) for e in kinds])))])
     feeds = {k: of(k) for k in ("rss_feed", "atom_feed")}
     entries = reduce(DataFrame.unionByName, feeds.values()).filter("error IS NULL").select(F.coalesce("link", "url").alias("url"), "title", found.alias("entities"), text.alias("_text"))
     iocs = of("misp_feed")
