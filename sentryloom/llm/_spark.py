@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..tables import shared_dir, small, written
 
-__all__ = ["BLANK", "WORD", "append_columns", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "row_order", "shared_dir", "small", "table", "written"]
+__all__ = ["BLANK", "TIES", "WORD", "append_columns", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "shared_dir", "small", "table", "with_row_order", "written"]
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
@@ -63,10 +63,17 @@ def append_columns(df: DataFrame, column: str, fields: list[T.StructField], star
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 
 
-def row_order(df: DataFrame, first: Sequence[str]) -> list[Column]:
-    """An order of rows in which only rows alike in every column tie: ``first``, a hash of the row, then all columns (maps and variants as JSON)."""
+#: Names of the columns that ``with_row_order`` adds.
+TIES = ["_tie1", "_tie2"]
+
+
+def with_row_order(df: DataFrame) -> DataFrame:
+    """``df`` with ``TIES``, 128 bits of hash over all columns (maps and variants as JSON): only rows alike in every column tie on them.
+
+    They are made where rows are read, so an order by them moves no text.
+    """
     plain = [F.to_json(F.struct(F.col(c))) if "map<" in kind or "variant" in kind else F.col(c) for c, kind in df.dtypes]
-    return [*map(F.col, first), F.xxhash64(*plain), *plain]
+    return df.withColumns({name: F.xxhash64(F.lit(i), *[F.isnull(c) for c in plain], *plain) for i, name in enumerate(TIES)})
 
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, spread: Column) -> DataFrame:
@@ -89,7 +96,7 @@ def n_buckets(total: int, rows: int = BUCKET_ROWS) -> int:
     return max(1, -(-total // rows))
 
 
-def prefix_sums(df: DataFrame, group: list[str], key: str, ties: Sequence[str | Column], amount: Column, buckets: int, out: str, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def prefix_sums(df: DataFrame, group: list[str], key: str, ties: Sequence[str], amount: Column, buckets: int, out: str, extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """For each row the sum of ``amount`` over the rows before it in its group, by hash key.
 
     The hash keys of a group are cut into ``buckets`` equal ranges; the order is that of the

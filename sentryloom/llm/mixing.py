@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, WORD, n_buckets, named_apart, prefix_sums, renamed_apart, row_order
+from ._spark import BUCKET_ROWS, TIES, WORD, n_buckets, named_apart, prefix_sums, renamed_apart, with_row_order
 
 OUTPUTS = ["size", "source_size", "target", "taken"]
-INTERNAL = ["_null", "_src", "_k", "_b", "_x", "_offset", "_before"]
+INTERNAL = ["_null", "_src", "_k", "_b", "_x", "_offset", "_before", *TIES]
 
 
 def word_count(text: Column) -> Column:
@@ -51,18 +51,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
     rounded) is met exactly, the last row in part.  The same rows and seed give the same
     mix.  Null text has no words and takes none; a null source is a source of its own; a
     null id is hashed like any value; repeated rows count each, and rows alike in id are
-    ordered by all their columns; an empty table gives an
+    ordered by a hash of all their columns; an empty table gives an
     empty result; input columns named like the outputs are replaced.
     """
     docs, names_back, (id_col, text_col, source_col) = named_apart(renamed_apart(docs, OUTPUTS), INTERNAL, id_col, text_col, source_col)
-    rows = docs.withColumns({"size": word_count(F.col(text_col)), "_null": F.col(source_col).isNull(), "_src": F.coalesce(F.col(source_col), F.lit("")), "_k": F.xxhash64(F.lit(seed), id_col)})
+    rows = with_row_order(docs).withColumns({"size": word_count(F.col(text_col)), "_null": F.col(source_col).isNull(), "_src": F.coalesce(F.col(source_col), F.lit("")), "_k": F.xxhash64(F.lit(seed), id_col)})
     total = docs.count()
     key = ["_null", "_src"]
 
     def targets(sums: DataFrame) -> DataFrame:
         return source_targets(sums.groupBy(*key).agg(F.sum("_sum").alias("source_size")), weights, share, cap)
 
-    ties = row_order(docs, [id_col])
+    ties = [id_col, *TIES]
     rows = prefix_sums(rows, key, "_k", ties, F.col("size"), n_buckets(total, bucket_rows), "_before", targets)
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(0)

@@ -12,10 +12,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._spark import BUCKET_ROWS, n_buckets, named_apart, prefix_sums, renamed_apart, row_order
+from ._spark import BUCKET_ROWS, TIES, n_buckets, named_apart, prefix_sums, renamed_apart, with_row_order
 
 PARTITIONS = 64
-INTERNAL = ["_p", "_k1", "_k2", "_b", "_x", "_offset", "_r", "_cuts"]
+INTERNAL = ["_p", "_k1", "_k2", "_b", "_x", "_offset", "_r", "_cuts", *TIES]
 #: Standard deviations on each side of the mode within which a count is drawn; what lies beyond has no weight in double precision.
 SPREAD = 12
 
@@ -69,14 +69,14 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_
 
     Shard sizes differ by one at most.  The result follows from the rows and the seed
     alone: reruns and lost executors give the same places.  Null ids and repeated rows are
-    placed like any other (rows that are alike in id are ordered by all their columns, the
-    text too, so only equal rows may change places with each other);
+    placed like any other (rows that are alike in id are ordered by a hash of all their
+    columns, the text too, so only equal rows may change places with each other);
     null, empty and long texts need no care, an empty table gives an empty result, and
     input columns named like the outputs are replaced.
     """
     docs, names_back, (id_col,) = named_apart(renamed_apart(docs, ["shard", "slot"]), INTERNAL, id_col)
-    ties = row_order(docs, [id_col])
-    keyed = docs.withColumns({"_p": F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(partitions)).cast("int"), "_k1": F.xxhash64(F.lit(seed + 1), id_col), "_k2": F.xxhash64(F.lit(seed + 2), id_col)})
+    ties = [id_col, *TIES]
+    keyed = with_row_order(docs).withColumns({"_p": F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(partitions)).cast("int"), "_k1": F.xxhash64(F.lit(seed + 1), id_col), "_k2": F.xxhash64(F.lit(seed + 2), id_col)})
     sizes = dict(keyed.groupBy("_p").count().collect())  # at most `partitions` rows
     total = sum(sizes.values())
     matrix = communication_matrix([sizes.get(p, 0) for p in range(partitions)], shards, seed)
@@ -85,4 +85,4 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = 17, id_col: str = "doc_
     one = F.lit(1)
     placed = prefix_sums(keyed, ["_p"], "_k1", ties, one, n_buckets(total // partitions, bucket_rows), "_r", lambda sums: F.broadcast(deal))
     placed = placed.withColumn("shard", F.size(F.filter("_cuts", lambda c: c <= F.col("_r"))).cast("int")).drop("_r", "_cuts", "_p", "_k1")
-    return names_back(prefix_sums(placed, ["shard"], "_k2", ties, one, n_buckets(total // shards, bucket_rows), "slot").drop("_k2"))
+    return names_back(prefix_sums(placed, ["shard"], "_k2", ties, one, n_buckets(total // shards, bucket_rows), "slot").drop("_k2", *TIES))
