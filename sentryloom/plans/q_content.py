@@ -10,6 +10,7 @@ from ..functions import text as X
 from ..operators import aggregates as A
 from ..operators import content as C
 from ..operators import graph as G
+from ..operators import nearest as N
 from ..operators import similarity as S
 from ..sources.stand_ins import frame, sql_with
 from ..tables import written
@@ -299,6 +300,13 @@ def bloom_contains(spark, d):
     return S.bloom_contains(p, bloom, "url", "page_id", m, k).select("page_id", "maybe")
 
 
+@query()
+def knn_by_lists(spark, d):
+    """Approximate; ``tests/test_nearest.py`` measures its recall."""
+    e = frame(spark, d, "embeddings")
+    return r(N.knn_by_lists(e.filter("vec_id % 20 = 0"), e, 5), "cosine")
+
+
 @query()
 def bloom_probe(spark, d):
     """All pages asked of a filter of the even ones."""

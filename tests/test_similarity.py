@@ -27,7 +27,7 @@ def test_minhash_estimates_jaccard_and_equal_texts_agree(spark):
     assert {(r.a, r.b) for r in S.similar_pairs(fp, "id", 0.9).collect()} == {(1, 3)}
     flags = {r.id: r.duplicate for r in records.duplicate_flag(fp.filter("id > 2"), fp.filter("id <= 2"), "id", 0.9).collect()}
     assert flags == {3: True, 4: False}
-    assert {r.kind for r in S.similarity_stats(fp, "id").collect()} == {"minhash", "simhash"}
+    assert {(r.kind, r.fingerprints) for r in S.similarity_stats(fp, "id").collect()} == {("minhash", 4), ("simhash", 4)}
 
 
 def test_bloom_has_no_false_negatives_and_few_false_positives(spark):
