@@ -65,7 +65,7 @@ def test_exact_copies_keep_their_links(spark, tmp_path):
 def test_pages_become_sections_in_order(spark):
     html = "<html><title>A &amp; B</title><script>var p='<p>no</p>'</script><nav><li>menu</li></nav><article><h1>Head</h1><p>One <b>two</b></p><ul><li>x</li></ul><blockquote>q</blockquote></article></html>"
     rows = C.parse_pages(spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id long, html string")).collect()
-    assert [(r.kind, r.level, r.content, r.in_article) for r in rows] == [("list", 0, "menu", False), ("headline", 1, "Head", True), ("paragraph", 0, "One two", True), ("list", 0, "x", True), ("quote", 0, "q", True)]
+    assert [(r.kind, r.level, r.content, r.in_article) for r in rows] == [("headline", 1, "Head", True), ("paragraph", 0, "One two", True), ("list", 0, "x", True), ("quote", 0, "q", True)]
     assert {r.title for r in rows} == {"A & B"}
 
 
