@@ -376,10 +376,14 @@ def page_stats(sections: DataFrame, key: str = "page_id") -> DataFrame:
     return out.withColumn("band", F.when(p >= 80, "excellent").when(p >= 60, "good").when(p >= 40, "fair").otherwise("poor"))
 
 
-def page_topics(sections: DataFrame, most: int = 10, key: str = "page_id") -> DataFrame:
-    """The headlines of each page in lower case, each once, the first ones in page order: ``topic, rank``."""
-    heads = sections.filter(F.col("kind") == "headline").groupBy(key, F.lower("content").alias("topic")).agg(F.min("position").alias("_at"))
-    return heads.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("_at"))).filter(F.col("rank") <= most).drop("_at")
+def page_topics(sections: DataFrame, most: int = 10, key: str = "page_id", phrase_words: int = 3) -> DataFrame:
+    """The headlines of each page, and the ``emphasised`` phrases of at most three words if sections have them, in lower case, each once, the first ones in page order: ``topic, rank``."""
+    found = F.when(F.col("kind") == "headline", F.array("content")).otherwise(F.array().cast("array<string>"))
+    if "emphasised" in sections.columns:
+        found = F.concat(found, F.filter("emphasised", lambda e: word_count(e) <= phrase_words))
+    each = sections.select(key, "position", F.posexplode(found).alias("_i", "_t"))
+    first = each.groupBy(key, F.lower("_t").alias("topic")).agg(F.min(F.struct("position", "_i")).alias("_at"))
+    return first.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy("_at"))).filter(F.col("rank") <= most).drop("_at")
 
 
 def section_context(sections: DataFrame, n: int = 2, key: str = "page_id") -> DataFrame:

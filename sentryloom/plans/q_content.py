@@ -11,6 +11,7 @@ from ..operators import aggregates as A
 from ..operators import content as C
 from ..operators import graph as G
 from ..operators import nearest as N
+from ..operators import pages as P
 from ..operators import similarity as S
 from ..sources.stand_ins import frame, sql_with
 from ..tables import written
@@ -207,6 +208,45 @@ def section_context(spark, d):
     return C.section_context(_sections(spark, d)).select("page_id", "position", F.array_join("before", "|").alias("before"), F.array_join("after", "|").alias("after"))
 
 
+# Pages of the table with their main part in five kinds of containers, and with emphasis, a list, a quote and code after the headline.
+MORE = "'</h1><p>on <em>Topic ' || page_id % 7 || '</em> and <b>phrases of four words</b></p><ul><li>one<li>two ' || page_id % 3 || '</ul><blockquote>said  so</blockquote><pre>x  y</pre>'"
+TREES = rf"""WITH a AS (SELECT page_id, html, regexp_extract(replace(html, '</h1>', {MORE}), '(?s)<article>(.*?)(</article>|$)', 1) AS body FROM pages),
+b AS (SELECT page_id, unnest(string_split(regexp_replace(body, '<(h1|p|ul|blockquote|pre)>', chr(1) || '\1>', 'g'), chr(1))) AS piece, generate_subscripts(string_split(regexp_replace(body, '<(h1|p|ul|blockquote|pre)>', chr(1) || '\1>', 'g'), chr(1)), 1) AS i FROM a),
+r AS (SELECT page_id, i, regexp_extract(piece, '^(h1|p|ul|blockquote|pre)>', 1) AS tag, regexp_replace(regexp_extract(piece, '(?s)^[a-z0-9]+>(.*?)(</(h1|p|ul|blockquote|pre)>|$)', 1), '<br>', ' ', 'g') AS raw FROM b WHERE regexp_matches(piece, '^(h1|p|ul|blockquote|pre)>')),
+t AS (SELECT *, {{text}} AS plain, list_filter(list_transform(regexp_extract_all(raw, '(?s)<(em|b)>(.*?)(</(em|b)>|$)', 2), lambda x: {{phrase}}), lambda x: x <> '') AS emphasised FROM r),
+s AS (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i)::INT - 1 AS position, CASE tag WHEN 'h1' THEN 'headline' WHEN 'p' THEN 'paragraph' WHEN 'ul' THEN 'list' WHEN 'blockquote' THEN 'quote' ELSE 'code' END AS kind,
+  CASE tag WHEN 'ul' THEN '• one' || chr(10) || '• two ' || page_id % 3 WHEN 'blockquote' THEN '"' || plain || '"' WHEN 'pre' THEN '```' || chr(10) || raw || chr(10) || '```' ELSE plain END AS content, CASE WHEN tag = 'ul' THEN 3 ELSE len(regexp_extract_all(plain, '\S+')) END::INT AS words, emphasised FROM t WHERE plain <> '') """
+_PLAIN = r"trim(regexp_replace(replace(replace(replace(regexp_replace({}, '<[^>]*>', '', 'g'), '&quot;', chr(34)), '&amp;', '&'), '&amp', '&'), '[ \t\n\r\f\x0B]+', ' ', 'g'))"
+TREES = TREES.format(text=_PLAIN.format("raw"), phrase=_PLAIN.format("x"))
+
+
+def _trees(spark, d):
+    i = F.col("page_id")
+    more = F.concat(F.lit("</h1><p>on <em>Topic "), i % 7, F.lit("</em> and <b>phrases of four words</b></p><ul><li>one<li>two "), i % 3, F.lit("</ul><blockquote>said  so</blockquote><pre>x  y</pre>"))
+    first = F.when(i % 5 == 0, "<article>").when(i % 5 == 1, "<main>").when(i % 5 == 2, "<div role=main>").when(i % 5 == 3, "<section class='Blog-Post'>").otherwise("<section>")
+    last = F.when(i % 5 == 0, "</article>").when(i % 5 == 1, "</main>").when(i % 5 == 2, "</div>").otherwise("</section>")
+    html = F.replace(F.replace(F.replace("html", F.lit("</h1>"), more), F.lit("<article>"), first), F.lit("</article>"), last)
+    return P.page_tree(frame(spark, d, "pages").select("page_id", html.alias("html")))
+
+
+@query(TREES + "SELECT page_id, position, kind, (kind = 'headline')::INT AS level, content, words, array_to_string(emphasised, '|') AS emphasised FROM s")
+def page_sections(spark, d):
+    return P.page_sections(_trees(spark, d)).withColumn("emphasised", F.array_join("emphasised", "|"))
+
+
+@query(TREES + r"""SELECT a.page_id, """ + _PLAIN.format("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)") + r""" AS title, CASE a.page_id % 5 WHEN 0 THEN 'article' WHEN 1 THEN 'main' WHEN 2 THEN 'role' WHEN 3 THEN 'class post' ELSE CASE WHEN length(trim(replace(replace(replace(regexp_replace(replace(body, '<br>', chr(10)), '<[^>]*>', '', 'g'), '&quot;', chr(34)), '&amp;', '&'), '&amp', '&'), ' ' || chr(10))) > 200 THEN 'most text' END END AS how, count(*)::INT AS sections, sum(words)::BIGINT AS words,
+md5(trim(string_agg(CASE WHEN kind = 'headline' THEN chr(10) || content || chr(10) ELSE content END, chr(10) || chr(10) ORDER BY position), ' ' || chr(10))) AS text_md5 FROM a JOIN s USING (page_id) GROUP BY a.page_id, html, body""")
+def page_text(spark, d):
+    return P.page_text(_trees(spark, d)).withColumn("text_md5", F.md5("raw_text")).drop("raw_text")
+
+
+@query(TREES + """, e AS (SELECT page_id, position, 0 AS i, content AS topic FROM s WHERE kind = 'headline' UNION ALL SELECT page_id, position, unnest(range(1, len(emphasised) + 1)), unnest(emphasised) FROM s),
+f AS (SELECT page_id, lower(topic) AS topic, min(position * 100000 + i) AS seat FROM e WHERE i = 0 OR len(regexp_extract_all(topic, '\\S+')) <= 3 GROUP BY 1, 2)
+SELECT page_id, topic, row_number() OVER (PARTITION BY page_id ORDER BY seat)::INT AS rank FROM f QUALIFY rank <= 10""")
+def page_key_topics(spark, d):
+    return C.page_topics(P.page_sections(_trees(spark, d))).select("page_id", "topic", "rank")
+
+
 FEEDS = "SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS root, CASE page_id % 4 WHEN 0 THEN '/feed.xml' WHEN 1 THEN 'https://f.example.org/rss' WHEN 2 THEN 'my-feed' END AS link FROM pages"
 
 
