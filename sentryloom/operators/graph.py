@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +84,71 @@ def intel_to_changeset(df: DataFrame, more: dict[str, Column] | None = None) ->
     return nodes, each.select(c("_r").alias("source_id"), c("_e").alias("target_id"), F.when(c("_has"), "MENTIONS").otherwise("CONTAINS").alias("type"))
 
 
+def relations_to_changeset(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``url, entities, relations`` (``source, target, type, confidence``) -> nodes of ends that are no entity, and edges with their ``confidence``.
+
+    An end is the entity of the same record with that value (of several kinds the first in
+    order), named as ``intel_to_changeset`` names it; another end becomes an Entity node
+    ``entity:<hash>``, so no edge hangs.  Types are upper-case with underscores, RELATED_TO
+    where there is none; confidence is .5 where there is none.  Relations without both ends go,
+    equal edges of all records are one with the highest confidence.
+    """
+    have = F.flatten(F.transform(F.array_sort(F.map_entries(F.coalesce("entities", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<array<string>>"))))), lambda e: F.transform(F.coalesce(e["value"], F.array().cast("array<string>")), lambda v: F.struct(e["key"], v)))).cast("array<struct<kind:string,value:string>>")
+    each = df.select(have.alias("_have"), F.explode("relations").alias("_r")).filter((F.length("_r.source") > 0) & (F.length("_r.target") > 0))
+    kind = lambda end: F.try_element_at(F.filter("_have", lambda e: e["value"] == end), F.lit(1))["kind"]
+    name = lambda end: F.concat(F.coalesce(kind(end), F.lit("entity")), F.lit(":"), _short(end, 12))
+    ends = {end: F.col(f"_r.{end}") for end in ("source", "target")}
+    type_ = F.replace(F.upper(F.coalesce(F.nullif("_r.type", F.lit("")), F.lit("related to"))), F.lit(" "), F.lit("_"))
+    rows = each.select(*[name(c).alias(f"{end}_id") for end, c in ends.items()], *[F.when(kind(c).isNull(), c).alias(f"_{end}") for end, c in ends.items()], type_.alias("type"), F.coalesce(F.col("_r.confidence").cast("double"), F.lit(0.5)).alias("confidence"))
+    alone = rows.select(F.explode(F.array("_source", "_target")).alias("_v")).filter("_v IS NOT NULL").distinct()
+    nodes = alone.select(F.inline(F.array(_node(F.concat(F.lit("entity:"), _short(F.col("_v"), 12)), "Entity", value=F.col("_v"), type=F.lit("entity")))))
+    return nodes, rows.groupBy("source_id", "target_id", "type").agg(F.max("confidence").alias("confidence"))
+
+
+def raw_to_changeset(df: DataFrame, record: str = "record", id_: str = "$.id") -> tuple[DataFrame, DataFrame]:
+    """JSON records of no known shape -> RawIntel nodes with all fields as properties, and no edges.
+
+    A node is named by the record's id, else by a hash of the record with sorted keys.  Fields of
+    other types stand as JSON; null fields are left out.  What is no JSON object makes no node.
+    """
+    kind = "map<string,variant>"
+    fields = df.select(F.try_parse_json(record).alias("_j")).select("_j", F.try_variant_get("_j", "$", kind).alias("_m")).filter("_m IS NOT NULL")
+    text = F.map_from_entries(F.array_sort(F.filter(F.transform(F.map_entries("_m"), lambda e: F.struct(e["key"].alias("k"), e["value"].cast("string").alias("v"))), lambda e: e["v"].isNotNull())))
+    fields = fields.select(F.nullif(F.try_variant_get("_j", id_, "string"), F.lit("")).alias("_id"), text.alias("_p"))
+    named = F.coalesce("_id", F.concat(F.lit("raw:"), _short(F.to_json("_p"), 12)))
+    return fields.select(named.alias("id"), F.lit("RawIntel").alias("label"), F.col("_p").alias("properties")), df.sparkSession.createDataFrame([], "source_id string, target_id string, type string")
+
+
+def to_changeset(df: DataFrame, record: str = "record") -> tuple[DataFrame, DataFrame]:
+    """Mixed JSON records -> nodes and edges, each record by the first shape it has.
+
+    In order: an article (``source_url, retrieved_at``), an indicator of a list
+    (``source = misp``, ``ioc_record``), an object or relation of a bundle (``source = taxii``,
+    ``stix_object``), normalised intelligence (``entities, relations, raw_payload``; the URL is the
+    payload's ``source_url, url`` or ``link``, else the record's ``id``), and RawIntel.  Ends
+    of STIX relations keep their references: ``ingest.resolve_relations`` names the nodes.
+    """
+    j = F.col("_j")
+    at = lambda path, kind="string": F.try_variant_get(j, path, kind)
+    has = lambda *paths: reduce(lambda a, b: a & b, [at(p, "variant").isNotNull() for p in paths])
+    shape = F.when(has("$.source_url", "$.retrieved_at"), "article").when((at("$.source") == "misp") & has("$.ioc_record"), "ioc").when((at("$.source") == "taxii") & has("$.stix_object"), "stix").when(has("$.entities", "$.relations", "$.raw_payload"), "intel").otherwise("raw")
+    rows = df.select(F.col(record).alias("record"), F.try_parse_json(record).alias("_j")).withColumn("_k", shape)
+    of = lambda kind, **cols: rows.filter(F.col("_k") == kind).select(*[c.alias(n) for n, c in cols.items()])
+    some = lambda *paths: F.coalesce(*[F.nullif(at(p), F.lit("")) for p in paths])
+    text = lambda path: F.coalesce(at(path), F.lit(""))
+    intel = of("intel", url=some("$.raw_payload.source_url", "$.raw_payload.url", "$.raw_payload.link", "$.id"), title=text("$.raw_payload.title"), entities=at("$.entities", "map<string,array<string>>"), relations=at("$.relations", "array<struct<source:string,target:string,type:string,confidence:double>>"))
+    related = relations_to_changeset(intel)
+    parts = [
+        articles_to_changeset(of("article", source_url=at("$.source_url"), retrieved_at=at("$.retrieved_at"), title=at("$.title"), full_text=text("$.full_text"))),
+        iocs_to_changeset(of("ioc", feed_url=text("$.feed_url"), fetched_at=text("$.fetched_at"), value=text("$.ioc_record.value"), type=F.coalesce(at("$.ioc_record.type"), F.lit("unknown")))),
+        stix_to_changeset(of("stix", **{c: at(f"$.stix_object.{c}") for c in ("id", "type", "name", "source_ref", "target_ref", "relationship_type")})),
+        intel_to_changeset(intel.select("url", "title", "entities")),
+        (related[0], related[1].drop("confidence")),
+        raw_to_changeset(of("raw", record=F.col("record"))),
+    ]
+    return reduce(DataFrame.unionByName, [n for n, _ in parts]), reduce(DataFrame.unionByName, [e for _, e in parts]).distinct()
+
+
 def merge_graph(nodes: DataFrame, delta: DataFrame, version: str = "version") -> DataFrame:
     """One node a key; of properties set more than once the latest version's value stays."""
     both = nodes.unionByName(delta)

@@ -288,7 +288,7 @@ def detect_language(spark, d):
 SIM = r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[ \t\n\r\f\x0B]+'), lambda x: length(x) > 2)) AS w FROM documents), c AS (SELECT doc_id, w, count(*) AS n FROM w GROUP BY 1, 2),
 h AS (SELECT doc_id, n, ('0x' || substr(md5(w), 1, 8))::BIGINT AS hi, ('0x' || substr(md5(w), 9, 8))::BIGINT AS lo FROM c),
 v AS (SELECT doc_id, i, sum(CASE WHEN ((CASE WHEN i >= 32 THEN hi ELSE lo END) >> (i % 32)) & 1 = 1 THEN n ELSE -n END) AS vote FROM h, unnest(range(64)) AS u(i) GROUP BY 1, 2)
-SELECT doc_id, string_agg(CASE WHEN vote > 0 THEN '1' ELSE '0' END, '' ORDER BY i DESC) AS bits FROM v GROUP BY 1"""
+SELECT doc_id, string_agg(CASE WHEN vote > 0 THEN '1' ELSE '0' END, '' ORDER BY i DESC) AS bits FROM v GROUP BY 1 UNION ALL SELECT doc_id, repeat('0', 64) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM w)"""
 
 
 @query(SIM)
@@ -314,6 +314,40 @@ def similar_pairs(spark, d):
     return S.similar_pairs(_fingerprints(spark, d), "doc_id", 0.8).unionByName(same)
 
 
+@query()
+def exact_similar_pairs(spark, d):
+    """The same pairs without chance: classes of equal fingerprints by their smallest id, and every other member with that id."""
+    prints = written(_fingerprints(spark, d))
+    classes = S.fingerprint_classes(prints, "doc_id")
+    copies = S.copies(frame(spark, d, "documents"), "doc_id", "text").join(classes.withColumnRenamed("doc_id", "a"), "a").select(F.col("class_id").alias("a"), "b")
+    members = classes.filter("class_id < doc_id").select(F.col("class_id").alias("a"), F.col("doc_id").alias("b"))
+    return S.exact_similar_pairs(prints, "doc_id", 0.8).unionByName(members.unionByName(copies).withColumn("score", F.lit(1.0)))
+
+
+# Buckets by slots that SQL can name: four levels of each coordinate of a vector.
+@query("WITH s AS (SELECT vec_id, list_transform(embedding, lambda x: floor(4 * x)::INT) AS g FROM embeddings) SELECT vec_id, b::INT AS band, md5(array_to_string(g[b * (len(g) // 16) + 1:(b + 1) * (len(g) // 16)], ',')) AS bucket FROM s, unnest(range(16)) AS u(b)")
+def lsh_buckets(spark, d):
+    signature = F.transform("embedding", lambda x: F.floor(4 * x.cast("double")).cast("int"))
+    return S.lsh_buckets(frame(spark, d, "embeddings").select("vec_id", signature.alias("signature")), "vec_id")
+
+
+BLOCKS = SIM + ") , bl AS (SELECT doc_id, b::INT AS band, printf('%X', list_sum(list_transform(range(16), lambda i: CASE WHEN bits[(3 - b) * 16 + i::INT + 1] = '1' THEN 1 << (15 - i::INT) ELSE 0 END))::BIGINT) AS bucket FROM fp, unnest(range(4)) AS u(b) WHERE contains(bits, '1')) "
+BLOCKS = BLOCKS.replace("SELECT doc_id, string_agg(CASE WHEN vote", ", fp AS (SELECT doc_id, string_agg(CASE WHEN vote", 1)
+
+
+@query(BLOCKS + "SELECT doc_id, band, bucket FROM bl")
+def simhash_buckets(spark, d):
+    return S.simhash_buckets(S.simhash(frame(spark, d, "documents"), "doc_id", "text"), "doc_id")
+
+
+@query(BLOCKS + "SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM (SELECT * FROM bl WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5(text))) x JOIN (SELECT * FROM bl WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY md5(text))) y ON x.band = y.band AND x.bucket = y.bucket AND x.doc_id < y.doc_id")
+def candidate_pairs(spark, d):
+    """Pairs of different texts that share a block of their SimHash."""
+    docs = frame(spark, d, "documents")
+    one = docs.groupBy(F.md5("text").alias("m")).agg(F.min(F.struct("doc_id", "text")).alias("r")).select("r.*")
+    return S.candidate_pairs(S.simhash_buckets(S.simhash(one, "doc_id", "text"), "doc_id"), "doc_id")
+
+
 @query()
 def similarity_stats(spark, d):
     return S.similarity_stats(_fingerprints(spark, d), "doc_id")
@@ -333,11 +367,15 @@ def _bloom(rows):
     return S.bloom_build(rows, "url", m, k), m, k
 
 
-@query("SELECT page_id, true AS maybe FROM pages WHERE page_id % 2 = 0")
+# A false positive is a matter of the hash, so SQL can only say what has to be there: every member, and few of the others.
+@query("SELECT count(*) FILTER (page_id % 2 = 0) AS members, count(*) FILTER (page_id % 2 = 0) AS found, true AS few_others FROM pages")
 def bloom_contains(spark, d):
-    p = frame(spark, d, "pages").filter("page_id % 2 = 0")
-    bloom, m, k = _bloom(p)
-    return S.bloom_contains(p, bloom, "url", "page_id", m, k).select("page_id", "maybe")
+    """All pages asked of a filter of the even ones: members, members found, and whether others are found no more often than 5 in 100."""
+    p = frame(spark, d, "pages")
+    even = F.col("page_id") % 2 == 0
+    bloom, m, k = _bloom(p.filter(even))
+    asked = S.bloom_contains(p, bloom, "url", "page_id", m, k)
+    return asked.agg(F.count_if(even).alias("members"), F.count_if(even & F.col("maybe")).alias("found"), (F.count_if(~even & F.col("maybe")) <= 0.05 * F.count_if(~even) + 2).alias("few_others"))
 
 
 @query()
@@ -428,6 +466,40 @@ def intel_to_changeset(spark, d):
     return G.intel_to_changeset(rows)[1]
 
 
+# One record a document, of five shapes by turns; of the relations one end is no entity of its record.
+SHAPES = """WITH d AS (SELECT *, doc_id % 5 AS m, 'https://' || source || '.example.com/' || doc_id AS url, source || '.example.com' AS host, '10.0.0.' || doc_id % 250 AS ip, 'malware' || doc_id % 11 AS bad FROM (SELECT * REPLACE (coalesce(lang, 'none') AS lang) FROM documents)),
+stix AS (SELECT *, CASE WHEN doc_id % 2 = 0 THEN 'tool' ELSE 'relationship' END AS kind FROM d WHERE m = 2),
+nodes AS (SELECT 'Source' AS label, 'source:' || host AS id FROM d WHERE m = 0 UNION SELECT 'SightingEvent', 'event:' || host || ':' || left(md5(url || '|t'), 8) FROM d WHERE m = 0 UNION SELECT 'Article', 'article:' || host || ':' || lang || ':' || left(md5(url), 8) FROM d WHERE m = 0
+  UNION SELECT 'MispEvent', 'misp_event:' || left(md5(url), 8) || ':t' FROM d WHERE m = 1 UNION SELECT 'Indicator', 'indicator:ip:' || left(md5(ip), 8) FROM d WHERE m = 1
+  UNION SELECT 'Tool', 'tool:' || lang || ':' || doc_id FROM stix WHERE kind = 'tool'
+  UNION SELECT 'Article', 'article:' || host || ':' || left(md5(url), 8) FROM d WHERE m = 3 UNION SELECT 'Indicator', 'ip:' || left(md5(ip), 12) FROM d WHERE m = 3 UNION SELECT 'Malware', 'malware:' || left(md5(bad), 12) FROM d WHERE m = 3 UNION SELECT 'Entity', 'entity:' || left(md5('group ' || lang), 12) FROM d WHERE m = 3
+  UNION SELECT 'RawIntel', 'raw' || doc_id FROM d WHERE m = 4),
+edges AS (SELECT 'REPORTED_BY' AS type, 'event:' || host || ':' || left(md5(url || '|t'), 8) AS a, 'source:' || host AS b FROM d WHERE m = 0 UNION SELECT 'ABOUT', 'article:' || host || ':' || lang || ':' || left(md5(url), 8), 'event:' || host || ':' || left(md5(url || '|t'), 8) FROM d WHERE m = 0
+  UNION SELECT 'APPEARED_IN', 'indicator:ip:' || left(md5(ip), 8), 'misp_event:' || left(md5(url), 8) || ':t' FROM d WHERE m = 1 UNION SELECT 'USES', 'malware--' || doc_id, 'tool--' || doc_id FROM stix WHERE kind = 'relationship'
+  UNION SELECT 'MENTIONS', 'article:' || host || ':' || left(md5(url), 8), unnest(['ip:' || left(md5(ip), 12), 'malware:' || left(md5(bad), 12)]) FROM d WHERE m = 3
+  UNION SELECT 'TALKS_TO', 'malware:' || left(md5(bad), 12), 'ip:' || left(md5(ip), 12) FROM d WHERE m = 3 UNION SELECT 'RELATED_TO', 'entity:' || left(md5('group ' || lang), 12), 'malware:' || left(md5(bad), 12) FROM d WHERE m = 3)
+SELECT 'node' AS part, label AS kind, id FROM nodes UNION ALL SELECT 'edge', type, a || ' ' || b FROM edges"""
+
+
+@query(SHAPES)
+def to_changeset(spark, d):
+    i, lang = F.col("doc_id"), F.coalesce("lang", F.lit("none"))
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    url, ip, bad = text("https://", F.col("source"), ".example.com/", i), text("10.0.0.", i % 250), text("malware", i % 11)
+    article = F.to_json(F.struct(url.alias("source_url"), F.lit("t").alias("retrieved_at"), lang.alias("title")))
+    ioc = F.to_json(F.struct(F.lit("misp").alias("source"), url.alias("feed_url"), F.lit("t").alias("fetched_at"), F.struct(ip.alias("value"), F.lit("ip").alias("type")).alias("ioc_record")))
+    thing = F.to_json(F.struct(F.lit("taxii").alias("source"), F.struct(text("tool--", i).alias("id"), F.lit("tool").alias("type"), lang.alias("name")).alias("stix_object")))
+    uses = F.to_json(F.struct(F.lit("taxii").alias("source"), F.struct(text("relationship--", i).alias("id"), F.lit("relationship").alias("type"), text("malware--", i).alias("source_ref"), text("tool--", i).alias("target_ref"), F.lit("uses").alias("relationship_type")).alias("stix_object")))
+    none = F.lit(None).cast("string")
+    talks = F.struct(bad.alias("source"), ip.alias("target"), F.lit("talks to").alias("type"))
+    linked = F.struct(text("group ", lang).alias("source"), bad.alias("target"), none.alias("type"))
+    intel = F.to_json(F.struct(F.struct(F.array(ip, F.lit("")).alias("ip"), F.array(bad).alias("malware")).alias("entities"), F.array(talks, linked, F.struct(ip.alias("source"), none.alias("target"), none.alias("type"))).alias("relations"), F.struct(url.alias("link")).alias("raw_payload")))
+    raw = F.to_json(F.struct(text("raw", i).alias("id"), F.col("text")))
+    record = F.when(i % 5 == 0, article).when(i % 5 == 1, ioc).when((i % 5 == 2) & (i % 2 == 0), thing).when(i % 5 == 2, uses).when(i % 5 == 3, intel).otherwise(raw)
+    nodes, edges = G.to_changeset(frame(spark, d, "documents").select(record.alias("record")))
+    return nodes.select(F.lit("node").alias("part"), F.col("label").alias("kind"), "id").distinct().unionByName(edges.select(F.lit("edge").alias("part"), F.col("type").alias("kind"), F.concat_ws(" ", "source_id", "target_id").alias("id")))
+
+
 @query("SELECT concat('n', user_id % 40) AS id, arg_max(event_type, event_id) AS last_type, count(DISTINCT event_type) AS kinds FROM events GROUP BY 1")
 def merge_graph(spark, d):
     n = frame(spark, d, "events").select(F.concat(F.lit("n"), F.col("user_id") % 40).alias("id"), F.lit("Node").alias("label"), F.col("event_id").alias("version"), F.create_map(F.lit("last"), F.col("event_type"), F.col("event_type"), F.lit("seen")).alias("properties"))
