@@ -16,6 +16,9 @@ import numpy as np
 
 SLICE = 1 << 20
 SHINGLE = 5
+#: Words that a table holds before it starts afresh, and those that are described at a time.
+HELD_WORDS = 1 << 18
+DESCRIBED_WORDS = 1 << 13
 
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15 | 1)
@@ -174,7 +177,7 @@ class WordTable:
     ``held`` words on the table starts afresh, which bounds its memory.
     """
 
-    def __init__(self, describe, held: int = 1 << 20) -> None:
+    def __init__(self, describe, held: int = HELD_WORDS) -> None:
         self.describe, self.held = describe, held
         self._reset()
 
@@ -203,9 +206,9 @@ class WordTable:
                 missing = np.flatnonzero(got < 0)
                 if len(missing):
                     new, where = np.unique(keys[missing], return_index=True)
-                    words = [data[starts[i] : ends[i]].decode("utf-8", "replace") for i in missing[where]]
                     self.index.add(new, self.n + np.arange(len(new)))
-                    self._append(self.describe(words))
+                    for low in range(0, len(new), DESCRIBED_WORDS):
+                        self._append(self.describe([data[starts[i] : ends[i]].decode("utf-8", "replace") for i in missing[where[low : low + DESCRIBED_WORDS]]]))
                     got = self.index.find(keys)
                 if len(got):
                     parts.append(self.rows[got])
