@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..tables import pairs_by_key, small, written
+from ..tables import overlaps, signed, small, written
 
 # Labels by STIX type and by entity kind.
 STIX_LABELS = {"attack-pattern": "AttackPattern", "campaign": "Campaign", "intrusion-set": "ThreatActor", "threat-actor": "ThreatActor", "malware": "Malware", "vulnerability": "Vulnerability", "tool": "Tool", "identity": "Identity"}
@@ -271,5 +271,11 @@ def graph_priorities(urls: DataFrame, sources: DataFrame, indicators: DataFrame,
 
 
 def indicator_cooccurrence(mentions: DataFrame, article: str, indicator: str) -> DataFrame:
-    """Pairs of articles a < b with the number of indicators that they share."""
-    return pairs_by_key(mentions.select(article, indicator), [indicator], article).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    """Pairs of articles a < b with the number of indicators that they share.
+
+    Pairs whose signatures say that one indicator is all that they share are told where they
+    meet; only the others are shuffled and added up.  Repeated mentions count once.
+    """
+    rows = written(signed(mentions, article, indicator))
+    one = overlaps(rows, several=False).withColumn("shared", F.lit(1).cast("long"))
+    return one.unionByName(overlaps(rows, several=True).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
