@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..tables import pairs_by_key, small, written
+from ..tables import Nearest, pairs_by_key, signed, small, written
 
 
 def dedupe_first(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
@@ -92,22 +92,24 @@ def related_content(mentions: DataFrame, article: str, indicator: str, k: int, h
     article's hot set, and articles with one hot set are a class: classes meet, and an article
     gets the k + 1 best (overlap, id) of its class.  That loses none: who shares hot indicators
     alone and is not among them has k others before it, as its class mates and the members of
-    closer classes share at least as much.  So no hot list is paired with itself.  Repeated
+    closer classes share at least as much.  So no hot list is paired with itself.  Of articles that
+    share one indicator alone (``signed`` tells), only the k with the smallest id for each article
+    and indicator leave the place where they meet: each other one has k before it.  Repeated
     mentions count once; null articles and indicators have none.
     """
-    m = mentions.select(F.col(article).alias("x"), F.col(indicator).alias("i")).filter("x IS NOT NULL AND i IS NOT NULL").distinct()
-    m = written(m)
+    m = written(signed(mentions, article, indicator))
     often = written(m.groupBy("i").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot).select("i"))
     rare, frequent = m.join(small(often), "i", "left_anti"), m.join(small(often), "i", "left_semi")
-    pairs = pairs_by_key(rare, ["i"], "x").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    # Dealt by a alone, so that counts and ranks need no further shuffle.
+    shared = pairs_by_key(rare, ["i"], Nearest(k, hot)).repartition("a").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     best = lambda df, key, order, n: df.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= n)
     some = not often.isEmpty()
     if some:
         sets = frequent.groupBy("x").agg(F.sort_array(F.collect_list("i")).alias("hs"))
         sets = written(sets.withColumn("c", F.sha2(F.to_json("hs"), 256)))
         of = lambda end: sets.select(F.col("x").alias(end), F.col("hs").alias(f"_{end}"))
-        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        pairs = both.select("a", "b", (F.col("shared") + F.coalesce(F.size(F.array_intersect("_a", "_b")), F.lit(0))).alias("shared"))
+        both = shared.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        shared = both.select("a", "b", (F.col("shared") + F.coalesce(F.size(F.array_intersect("_a", "_b")), F.lit(0))).alias("shared"))
         first = written(best(sets, "c", ["x"], k + 1))
         classes = first.filter("rank = 1").select("c", "hs")
         met = pairs_by_key(classes.select("c", F.explode("hs").alias("i")), ["i"], "c").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
@@ -116,8 +118,6 @@ def related_content(mentions: DataFrame, article: str, indicator: str, k: int, h
         nearest = best(met.join(first.select(F.col("c").alias("b"), "x"), "b").select("a", "x", "n"), "a", [F.desc("n"), F.col("x")], k + 1)
         nearest = small(written(nearest.select(F.col("a").alias("c"), F.col("x").alias("b"), F.col("n").alias("shared"))))
         by_class = sets.select(F.col("x").alias("a"), "c").join(nearest, "c").filter("a <> b").select("a", "b", "shared")
-    shared = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "shared"))
-    if some:
         shared = shared.unionByName(by_class).groupBy("a", "b").agg(F.max("shared").alias("shared"))
     return best(shared, "a", [F.desc("shared"), F.col("b")], k)
 
