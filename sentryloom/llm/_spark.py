@@ -4,24 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..tables import shared_dir, small, written
+from ..tables import pieces, shared_dir, small, written
 
-__all__ = ["BLANK", "TIES", "WORD", "append_columns", "join_groups", "n_buckets", "named_apart", "prefix_sums", "renamed_apart", "shared_dir", "small", "table", "with_row_order", "written"]
+__all__ = ["BLANK", "TIES", "WORD", "append_columns", "join_groups", "n_buckets", "named_apart", "pieces", "prefix_sums", "renamed_apart", "shared_dir", "small", "table", "with_row_order", "written"]
 
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: A group is hot from this many rows, or from a millionth of all rows if that is more, so at most a million rows of hot groups are broadcast.
 HOT_ROWS = 10_000
-#: Bytes of text that go through Python, and back to Spark, together; a longer text goes alone.
-PIECE_BYTES = 1 << 20
 #: Rows that one task orders at a time when ranks and prefix sums are made.
 BUCKET_ROWS = 10_000
 
@@ -50,16 +46,6 @@ def named_apart(df: DataFrame, internal: Sequence[str], *columns: str) -> tuple[
     return df.withColumnsRenamed(new), lambda out: out.withColumnsRenamed({v: k for k, v in new.items()}), [lower.get(c.lower(), c) for c in columns]
 
 
-def pieces(batch: pa.RecordBatch, at: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``most`` bytes (``PIECE_BYTES``) of its column ``at``, a text or binary column, at least one row each."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    low = 0
-    while low < batch.num_rows:
-        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + (most or PIECE_BYTES), "right")))
-        yield batch.slice(low, high - low)
-        low = high
-
-
 def append_columns(df: DataFrame, column: str, fields: list[T.StructField], start: Callable[[], Callable[[list], list[pa.Array]]]) -> DataFrame:
     """All columns of ``df`` and the new ``fields``, computed from ``column`` in Arrow batches.
 
