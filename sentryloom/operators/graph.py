@@ -183,18 +183,28 @@ def neighbors(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
 
 
 def shortest_path(edges: DataFrame, a: str, b: str, most: int = 6) -> DataFrame:
-    """``path``: one shortest path between two nodes (of several the smallest in order), no row if there is none within ``most`` hops."""
-    link = written(_both_ways(edges))
-    front = edges.sparkSession.createDataFrame([(a, [a])], "id string, path array<string>")
-    seen = front.select("id")
-    for _ in range(most):
-        hit = front.filter(F.col("id") == b).select("path")
-        if a == b or hit.limit(1).count():
+    """``path``: one shortest path between two nodes (of several the smallest in order), no row if there is none within ``most`` hops.
+
+    The search goes from both ends, each time from the smaller front, and every front keeps for
+    each node the smallest path to its end.  Edges are only scanned where a front is small enough to be broadcast.
+    """
+    spark = edges.sparkSession
+    # Not made distinct: a front keeps one path a node anyway.
+    link = written(edges.select(F.col("source_id").alias("a"), F.col("target_id").alias("b")))
+    fronts = [written(spark.createDataFrame([(x, [x])], "id string, path array<string>")) for x in (a, b)]
+    seen, sizes = [f.select("id") for f in fronts], [1, 1]
+    for hop in range(most + 1):
+        # Every shortest path of so many hops has one node in both fronts.
+        parts = fronts[0].join(small(fronts[1].select("id", F.col("path").alias("_rest"))), "id")
+        hit = written(parts.agg(F.min(F.concat("path", F.slice("_rest", F.lit(2), F.greatest(F.lit(0), F.size("_rest") - 1)))).alias("path")).filter("path IS NOT NULL"))
+        if hop == most or not all(sizes) or not hit.isEmpty():
             return hit
-        found = front.join(link, front["id"] == link["a"]).select(F.col("b").alias("id"), F.concat("path", F.array("b")).alias("path"))
-        front = written(found.join(seen, "id", "left_anti").groupBy("id").agg(F.min("path").alias("path")))
-        seen = seen.unionByName(front.select("id"))
-    return front.filter(F.col("id") == b).select("path")
+        at = 0 if sizes[0] <= sizes[1] else 1
+        front = small(fronts[at])
+        ways = [front.join(link, front["id"] == link[x]).select(F.col(y).alias("id"), (F.concat("path", F.array(y)) if at == 0 else F.concat(F.array(y), "path")).alias("path")) for x, y in (("a", "b"), ("b", "a"))]
+        found = ways[0].unionByName(ways[1]).groupBy("id").agg(F.min("path").alias("path"))
+        fronts[at] = written(found.join(small(seen[at]), "id", "left_anti"))
+        seen[at], sizes[at] = seen[at].unionByName(fronts[at].select("id")), fronts[at].count()
 
 
 def graph_query(spark: SparkSession, text: str, nodes: DataFrame, edges: DataFrame, **params) -> DataFrame:
