@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import components
 from ._spark import join_groups, written
 from ._words import shingle_sets
 
@@ -163,23 +164,6 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int) -> Da
     return full.filter(shared * LEAST[1] >= (F.col("_na") + F.col("_nb") - shared) * LEAST[0]).select("_a", "_b")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``_node, _label`` (the smallest node reachable) for the nodes of ``_a, _b`` links.
-
-    Labels take the minimum over neighbours and then jump to the label of their label, so
-    the rounds grow with the logarithm of a component's diameter.  Each round is written
-    to the shared folder; only whether a label changed comes to the driver.
-    """
-    edges = written(links.select("_a", "_b").union(links.select("_b", "_a")).distinct())
-    labels = written(edges.groupBy("_a").agg(F.min("_b").alias("_m")).select(F.col("_a").alias("_node"), F.least("_a", "_m").alias("_label"), F.lit(True).alias("_new")))
-    while labels.filter("_new").limit(1).count():
-        near = edges.join(labels.select(F.col("_node").alias("_b"), "_label"), "_b").groupBy("_a").agg(F.min("_label").alias("_m"))
-        low = labels.join(near.withColumnRenamed("_a", "_node"), "_node").select("_node", "_label", F.least("_label", "_m").alias("_low"))
-        jump = low.select(F.col("_node").alias("_low"), F.col("_low").alias("_next"))
-        labels = written(low.join(jump, "_low", "left").select("_node", F.coalesce("_next", "_low").alias("_to"), "_label").select("_node", F.col("_to").alias("_label"), (F.col("_to") < F.col("_label")).alias("_new")))
-    return labels.select("_node", "_label")
-
-
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
 
